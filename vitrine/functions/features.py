@@ -118,7 +118,8 @@ def unit_columns(c: Column) -> list[Column]:
 
 
 def token_frequency_columns(text_cols: list[str], tokens: list[str], normalize: bool = False,
-                            literal: bool = True, name_prefix: str | None = None) -> list[Column]:
+                            literal: bool = True, name_prefix: str | None = None,
+                            round_to: int | None = None) -> list[Column]:
     """TXF07: occurrences of each token in ' ' + col1 + ' ' + col2 ...
 
     ``literal=True`` counts the token as plain text; ``literal=False`` treats it
@@ -133,6 +134,8 @@ def token_frequency_columns(text_cols: list[str], tokens: list[str], normalize:
         cnt = F.regexp_count(text, F.lit(pat))
         val = (F.when(F.length(text) == 0, F.lit(0.0)).otherwise(cnt / F.length(text))
                if normalize else cnt.cast("long"))
+        if round_to is not None and normalize:
+            val = F.round(val, round_to)
         out.append(val.alias(prefix + tok))
     return out
 

@@ -59,3 +59,176 @@ def listing_features_by_category(spark, sf_dir):
     # global total, computed over the aggregated rows only
     total = F.sum("n_rows").over(Window.partitionBy(F.lit(1)))
     return agg.withColumn("pct_rows", F.round(F.lit(100.0) * F.col("n_rows") / total, 2))
+
+
+# ---------------------------------------------------------------------------
+# structural merges and year tags on numeric-rich part listings (CLN06-10)
+# ---------------------------------------------------------------------------
+
+_MERGE_RULES_SQL = {
+    "dims": [(r"\b(\d+)\s*x\s*(\d+)\s*x\s*(\d+)\b", r"\1x\2x\3"), (r"\b(\d+)\s*x\s*(\d+)\b", r"\1x\2"),
+             (r"\b([lh])\s*x\s*([lh])\s*x\s*([lh])\b", r"\1x\2x\3")],
+    "units": [(r"\b(\d+)\s*(kg|g|mg|ml|l)\b", r"\1\2"), (r"\b(\d+)\s*(mm|cm|m)\b", r"\1\2"),
+              (r"\b(\d+)\s*(go|gb|mo|mb)\b", r"\1\2"), (r"\b(\d+)\s*%\b", r"\1pct"),
+              (r"\b(\d+)\s*(mah|ah)\b", r"\1\2")],
+    "durations": [(r"\b(\d+)\s*(h|heures?)\b", r"\1h"), (r"\b(\d+)\s*(j|jours?)\b", r"\1j"),
+                  (r"\b(\d+)\s*mois\b", r"\1mois"), (r"\b(\d+)\s*ans?\b", r"\1ans"),
+                  (r"\b24\s*h\s*/\s*24\b", "24h24"), (r"\b7\s*j\s*/\s*7\b", "7j7")],
+    "ages": [(r"\b(\d+)\s*-\s*(\d+)\s*ans\b", r"\1_\2ans"), (r"\b(\d+)\s*-\s*(\d+)ans\b", r"\1_\2ans"),
+             (r"\b(\d+)\s*ans?\s*et\s*plus\b", r"\1plus_ans")],
+    "years": [(r"\b(18|19|20)\d{2}\b", r" year\0 ")],
+}
+
+
+def _sql_rules(e: str, rules, flags="gi") -> str:
+    for pat, rep in rules:
+        e = f"regexp_replace({e}, {S.q(pat)}, {S.q(rep)}, '{flags}')"
+    return e
+
+
+def _merge_sql() -> str:
+    d = "description"
+    cols = [f"{_sql_rules(d, _MERGE_RULES_SQL[k])} AS merged_{k}" for k in _MERGE_RULES_SQL]
+    allm = d
+    for k in _MERGE_RULES_SQL:
+        allm = _sql_rules(allm, _MERGE_RULES_SQL[k])
+    return (S.with_(S.LISTING_PART) + f"SELECT row_id, {', '.join(cols)}, "
+            f"{S.collapse_ws(allm)} AS merged_all FROM listing_part")
+
+
+@query("clean_merge_rules_part", ops=("CLN06", "CLN07", "CLN08", "CLN09", "CLN10", "CLN17"), sql=_merge_sql())
+def clean_merge_rules_part(spark, sf_dir):
+    lp = views.listing_part(spark, sf_dir)
+    d = F.col("description")
+    return lp.select(
+        "row_id",
+        tx.merge_dimensions(d).alias("merged_dims"), tx.merge_units(d).alias("merged_units"),
+        tx.merge_durations(d).alias("merged_durations"), tx.merge_age_ranges(d).alias("merged_ages"),
+        tx.tag_years(d).alias("merged_years"),
+        tx.clean_text(d, merge_dimensions=True, merge_units=True, merge_durations=True,
+                      merge_age_ranges=True, tag_years=True).alias("merged_all"))
+
+
+# ---------------------------------------------------------------------------
+# token filters and boilerplate on document titles (CLN12-16)
+# ---------------------------------------------------------------------------
+
+_NOT_W = r"[^\pL\pN_]"
+
+
+def _sql_boilerplate(e: str) -> str:
+    from vitrine.functions import fixed
+    for p in fixed.BOILERPLATE_PHRASES:
+        pat = f"(^|{_NOT_W}){p}({_NOT_W}|$)"
+        for _ in range(2):
+            e = f"regexp_replace({e}, {S.q(pat)}, '\\1 \\2', 'gi')"
+    return e
+
+
+def _sql_list(items) -> str:
+    return "[" + ", ".join(S.q(x) for x in items) + "]"
+
+
+def _sql_token_filter(e: str, stop=False, letters=False, digits=False, punct=False) -> str:
+    from vitrine.functions import fixed
+    conds = ["t <> ''"]
+    if stop:
+        conds.append(f"NOT list_contains({_sql_list(fixed.STOPWORDS_FR_EN)}, lower(t))")
+    if letters:
+        conds.append(r"NOT regexp_full_match(t, '\pL')")
+    if digits:
+        conds.append(f"NOT regexp_full_match(t, '{S.PY_DIGIT}')")
+    if punct:
+        chars = sorted(set(fixed.ASCII_PUNCTUATION) | set(fixed.EXTRA_PUNCTUATION))
+        cls = "".join("\\" + c if c in "\\[]^-" else c for c in chars)
+        conds.append(f"NOT regexp_full_match(t, {S.q('[' + cls + ']+')})")
+    return (f"array_to_string(list_filter(regexp_split_to_array({e}, '{S.WS}+'), "
+            f"lambda t: {' AND '.join(conds)}), ' ')")
+
+
+def _filters_sql() -> str:
+    t = S.coalesce_text("designation")
+    return (S.with_(S.LISTING_DOC) + "SELECT row_id, "
+            f"{S.collapse_ws(_sql_boilerplate(t))} AS no_boilerplate, "
+            f"{S.collapse_ws(_sql_token_filter(t, stop=True))} AS no_stopwords, "
+            f"{S.collapse_ws(_sql_token_filter(t, letters=True))} AS no_single_letters, "
+            f"{S.collapse_ws(_sql_token_filter(t, digits=True))} AS no_single_digits, "
+            f"{S.collapse_ws(_sql_token_filter(t, punct=True))} AS no_punct_tokens, "
+            f"{S.collapse_ws(_sql_token_filter(_sql_boilerplate(S.lower(t)), True, True, True, True))} AS all_filters "
+            "FROM listing_doc")
+
+
+@query("clean_token_filters_doc", ops=("CLN12", "CLN13", "CLN14", "CLN15", "CLN16", "CLN17"), sql=_filters_sql())
+def clean_token_filters_doc(spark, sf_dir):
+    lst = views.listing_doc(spark, sf_dir)
+    d = F.col("designation")
+    return lst.select(
+        "row_id",
+        tx.clean_text(d, remove_boilerplate=True).alias("no_boilerplate"),
+        tx.clean_text(d, remove_stopwords=True).alias("no_stopwords"),
+        tx.clean_text(d, remove_single_letters=True).alias("no_single_letters"),
+        tx.clean_text(d, remove_single_digits=True).alias("no_single_digits"),
+        tx.clean_text(d, remove_pure_punct_tokens=True).alias("no_punct_tokens"),
+        tx.clean_text(d, lowercase=True, remove_boilerplate=True, remove_stopwords=True,
+                      remove_single_letters=True, remove_single_digits=True,
+                      remove_pure_punct_tokens=True).alias("all_filters"))
+
+
+# ---------------------------------------------------------------------------
+# keyword families (documents) and unit heuristics (parts): TXF05, TXF06
+# ---------------------------------------------------------------------------
+
+def _keyword_sql() -> str:
+    from vitrine.functions import fixed
+    full = f"{S.coalesce_text('designation')} || ' ' || {S.coalesce_text('description')}"
+    cols = ", ".join(f"{S.count_re('txt', '|'.join(w))} AS \"{fam}_keywords\""
+                     for fam, w in fixed.KEYWORD_DICT.items())
+    return (S.with_(S.LISTING_DOC, f"t AS (SELECT row_id, {full} AS txt FROM listing_doc)")
+            + f"SELECT row_id, {cols} FROM t")
+
+
+@query("keyword_features_doc", ops=("TXF05", "PRJ01"), sql=_keyword_sql())
+def keyword_features_doc(spark, sf_dir):
+    lst = views.listing_doc(spark, sf_dir)
+    txt = F.concat(F.coalesce("designation", F.lit("")), F.lit(" "), F.coalesce("description", F.lit("")))
+    return lst.select("row_id", *tf.keyword_columns(txt))
+
+
+def _unit_sql() -> str:
+    from vitrine.functions import fixed
+    full = f"designation || ' ' || description"
+    anyp = "(?i)" + "|".join(f"(?:{p})" for p in fixed.UNIT_PATTERNS.values())
+    return (S.with_(S.LISTING_PART, f"t AS (SELECT row_id, {full} AS txt FROM listing_part)")
+            + f"SELECT row_id, {S.count_re('txt', S.PY_DIGIT)} AS nb_digits_text, "
+              f"CAST(regexp_matches(txt, 'n° ?(?:[0-9])+') AS INTEGER) AS contains_numerotation, "
+              f"CAST(regexp_matches(txt, {S.q(anyp)}) AS INTEGER) AS has_any_unit FROM t")
+
+
+@query("unit_features_part", ops=("TXF06",), sql=_unit_sql())
+def unit_features_part(spark, sf_dir):
+    lp = views.listing_part(spark, sf_dir)
+    txt = F.concat(F.col("designation"), F.lit(" "), F.col("description"))
+    return lp.select("row_id", *tf.unit_columns(txt))
+
+
+HTML_TOKENS = ["<li>", "<p>", "</p>", "<a ", "<div", "<script", "&amp;", "<br"]
+
+
+def _tokfreq_sql() -> str:
+    text = f"' ' || {S.coalesce_text('designation')} || ' ' || {S.coalesce_text('description')}"
+    cols = []
+    for tok in HTML_TOKENS:
+        cnt = f"CAST((length(txt) - length(replace(txt, {S.q(tok)}, ''))) / {len(tok)} AS BIGINT)"
+        cols.append(f"{cnt} AS \"html_{tok}\"")
+        cols.append(f"round(CASE WHEN length(txt) = 0 THEN 0.0 ELSE {cnt} / length(txt) END, {R}) AS \"norm_{tok}\"")
+    return (S.with_(S.LISTING_PAGE, f"t AS (SELECT row_id, {text} AS txt FROM listing_page)")
+            + f"SELECT row_id, {', '.join(cols)} FROM t")
+
+
+@query("token_frequency_pages", ops=("TXF07", "SRC04"), sql=_tokfreq_sql())
+def token_frequency_pages(spark, sf_dir):
+    lp = views.listing_page(spark, sf_dir)
+    counts = tf.token_frequency_columns(["designation", "description"], HTML_TOKENS, name_prefix="html")
+    norms = tf.token_frequency_columns(["designation", "description"], HTML_TOKENS, normalize=True,
+                                       name_prefix="norm", round_to=R)
+    return lp.select("row_id", *counts, *norms)

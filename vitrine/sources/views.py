@@ -194,10 +194,9 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from vitrine.operators.ranking import bucketed_row_number
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    stats = ev.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    lo, hi = ev.agg(F.min("value"), F.max("value")).first()  # two scalars
     ev = ev.withColumn("ts_us", F.unix_micros("ts"))
     ranked = bucketed_row_number(ev, ["user_id"], "ts_us", ["event_id"], out_col="epoch")
-    scaled = ranked.crossJoin(F.broadcast(stats))  # one-row aggregate, size-bounded
-    f1 = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-    return scaled.select(F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("name"),
+    f1 = (F.col("value") - F.lit(lo)) / F.lit(hi - lo)
+    return ranked.select(F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("name"),
                          F.col("epoch"), f1.alias("val_f1"), (F.lit(1.0) - f1).alias("val_loss"))
