@@ -78,6 +78,14 @@ def text_feature_columns(text_columns=("designation", "description")) -> list[Co
     return [_KIND_FUNCS[k](F.col(col)).alias(f"{col}_{k}") for col in text_columns for k in FEATURE_KINDS]
 
 
+def feature_column(name: str) -> Column:
+    """One TXF03 feature by its name, e.g. ``description_len_words``."""
+    for k in FEATURE_KINDS:
+        if name.endswith("_" + k):
+            return _KIND_FUNCS[k](F.col(name[: -len(k) - 1])).alias(name)
+    raise ValueError(f"unknown feature {name!r}")
+
+
 def add_text_features(df: DataFrame, text_columns=("designation", "description")) -> DataFrame:
     missing = [c for c in text_columns if c not in df.columns]
     if missing:
