@@ -107,45 +107,47 @@ MAX_CENTROID_CELLS = 1_000_000  # classes x dims fetched to the driver, checked
 
 
 def class_centroids(emb: DataFrame) -> list[tuple[int, list[float]]]:
-    """Per-label mean vector; a bounded aggregate (labels x 64)."""
+    """Per-label mean vector; a bounded aggregate (labels x 64), fetched once."""
     n = 64
     aggs = [F.avg(F.element_at("embedding", i + 1)).alias(f"m{i}") for i in range(n)]
-    cent = emb.groupBy("label").agg(*aggs)
-    n_labels = cent.count()
-    if n_labels * n > MAX_CENTROID_CELLS:
-        raise ValueError(f"{n_labels} classes x {n} dims exceeds the centroid bound")
-    rows = cent.orderBy("label").collect()
+    rows = emb.groupBy("label").agg(*aggs).collect()
+    if len(rows) * n > MAX_CENTROID_CELLS:
+        raise ValueError(f"{len(rows)} classes x {n} dims exceeds the centroid bound")
+    rows = sorted(rows, key=lambda r: r["label"])
     return [(r["label"], [float(r[f"m{i}"]) for i in range(n)]) for r in rows]
 
 
+def _sq_dist(x, centroid_slice):
+    """sum of squared differences, summed in dimension order."""
+    return F.aggregate(F.zip_with(x, centroid_slice, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                       lambda acc, v: acc + v)
+
+
 def predictions(spark: SparkSession, sf_dir: str, models=None) -> DataFrame:
     """(model, split, idx, probs ARRAY<DOUBLE>, y_true, classes ARRAY<INT>).
 
     score_c = 1 / (1 + euclidean distance to the centroid of class c on the
     model's dimension slice), normalised to sum 1.  split = 'val' for
-    vec_id % 5 = 0 else 'train'.
+    vec_id % 5 = 0 else 'train'.  The centroids (classes x 64 numbers,
+    size-checked) travel as literals: no join, one pass over the rows.
     """
     emb = table(spark, sf_dir, "embeddings")
     cents = class_centroids(emb)
     labels = [lab for lab, _ in cents]
+    base = emb.select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("__e"))
     out = []
     for model, (lo, hi) in (models or MODEL_SLICES).items():
-        scores = []
-        for _, vec in cents:
-            sq = None
-            for d in range(lo, hi + 1):
-                term = F.pow(F.element_at("embedding", d).cast("double") - F.lit(vec[d - 1]), 2)
-                sq = term if sq is None else sq + term
-            scores.append(F.lit(1.0) / (F.lit(1.0) + F.sqrt(sq)))
-        total = scores[0]
-        for s in scores[1:]:
-            total = total + s
-        probs = F.array(*[s / total for s in scores])
-        out.append(emb.select(
+        n = hi - lo + 1
+        x = F.slice("__e", lo, n)
+        scores = F.array(*[F.lit(1.0) / (F.lit(1.0) + F.sqrt(_sq_dist(x, F.array(*[F.lit(v) for v in vec[lo - 1:hi]]))))
+                           for _, vec in cents])
+        step = base.select("vec_id", "label", scores.alias("__s"))
+        total = F.aggregate("__s", F.lit(0.0), lambda acc, v: acc + v)
+        out.append(step.select(
             F.lit(model).alias("model"),
             F.when(F.col("vec_id") % 5 == 0, "val").otherwise("train").alias("split"),
             F.col("vec_id").alias("idx"),
-            probs.alias("probs"),
+            F.transform("__s", lambda v: v / total).alias("probs"),
             F.col("label").cast("int").alias("y_true"),
         ))
     res = out[0]
