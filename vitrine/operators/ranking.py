@@ -57,3 +57,39 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k
     first = first.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k).drop("__r", "__salt")
     w2 = Window.partitionBy(*group_cols).orderBy(*order)
     return first.withColumn(out_col, F.row_number().over(w2)).filter(F.col(out_col) <= k)
+
+
+def bucketed_prev_max(df: DataFrame, group_cols: list[str], order_col: str, value_col: str,
+                      out_col: str = "prev_max", n_buckets: int = 64) -> DataFrame:
+    """Exact running max of ``value_col`` over the rows *before* each row (by
+    ``order_col``) per group, without sorting a whole group in one task:
+    bucket maxima -> prefix over the small bucket table -> in-bucket window."""
+    key = F.col(order_col).cast("double")
+    bounds = df.groupBy(*group_cols).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
+    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
+    bucket = F.when(width > 0, F.least(F.floor((key - F.col("__lo")) / width), F.lit(n_buckets - 1))).otherwise(F.lit(0))
+    work = df.join(bounds, group_cols, "inner").withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
+    bmax = work.groupBy(*group_cols, "__b").agg(F.max(value_col).alias("__bm"))
+    w_prev = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    bmax = bmax.withColumn("__pm", F.max("__bm").over(w_prev)).drop("__bm")
+    work = work.join(bmax, group_cols + ["__b"], "inner")
+    w_in = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.max(value_col).over(w_in)
+    return work.withColumn(out_col, F.greatest(F.col("__pm"), inner)).drop("__b", "__pm")
+
+
+def bucketed_next(df: DataFrame, group_cols: list[str], order_col: str, out_col: str = "next",
+                  n_buckets: int = 64) -> DataFrame:
+    """Exact next ``order_col`` value after each row within its group (a
+    skew-safe ``lead``)."""
+    key = F.col(order_col).cast("double")
+    bounds = df.groupBy(*group_cols).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
+    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
+    bucket = F.when(width > 0, F.least(F.floor((key - F.col("__lo")) / width), F.lit(n_buckets - 1))).otherwise(F.lit(0))
+    work = df.join(bounds, group_cols, "inner").withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
+    bmin = work.groupBy(*group_cols, "__b").agg(F.min(order_col).alias("__bmin"))
+    w_next = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
+    bmin = bmin.withColumn("__nb", F.min("__bmin").over(w_next)).drop("__bmin")
+    work = work.join(bmin, group_cols + ["__b"], "inner")
+    w_in = Window.partitionBy(*group_cols, "__b").orderBy(order_col)
+    return work.withColumn(out_col, F.coalesce(F.lead(order_col).over(w_in), F.col("__nb"))).drop("__b", "__nb")

@@ -197,7 +197,8 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.operators.ranking import bucketed_row_number
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     lo, hi = ev.agg(F.min("value"), F.max("value")).first()  # two scalars
-    ev = ev.withColumn("ts_us", F.unix_micros("ts"))
+    # micros since the epoch, valid for TIMESTAMP and TIMESTAMP_NTZ alike
+    ev = ev.withColumn("ts_us", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
     ranked = bucketed_row_number(ev, ["user_id"], "ts_us", ["event_id"], out_col="epoch")
     f1 = (F.col("value") - F.lit(lo)) / F.lit(hi - lo)
     return ranked.select(F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("name"),
