@@ -22,3 +22,24 @@ def register_all(spark: SparkSession, sf_dir: str) -> None:
     """Register every table as a temp view (for ``spark.sql``)."""
     for name in TABLES:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer partitions than the
+    default parallelism (e.g. one large row group), so CPU-heavy per-row text
+    work is not done by a single task.  A no-op on inputs that already split
+    into enough partitions, which is the case at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    n = df._jdf.rdd().getNumPartitions()  # plans the scan; runs no job
+    return df.repartition(target) if n < target else df
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A text table, column-pruned first, then spread for per-row text work."""
+    df = table(spark, sf_dir, name)
+    if columns:
+        df = df.select(*columns)
+    return ensure_parallelism(df)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import fixed
-from vitrine.sources.tables import table
+from vitrine.sources.tables import table, text_table
 
 N_CLASSES = len(fixed.CANONICAL_CLASSES)
 
@@ -28,7 +28,7 @@ def class_code_at(idx: Column) -> Column:
 
 
 def listing_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
     nl = F.instr(F.col("text"), "\n")
     rest = F.when(nl > 0, F.expr("substring(text, instr(text, '\\n') + 1)")).otherwise(F.lit(""))
     src_idx = F.coalesce(F.regexp_extract("source", r"(\d+)", 1).try_cast("int"), F.lit(0))
@@ -45,7 +45,7 @@ def listing_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     return p.select(
         F.col("page_id").alias("row_id"),
         F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("designation"),
