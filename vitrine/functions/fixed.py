@@ -284,3 +284,35 @@ NUMERIC_GROUPS = {
 # FIXED VALUES: model display order and text-model keywords
 MODEL_ORDER = ["lenet", "resnet50", "vit", "swin", "camembert", "xlmr", "mdeberta", "flaubert"]
 TEXT_MODEL_KEYWORDS = ["camembert", "flaubert", "xlmr", "mdeberta", "bert"]
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: archive and notebook cleaner variants (CLN19, CLN20)
+# ---------------------------------------------------------------------------
+ARCHIVE_CUSTOM_STOPWORDS = ["m?"]
+
+NOTEBOOK_PUNCT_EXTRA = ["…", "’", "“", "”", "«", "»"]
+
+NOTEBOOK_BOILERPLATE = [
+    "de haute qualite", "haute qualite", "il vous plait", "vous plait", "vous plait permettre", "peut etre",
+    "peut etre legerement", "peut etre utilise", "etre legerement different", "raison de la", "en raison",
+    "en raison de", "raison de", "la couleur reelle", "couleur reelle de", "couleur reelle", "la couleur et",
+    "la couleur de", "la mesure", "la mesure manuelle", "de la mesure", "la difference", "de la difference",
+    "la lumiere", "de la lumiere", "ne pas", "ne pas utiliser", "ne pas refleter", "ne pas reflecter",
+    "ne sont pas", "pas refleter la", "pas reflecter la", "plait permettre une", "la marque", "de la marque",
+    "la main", "tout neuf", "100 tout neuf", "neuf et", "neuf et de", "tout neuf et", "forfait comprend",
+    "le forfait comprend", "le forfait", "contenu de emballage", "contenu du coffret", "le paquet contient",
+    "de element peut", "element peut etre", "permettre une legere", "duree de vie", "different des images",
+    "en fonction de",
+]
+
+# The notebook's list glues "facile" "vraiment" into one word by a missing
+# comma; both words are listed separately here (repaired).
+NOTEBOOK_STOPWORDS = [
+    "qualite", "neuf", "nouveau", "s'il", "d'un", "d'une", "ect", "m?", "plus", "peut", "etre", "être", "comme",
+    "cette", "tout", "tous", "tres", "très", "si", "aussi", "encore", "peu", "egalement", "également", "avant",
+    "entre", "grace", "grâce", "pour", "dans", "ce", "ces", "dont", "depuis", "ainsi", "son", "leurs", "avec",
+    "100%", "facile", "vraiment", "simplement", "entierement", "completement", "deja", "juste", "description:",
+    "caractéristiques:", "caractéristiques", "contenu", "type", "etc", "utiliser", "utilisé", "utilise",
+    "utilisés", "utilises", "fait", "faire", "permet", "permettre", "peuvent", "parfait", "ideal", "idéal",
+    "grand", "grande", "different", "différent", "differents", "différents", "durable",
+]

@@ -108,3 +108,14 @@ def text_prep_variants(spark, sf_dir):
         tx.granular_cleaner(merged, keep_punctuation=True).alias("granular_keep_punct"),
         tx.text_cleaner_preset(merged, lowercase_=True, remove_html_tags_=True).alias("preset_clean"),
         F.concat(F.lit("[TITRE] "), tx.final_text_cleaner(d), F.lit(" [DESC] "), tx.final_text_cleaner(s)).alias("sep_tokens"))
+
+
+@query("global_cleaners_doc", ops=("CLN19", "CLN20", "CLN01", "CLN02", "CLN03"))
+def global_cleaners_doc(spark, sf_dir):
+    """Archive and notebook cleaners over whole listings (entity decoding and
+    NFC through the gated Arrow helpers); parity with the Python rules is tested."""
+    from vitrine.functions import text as tx
+    lst = views.listing_doc(spark, sf_dir)
+    merged = F.concat_ws(" ", F.coalesce("designation", F.lit("")), F.coalesce("description", F.lit("")))
+    return lst.select("row_id", tx.archive_global_cleaner(merged).alias("archive_clean"),
+                      tx.notebook_global_cleaner(merged).alias("notebook_clean"))
