@@ -28,7 +28,11 @@ def class_code_at(idx: Column) -> Column:
 
 
 def listing_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
+    return listing_doc_from(text_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"]))
+
+
+def listing_doc_from(d: DataFrame) -> DataFrame:
+    """The listing projection over any documents frame (batch or streaming)."""
     nl = F.instr(F.col("text"), "\n")
     rest = F.when(nl > 0, F.expr("substring(text, instr(text, '\\n') + 1)")).otherwise(F.lit(""))
     src_idx = F.coalesce(F.regexp_extract("source", r"(\d+)", 1).try_cast("int"), F.lit(0))
