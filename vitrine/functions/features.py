@@ -181,3 +181,24 @@ def apply_standard_scaler(stats: dict[str, tuple[float, float]], with_mean: bool
 def weighted(c: Column, weight: float) -> Column:
     """TXF10: multiply a block by a weight."""
     return c * F.lit(float(weight))
+
+
+# ---------------------------------------------------------------------------
+# archive structural statistics (TXF04) and meta-column discovery (PRJ08)
+# ---------------------------------------------------------------------------
+
+UNIT_PATTERN = r"(?iU)\b\d+\s*(cm|mm|kg|g|ml|l|m)\b"
+MULT_PATTERN = r"(?iU)\bx\s*\d+\b|\b\d+\s*x\b"
+
+
+def structural_columns(c: Column, prefix: str) -> list[Column]:
+    """TXF04: len_char, len_tokens, num_digits, num_units, num_mult_pattern."""
+    return [len_char(c).alias(f"{prefix}_len_char"), len_words(c).alias(f"{prefix}_len_tokens"),
+            count_regex(c, r"(?U)\d").alias(f"{prefix}_num_digits"),
+            count_regex(c, UNIT_PATTERN).alias(f"{prefix}_num_units"),
+            count_regex(c, MULT_PATTERN).alias(f"{prefix}_num_mult_pattern")]
+
+
+def meta_feature_columns(columns: list[str], prefixes=("designation_cleaned_", "description_cleaned_")) -> list[str]:
+    """PRJ08: feature columns discovered by prefix, sorted."""
+    return sorted(c for c in columns if any(c.startswith(p) for p in prefixes))

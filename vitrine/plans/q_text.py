@@ -232,3 +232,30 @@ def token_frequency_pages(spark, sf_dir):
     norms = tf.token_frequency_columns(["designation", "description"], HTML_TOKENS, normalize=True,
                                        name_prefix="norm", round_to=R)
     return lp.select("row_id", *counts, *norms)
+
+
+# ---------------------------------------------------------------------------
+# archive structural statistics on cleaned part listings (TXF04, PRJ08)
+# ---------------------------------------------------------------------------
+
+def _structural_sql() -> str:
+    def cols(src, prefix):
+        t = S.coalesce_text(src)
+        return [(f"{prefix}_len_char", S.len_char(src)), (f"{prefix}_len_tokens", S.len_words(src)),
+                (f"{prefix}_num_digits", S.count_re(t, r"\p{Nd}")),
+                (f"{prefix}_num_units", S.count_re(t, r"(?i)\b\d+\s*(cm|mm|kg|g|ml|l|m)\b")),
+                (f"{prefix}_num_mult_pattern", S.count_re(t, r"(?i)\bx\s*\d+\b|\b\d+\s*x\b"))]
+    allc = cols("designation_cleaned", "designation_cleaned") + cols("description_cleaned", "description_cleaned")
+    return (S.with_(S.LISTING_PART, f"c AS (SELECT row_id, {S.native_clean('designation')} AS designation_cleaned, "
+                                   f"{S.native_clean('description')} AS description_cleaned FROM listing_part)")
+            + "SELECT row_id, " + ", ".join(f"{e} AS {n}" for n, e in allc) + " FROM c")
+
+
+@query("structural_features_part", ops=("TXF04", "PRJ08"), sql=_structural_sql())
+def structural_features_part(spark, sf_dir):
+    lp = views.listing_part(spark, sf_dir)
+    c = lp.select("row_id", tx.native_final_cleaner(F.col("designation")).alias("designation_cleaned"),
+                  tx.native_final_cleaner(F.col("description")).alias("description_cleaned"))
+    feats = c.select("row_id", *tf.structural_columns(F.col("designation_cleaned"), "designation_cleaned"),
+                     *tf.structural_columns(F.col("description_cleaned"), "description_cleaned"))
+    return feats.select("row_id", *tf.meta_feature_columns(feats.columns))

@@ -159,3 +159,37 @@ def split_weighted_blocks(spark, sf_dir):
               .unionByName(V.offset_block(de, "row_id", 300, 1.0, "description"))
               .unionByName(V.dense_block(scaled, "row_id", SCALED, 700)))
     return blocks.select("row_id", "block", "idx", F.round("weight", R).alias("weight"))
+
+
+# word + char union per column, title block weighted (four blocks)
+W_T = V.build_vectorizer("tfidf", ngram_range=(1, 2), min_df=2, max_df=0.95, max_features=300, lowercase=True)
+C_T = V.build_vectorizer("tfidf", analyzer="char", ngram_range=(3, 5), min_df=2, max_df=1.0, max_features=300, lowercase=True)
+W_D = V.build_vectorizer("tfidf", ngram_range=(1, 2), min_df=2, max_df=0.95, max_features=400, lowercase=True)
+C_D = V.build_vectorizer("tfidf", analyzer="char", ngram_range=(3, 5), min_df=2, max_df=1.0, max_features=400, lowercase=True)
+UNION_TITLE_WEIGHT = 1.2
+
+
+def _union_sql() -> str:
+    ctes = [S.LISTING_DOC, *sql_tfidf("listing_doc", "designation", W_T, "wt"), *sql_tfidf("listing_doc", "designation", C_T, "ct"),
+            *sql_tfidf("listing_doc", "description", W_D, "wd"), *sql_tfidf("listing_doc", "description", C_D, "cd")]
+    return (S.with_(*ctes) + f"SELECT row_id, block, idx, round(weight, {R}) AS weight FROM ("
+            f"SELECT row_id, 'title_word' AS block, idx, weight * {UNION_TITLE_WEIGHT} AS weight FROM wt_w UNION ALL "
+            f"SELECT row_id, 'title_char', idx + 300, weight * {UNION_TITLE_WEIGHT} FROM ct_w UNION ALL "
+            f"SELECT row_id, 'desc_word', idx + 600, weight FROM wd_w UNION ALL "
+            f"SELECT row_id, 'desc_char', idx + 1000, weight FROM cd_w)")
+
+
+@query("word_char_union_blocks", ops=("VEC12", "VEC04", "TXF10"), sql=_union_sql())
+def word_char_union_blocks(spark, sf_dir):
+    lst = views.listing_doc(spark, sf_dir)
+    parts = []
+    for cfg, col, off, w, name in ((W_T, "designation", 0, UNION_TITLE_WEIGHT, "title_word"),
+                                   (C_T, "designation", 300, UNION_TITLE_WEIGHT, "title_char"),
+                                   (W_D, "description", 600, 1.0, "desc_word"),
+                                   (C_D, "description", 1000, 1.0, "desc_char")):
+        _, long = V.fit_transform(lst, "row_id", F.col(col), cfg)
+        parts.append(V.offset_block(long, "row_id", off, w, name))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("row_id", "block", "idx", F.round("weight", R).alias("weight"))
