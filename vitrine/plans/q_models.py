@@ -119,3 +119,31 @@ def global_cleaners_doc(spark, sf_dir):
     merged = F.concat_ws(" ", F.coalesce("designation", F.lit("")), F.coalesce("description", F.lit("")))
     return lst.select("row_id", tx.archive_global_cleaner(merged).alias("archive_clean"),
                       tx.notebook_global_cleaner(merged).alias("notebook_clean"))
+
+
+@query("ml_pipeline_roundtrip", ops=("UDF01", "UDF02", "UDF05", "SRC09", "TXF11"))
+def ml_pipeline_roundtrip(spark, sf_dir):
+    """Cleaner + features + weighted TF-IDF blocks as an ML Pipeline: fit,
+    save to the shared folder, load, transform; feature names from the stages."""
+    import json
+    from pyspark.ml import Pipeline, PipelineModel
+    from vitrine.functions.ml import TextCleaner, TextFeatures, TfidfBlock
+    from vitrine.sources.store import new_folder
+    lst = views.listing_doc(spark, sf_dir)
+    cfg = json.dumps({"kind": "tfidf", "ngram_range": [1, 1], "max_features": 200, "lowercase": True})
+    pipe = Pipeline(stages=[
+        TextCleaner(inputCol="designation", outputCol="title_clean", flags=json.dumps({"lowercase": True, "remove_punctuation": True})),
+        TextFeatures(textCols=["designation", "description"]),
+        TfidfBlock(inputCol="title_clean", outputCol="title_vec", config=cfg, weight=1.5),
+    ])
+    model = pipe.fit(lst)
+    path = new_folder(spark, "pipeline")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    out = loaded.transform(lst)
+    names = loaded.stages[2].get_feature_names_out()
+    from pyspark.ml.functions import vector_to_array
+    return out.select("row_id", "title_clean", "designation_len_words",
+                      F.when(F.col("title_vec").isNull(), F.lit(0))
+                       .otherwise(F.size(F.filter(vector_to_array("title_vec"), lambda v: v != 0))).alias("n_terms"),
+                      F.lit(len(names)).alias("vocab_size"))
