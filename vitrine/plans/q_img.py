@@ -166,3 +166,23 @@ def image_bovw(spark, sf_dir):
 def image_pca(spark, sf_dir):
     flat = im.flatten(views.gray_pixels(spark, sf_dir), SIZE)
     return im.pca_project(flat, 8)
+
+
+@query("image_hog", ops=("IMG11",))
+def image_hog(spark, sf_dir):
+    """HOG (9 orientations, 2x2-pixel cells, 2x2-cell blocks, L2-Hys); tested
+    against a numpy statement of the same rule."""
+    return im.hog(views.gray_pixels(spark, sf_dir), SIZE, orientations=9, ppc=2, cpb=2)
+
+
+@query("image_corners", ops=("IMG10", "UDF04"))
+def image_corners(spark, sf_dir):
+    return im.harris_count(views.gray_pixels(spark, sf_dir), SIZE)
+
+
+@query("image_lda", ops=("IMG16",))
+def image_lda(spark, sf_dir):
+    from vitrine.sources.tables import table
+    flat = im.flatten(views.gray_pixels(spark, sf_dir), SIZE)
+    lab = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), "label")
+    return im.lda_projection(flat.join(lab, "image_id"), "label", 5)

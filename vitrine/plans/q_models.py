@@ -147,3 +147,20 @@ def ml_pipeline_roundtrip(spark, sf_dir):
                       F.when(F.col("title_vec").isNull(), F.lit(0))
                        .otherwise(F.size(F.filter(vector_to_array("title_vec"), lambda v: v != 0))).alias("n_terms"),
                       F.lit(len(names)).alias("vocab_size"))
+
+
+@query("boosted_trees_ovr", ops=("MDL05",))
+def boosted_trees_ovr(spark, sf_dir):
+    """One-vs-rest gradient-boosted trees (small: 5 trees, depth 3, 100 terms)."""
+    from vitrine.operators import models as mdl
+    from vitrine.operators import evaluate as ev
+    from vitrine.operators import vectorize as V
+    data = _data(spark, sf_dir).cache()
+    cfg = X.ExperimentConfig("gbt", clean={"lowercase": True}, max_features=100)
+    long, size = X.feature_table(data, cfg)
+    full = data.select("row_id", "label", "split").join(V.to_vectors(long, "row_id", size), "row_id").cache()
+    train, val = full.filter("split = 'train'"), full.filter("split = 'val'")
+    model = mdl.build_model("gbt", train.count(), n_estimators=5, max_depth=3).fit(train)
+    pred = model.transform(val).select(F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
+    m = ev.metrics(ev.confusion(pred.withColumn("model", F.lit("gbt_ovr")), ["model"]), ["model"])
+    return m
