@@ -65,3 +65,58 @@ def test_unflatten_rejects_non_square(spark):
     df = spark.createDataFrame([(1, [1, 2, 3])], "image_id long, pixels array<int>")
     with pytest.raises(Exception):
         im.unflatten(df).collect()
+
+
+def _png(path, rgb):
+    """Write a tiny RGB PNG with the standard library (zlib + struct)."""
+    import struct
+    import zlib
+    h, w, _ = rgb.shape
+    raw = b"".join(b"\x00" + bytes(rgb[y].astype("uint8").ravel()) for y in range(h))
+
+    def chunk(t, d):
+        c = struct.pack(">I", len(d)) + t + d
+        return c + struct.pack(">I", zlib.crc32(t + d) & 0xFFFFFFFF)
+    data = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + \
+        chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+    with open(path, "wb") as f:
+        f.write(data)
+
+
+def test_image_source_reads_rgb(spark, tmp_path):
+    from vitrine.sources.store import read_images
+    rgb = np.zeros((3, 4, 3), dtype=np.uint8)
+    rgb[..., 0] = 200
+    rgb[1, 2] = [10, 20, 30]
+    _png(tmp_path / "image_1_product_2.png", rgb)
+    px = {(r.y, r.x): (r.r, r.g, r.b) for r in read_images(spark, str(tmp_path)).collect()}
+    assert len(px) == 12 and px[(0, 0)] == (200, 0, 0) and px[(1, 2)] == (10, 20, 30)
+
+
+def test_hog_matches_numpy(spark):
+    rng = np.random.default_rng(3)
+    img = rng.integers(0, 256, size=(8, 8)).astype(float)
+    df = spark.createDataFrame([(1, y, x, int(img[y, x])) for y in range(8) for x in range(8)],
+                               "image_id long, y long, x long, v int")
+    got = {(r.by, r.bx, r.cy, r.cx, r.bin): r.value for r in im.hog(df, 8, 9, 2, 2).collect()}
+    gy = np.zeros_like(img); gx = np.zeros_like(img)
+    gy[1:-1, :] = img[2:, :] - img[:-2, :]
+    gx[:, 1:-1] = img[:, 2:] - img[:, :-2]
+    mag = np.hypot(gx, gy)
+    ori = np.rad2deg(np.arctan2(gy, gx)) % 180
+    cells = np.zeros((4, 4, 9))
+    for y in range(8):
+        for x in range(8):
+            b = min(int(ori[y, x] // 20), 8)
+            cells[y // 2, x // 2, b] += mag[y, x] / 4
+    for by in range(3):
+        for bx in range(3):
+            blk = cells[by:by + 2, bx:bx + 2, :]
+            v = blk / np.sqrt((blk ** 2).sum() + 1e-10)
+            v = np.minimum(v, 0.2)
+            v = v / np.sqrt((v ** 2).sum() + 1e-10)
+            for cy in range(2):
+                for cx in range(2):
+                    for b in range(9):
+                        g = got.get((by, bx, cy, cx, b), 0.0)
+                        assert abs(g - v[cy, cx, b]) < 1e-9 or (v[cy, cx, b] == 0 and (by, bx, cy, cx, b) not in got)

@@ -110,7 +110,7 @@ def text_prep_variants(spark, sf_dir):
         F.concat(F.lit("[TITRE] "), tx.final_text_cleaner(d), F.lit(" [DESC] "), tx.final_text_cleaner(s)).alias("sep_tokens"))
 
 
-@query("global_cleaners_doc", ops=("CLN19", "CLN20", "CLN01", "CLN02", "CLN03"))
+@query("global_cleaners_doc", ops=("CLN19", "CLN20", "CLN01", "CLN02", "CLN03", "UDF03"))
 def global_cleaners_doc(spark, sf_dir):
     """Archive and notebook cleaners over whole listings (entity decoding and
     NFC through the gated Arrow helpers); parity with the Python rules is tested."""

@@ -138,3 +138,29 @@ def config_diff(a: DataFrame, b: DataFrame) -> DataFrame:
              .select("key", F.coalesce("config_1", F.lit("N/A")).alias("config_1"),
                      F.coalesce("config_2", F.lit("N/A")).alias("config_2"),
                      (F.coalesce("config_1", F.lit("N/A")) != F.coalesce("config_2", F.lit("N/A"))).alias("differs")))
+
+
+# ---------------------------------------------------------------------------
+# image files (SRC02)
+# ---------------------------------------------------------------------------
+
+def read_images(spark: SparkSession, path: str, grayscale: bool = False) -> DataFrame:
+    """SRC02: decode image files with Spark's ``image`` source (JVM decode, BGR
+    byte order) into a pixel table ``(origin, y, x, r, g, b)`` or ``(origin, y, x, v)``
+    (OpenCV gray rule).  Resizing is ``images.resize`` on the pixel table."""
+    from vitrine.operators.images import gray_from_rgb
+    img = spark.read.format("image").option("dropInvalid", True).load(path)
+    x = img.select(F.col("image.origin").alias("origin"), F.col("image.height").alias("h"),
+                   F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"), F.col("image.data").alias("data"))
+    # one byte per (pixel, channel): explode positions, read the byte as unsigned
+    x = x.select("origin", "w", "c", "data", F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)).alias("p"))
+    def byte_at(off):
+        b = F.conv(F.hex(F.substring("data", F.col("p") * F.col("c") + off + 1, 1)), 16, 10).cast("int")
+        return b
+    px = x.select("origin", (F.col("p") / F.col("w")).cast("long").alias("y"), (F.col("p") % F.col("w")).alias("x"),
+                  F.when(F.col("c") >= 3, byte_at(2)).otherwise(byte_at(0)).alias("r"),
+                  F.when(F.col("c") >= 3, byte_at(1)).otherwise(byte_at(0)).alias("g"),
+                  byte_at(0).alias("b"))
+    if grayscale:
+        return px.select("origin", "y", "x", gray_from_rgb(F.col("r"), F.col("g"), F.col("b")).alias("v"))
+    return px
