@@ -139,24 +139,24 @@ def predictions(spark: SparkSession, sf_dir: str, models=None) -> DataFrame:
     cents = class_centroids(emb)
     labels = [lab for lab, _ in cents]
     base = emb.select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("__e"))
-    out = []
+    per_model = []
     for model, (lo, hi) in (models or MODEL_SLICES).items():
         n = hi - lo + 1
         x = F.slice("__e", lo, n)
         scores = F.array(*[F.lit(1.0) / (F.lit(1.0) + F.sqrt(_sq_dist(x, F.array(*[F.lit(v) for v in vec[lo - 1:hi]]))))
                            for _, vec in cents])
-        step = base.select("vec_id", "label", scores.alias("__s"))
-        total = F.aggregate("__s", F.lit(0.0), lambda acc, v: acc + v)
-        out.append(step.select(
-            F.lit(model).alias("model"),
-            F.when(F.col("vec_id") % 5 == 0, "val").otherwise("train").alias("split"),
-            F.col("vec_id").alias("idx"),
-            F.transform("__s", lambda v: v / total).alias("probs"),
-            F.col("label").cast("int").alias("y_true"),
-        ))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
+        per_model.append(F.struct(F.lit(model).alias("model"), scores.alias("s")))
+    # one scan: every model's scores in the same projection, then one row per model
+    step = base.select("vec_id", "label", F.explode(F.array(*per_model)).alias("__m"))
+    step = step.select("vec_id", "label", F.col("__m.model").alias("model"), F.col("__m.s").alias("__s"))
+    step = step.withColumn("__t", F.aggregate("__s", F.lit(0.0), lambda acc, v: acc + v))
+    res = step.select(
+        "model",
+        F.when(F.col("vec_id") % 5 == 0, "val").otherwise("train").alias("split"),
+        F.col("vec_id").alias("idx"),
+        F.transform("__s", lambda v: v / F.col("__t")).alias("probs"),
+        F.col("label").cast("int").alias("y_true"),
+    )
     return res.withColumn("classes", F.array(*[F.lit(int(x)) for x in labels]))
 
 
