@@ -45,3 +45,9 @@ def test_top_k_per_group(spark):
     got = top_k_per_group(df, ["g"], [F.desc("v"), F.asc("id")], 3).select("g", "id", "rank")
     want = df.select("g", "id", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"), "id")).alias("rank")).filter("rank <= 3")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_null_group_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, None, 3), (3, 1, 4)], "id long, g int, k long")
+    got = sorted((r.id, r.rn) for r in bucketed_row_number(df, ["g"], "k", ["id"], "rn").collect())
+    assert got == [(1, 2), (2, 1), (3, 1)]

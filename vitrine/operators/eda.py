@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions import fixed
-from vitrine.operators.ranking import bucketed_row_number
+from vitrine.operators.ranking import bucketed_row_number, join_on
 
 
 def null_rates(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -106,7 +106,7 @@ def duplicate_groups(df: DataFrame, keys: list[str], id_col: str = "row_id") ->
     AQE splits a hot duplicate group on the join side.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count"))
-    return (df.join(sizes, keys, "inner")
+    return (join_on(df, sizes, keys)
               .select(id_col, *keys, "dup_count", (F.col("dup_count") > 1).alias("is_duplicate")))
 
 

@@ -16,10 +16,20 @@ The result is the same number ``row_number`` would give.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` that also matches NULL keys (no row is lost when a
+    group key is NULL); the right side's key columns are dropped."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def bucketed_row_number(df: DataFrame, group_cols: list[str], order_key: str,
                         tie_cols: list[str], out_col: str = "rn",
                         n_buckets: int = 64, descending: bool = False) -> DataFrame:
@@ -36,11 +46,11 @@ def bucketed_row_number(df: DataFrame, group_cols: list[str], order_key: str,
     bucket = F.when(width > 0,
                     F.least(F.floor((F.col("__k") - F.col("__lo")) / width), F.lit(n_buckets - 1))
                     ).otherwise(F.lit(0)).cast("int")
-    work = work.join(bounds, group_cols, "inner").withColumn("__b", bucket).drop("__lo", "__hi")
+    work = join_on(work, bounds, group_cols).withColumn("__b", bucket).drop("__lo", "__hi")
     counts = work.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__n"))
     w_off = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))).drop("__n")
-    work = work.join(offsets, group_cols + ["__b"], "inner")
+    work = join_on(work, offsets, group_cols + ["__b"])
     w_rank = Window.partitionBy(*group_cols, "__b").orderBy(F.col("__k"), *[F.col(c) for c in tie_cols])
     return (work.withColumn(out_col, (F.row_number().over(w_rank) + F.col("__off")).cast("long"))
                 .drop("__k", "__b", "__off"))
@@ -68,11 +78,11 @@ def bucketed_prev_max(df: DataFrame, group_cols: list[str], order_col: str, valu
     bounds = df.groupBy(*group_cols).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
     bucket = F.when(width > 0, F.least(F.floor((key - F.col("__lo")) / width), F.lit(n_buckets - 1))).otherwise(F.lit(0))
-    work = df.join(bounds, group_cols, "inner").withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
+    work = join_on(df, bounds, group_cols).withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
     bmax = work.groupBy(*group_cols, "__b").agg(F.max(value_col).alias("__bm"))
     w_prev = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bmax = bmax.withColumn("__pm", F.max("__bm").over(w_prev)).drop("__bm")
-    work = work.join(bmax, group_cols + ["__b"], "inner")
+    work = join_on(work, bmax, group_cols + ["__b"])
     w_in = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     inner = F.max(value_col).over(w_in)
     return work.withColumn(out_col, F.greatest(F.col("__pm"), inner)).drop("__b", "__pm")
@@ -86,10 +96,10 @@ def bucketed_next(df: DataFrame, group_cols: list[str], order_col: str, out_col:
     bounds = df.groupBy(*group_cols).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
     bucket = F.when(width > 0, F.least(F.floor((key - F.col("__lo")) / width), F.lit(n_buckets - 1))).otherwise(F.lit(0))
-    work = df.join(bounds, group_cols, "inner").withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
+    work = join_on(df, bounds, group_cols).withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
     bmin = work.groupBy(*group_cols, "__b").agg(F.min(order_col).alias("__bmin"))
     w_next = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
     bmin = bmin.withColumn("__nb", F.min("__bmin").over(w_next)).drop("__bmin")
-    work = work.join(bmin, group_cols + ["__b"], "inner")
+    work = join_on(work, bmin, group_cols + ["__b"])
     w_in = Window.partitionBy(*group_cols, "__b").orderBy(order_col)
     return work.withColumn(out_col, F.coalesce(F.lead(order_col).over(w_in), F.col("__nb"))).drop("__b", "__nb")

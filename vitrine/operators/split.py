@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.ranking import bucketed_row_number
+from vitrine.operators.ranking import bucketed_row_number, join_on
 
 
 def seeded_key(idx: Column, seed: int) -> Column:
@@ -42,7 +42,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float =
     quotas = class_quotas(counts, label, test_size)
     keyed = df.withColumn("__key", seeded_key(F.col(id_col), seed))
     ranked = bucketed_row_number(keyed, [label], "__key", [id_col], out_col="__rn")
-    out = ranked.join(F.broadcast(quotas.select(label, "quota")), label, "inner")  # one row per class
+    out = join_on(ranked, F.broadcast(quotas.select(label, "quota")), [label])  # one row per class
     return (out.withColumn("split", F.when(F.col("__rn") <= F.col("quota"), test_name).otherwise(train_name))
                .drop("__key", "__rn", "quota"))
 
