@@ -35,6 +35,7 @@ HEADLINE = [
     "image_directional_edges",
     "image_color_proportions",
     "coefficient_importance",
+    "best_vectorization_fit",
 ]
 
 

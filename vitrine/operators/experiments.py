@@ -38,6 +38,8 @@ class ExperimentConfig:
     model: str = "logreg"
     C: float = 2.0
     max_iter: int = 30
+    max_features_desc: int | None = None
+    feature_cols: list | None = None
 
     def record(self) -> dict:
         return {"experiment": self.name, "group": self.group, "strategy": self.strategy, "vectorizer": self.vectorizer,
@@ -79,18 +81,21 @@ def feature_table(data: DataFrame, cfg: ExperimentConfig) -> tuple[DataFrame, in
         blocks.append(V.offset_block(fitted.transform(cleaned, "row_id", merged), "row_id", 0, 1.0, "text"))
         offset = fitted.vocab_size()
     else:
+        dcfg = vcfg if cfg.max_features_desc is None else V.build_vectorizer(
+            cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features_desc, min_df=2, max_df=0.95)
         ft = V.fit(train, "row_id", F.col("title_clean"), vcfg, cache=True)
-        fd = V.fit(train, "row_id", F.col("desc_clean"), vcfg, cache=True)
+        fd = V.fit(train, "row_id", F.col("desc_clean"), dcfg, cache=True)
         nt = ft.vocab_size()
         blocks.append(V.offset_block(ft.transform(cleaned, "row_id", F.col("title_clean")), "row_id", 0, cfg.title_weight, "title"))
         blocks.append(V.offset_block(fd.transform(cleaned, "row_id", F.col("desc_clean")), "row_id", nt, 1.0, "description"))
         offset = nt + fd.vocab_size()
     if cfg.use_features:
-        feats = data.select("row_id", "split", *[tf.feature_column(n) for n in FEATURE_COLS])
-        stats = tf.fit_standard_scaler(feats.filter(F.col("split") == "train"), FEATURE_COLS)
+        fcols = list(cfg.feature_cols or FEATURE_COLS)
+        feats = data.select("row_id", "split", *[tf.feature_column(n) for n in fcols])
+        stats = tf.fit_standard_scaler(feats.filter(F.col("split") == "train"), fcols)
         scaled = feats.select("row_id", *tf.apply_standard_scaler(stats))
-        blocks.append(V.dense_block(scaled, "row_id", FEATURE_COLS, offset))
-        offset += len(FEATURE_COLS)
+        blocks.append(V.dense_block(scaled, "row_id", fcols, offset))
+        offset += len(fcols)
     long = blocks[0]
     for b in blocks[1:]:
         long = long.unionByName(b)
@@ -112,15 +117,18 @@ def run_experiment(data: DataFrame, cfg: ExperimentConfig, n_classes: int) -> di
     val = full.filter(F.col("split") == "val")
     res = mdl.train_and_evaluate(cfg.model, train, val, n_classes, C=cfg.C, max_iter=cfg.max_iter)
     m = ev.metrics(ev.confusion(res["predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()
+    mt = ev.metrics(ev.confusion(res["train_predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()  # EVA07
     full.unpersist()
     res["predictions"].unpersist()
     return {**cfg.record(), "f1_weighted": float(m["f1_weighted"]), "accuracy": float(m["accuracy"]),
-            "f1_macro": float(m["f1_macro"]), "fit_s": res["fit_s"], "predict_s": res["predict_s"], "n_features": size}
+            "f1_macro": float(m["f1_macro"]), "f1_train": float(mt["f1_weighted"]), "fit_s": res["fit_s"],
+            "predict_s": res["predict_s"], "n_features": size}
 
 
 RESULT_SCHEMA = ("experiment STRING, `group` STRING, strategy STRING, vectorizer STRING, max_features INT, "
                  "ngram_range STRING, title_weight DOUBLE, use_features BOOLEAN, model STRING, C DOUBLE, "
-                 "f1_weighted DOUBLE, accuracy DOUBLE, f1_macro DOUBLE, fit_s DOUBLE, predict_s DOUBLE, n_features INT")
+                 "f1_weighted DOUBLE, accuracy DOUBLE, f1_macro DOUBLE, f1_train DOUBLE, fit_s DOUBLE, predict_s DOUBLE, "
+                 "n_features INT")
 
 
 def run_all(spark, data: DataFrame, configs: list[ExperimentConfig], n_classes: int = 27) -> DataFrame:

@@ -19,11 +19,9 @@ BROADCAST_PROFILE_ROWS = 5_000_000
 
 
 def trigram_counts(df: DataFrame, id_col: str, text: Column) -> DataFrame:
-    cfg = V.build_vectorizer("count", analyzer="char", ngram_range=(3, 3), lowercase=True, min_df=1, max_df=1.0)
     base = df.select(F.col(id_col), F.lower(F.coalesce(text, F.lit(""))).alias("__t"))
     chars = base.select(F.col(id_col), F.regexp_extract_all("__t", F.lit("(?s)."), 0).alias("__c"))
     grams = chars.select(F.col(id_col), V.char_ngram_array(F.col("__c"), 3).alias("terms"))
-    del cfg
     return V.term_counts(grams, id_col)
 
 

@@ -41,8 +41,9 @@ def build_model(name: str, n_train: int, C: float = 1.0, balanced: bool = False,
     weight = {"weightCol": "weight"} if balanced else {}
     if name == "logreg":
         # scikit: C * sum(loss) + ||w||^2 / 2  ==  Spark: mean(loss) + regParam * ||w||^2 / 2
+        # tol = scikit's default (1e-4) for the relative change of the loss
         return LogisticRegression(family="multinomial", regParam=1.0 / (C * n_train), elasticNetParam=0.0,
-                                  standardization=False, maxIter=max_iter, **weight)
+                                  standardization=False, maxIter=max_iter, tol=kw.get("tol", 1e-4), **weight)
     if name == "svm":
         return OneVsRest(classifier=LinearSVC(regParam=1.0 / (C * n_train), maxIter=max_iter, standardization=False))
     if name == "gbt":
@@ -92,13 +93,19 @@ def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, n_classes: i
         fit_s = time.time() - t0
         t1 = time.time()
         pred = predict_ridge(models, val)
+        train_pred = predict_ridge(models, train)
     else:
         est = build_model(name, n, **params)
         model = est.fit(train)
         fit_s = time.time() - t0
         t1 = time.time()
         pred = model.transform(val)
-    pred = pred.select("row_id", F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
-    pred = pred.cache()  # val-sized; metrics read it several times
+        train_pred = model.transform(train)
+
+    def _sel(p):
+        return p.select("row_id", F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
+    pred = _sel(pred).cache()  # val-sized; metrics read it several times
     pred.count()
-    return {"model": name, "fit_s": fit_s, "predict_s": time.time() - t1, "predictions": pred}
+    predict_s = time.time() - t1
+    return {"model": name, "fit_s": fit_s, "predict_s": predict_s, "predictions": pred,
+            "train_predictions": _sel(train_pred)}

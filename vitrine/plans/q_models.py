@@ -164,3 +164,17 @@ def boosted_trees_ovr(spark, sf_dir):
     pred = model.transform(val).select(F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
     m = ev.metrics(ev.confusion(pred.withColumn("model", F.lit("gbt_ovr")), ["model"]), ["model"])
     return m
+
+
+@query("best_vectorization_fit", ops=("EXP04", "VEC09", "TXF09", "TXF10", "MDL03", "MDL10"))
+def best_vectorization_fit(spark, sf_dir):
+    """The reference's best vectoriser configuration (split TF-IDF 20k + 20k,
+    unigrams, title x1.5, the 12 scaled features, logistic regression), fitted
+    on the train split with fit / predict seconds."""
+    from vitrine.functions import features as tf
+    cfg = X.ExperimentConfig("best_vectorization", "best", strategy="split", vectorizer="tfidf", max_features=20000,
+                             max_features_desc=20000, ngram_range=(1, 1), title_weight=1.5, use_features=True,
+                             feature_cols=tf.feature_names(), model="logreg", C=1.0, max_iter=100,
+                             clean={"fix_encoding": True, "unescape_html": True, "normalize_unicode": True,
+                                    "remove_html_tags": True, "lowercase": True, "remove_punctuation": True})
+    return X.run_all(spark, _data(spark, sf_dir), [cfg])

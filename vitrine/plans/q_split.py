@@ -335,3 +335,27 @@ def score_tracking(spark, sf_dir):
     mm = ev.metrics(ev.confusion(s, ["model", "split"]), ["model", "split"]).select(
         F.col("model").alias("experiment"), "split", F.round("f1_weighted", R).alias("f1_score"), F.round("accuracy", R).alias("accuracy"))
     return res.unionByName(mm, allowMissingColumns=True).orderBy(F.desc("f1_score"))
+
+
+FINDINGS = [("fusion_vs_single", "single_model_a", "simple_average"),
+            ("weighted_vs_simple", "simple_average", "weighted_average"),
+            ("geometric_vs_simple", "simple_average", "geometric_mean"),
+            ("voting_vs_single", "single_model_a", "voting")]
+
+
+@query("experiment_report", ops=("EXP12", "EXP13"),
+       sql=S.with_(*_fusion_sql_ctes(), "f AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in FINDINGS)
+                   + ") t(finding, from_exp, to_exp))",
+                   "best AS (SELECT max(f1_weighted) AS best FROM results)",
+                   "bw AS (SELECT f1_weighted AS w FROM results WHERE experiment = 'weighted_average')")
+       + f"SELECT f.finding, f.from_exp, f.to_exp, round(a.f1_weighted, {R}) AS from_score, round(b.f1_weighted, {R}) AS to_score, "
+         f"round((b.f1_weighted - a.f1_weighted) / a.f1_weighted * 100, {R}) AS improvement_pct, "
+         "(SELECT abs(best - w) <= 1e-4 FROM best, bw) AS weighted_is_best "
+         "FROM f LEFT JOIN results a ON f.from_exp = a.experiment LEFT JOIN results b ON f.to_exp = b.experiment")
+def experiment_report(spark, sf_dir):
+    res = fusion_experiments(spark, sf_dir).cache()
+    exported = res.filter(F.col("experiment") == "weighted_average").first()["f1_weighted"]
+    ok = hist.verify_best(res, exported)
+    rep = hist.improvement_report(res, FINDINGS)
+    return rep.select("finding", "from_exp", "to_exp", *[F.round(c, R).alias(c) for c in ("from_score", "to_score", "improvement_pct")],
+                      F.lit(ok).alias("weighted_is_best"))
