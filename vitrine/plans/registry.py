@@ -7,6 +7,7 @@ rule in DuckDB SQL over the same parquet files.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,10 +28,21 @@ REGISTRY: dict[str, Entry] = {}
 
 
 def query(name: str, ops: tuple[str, ...] | list[str] = (), sql: str | None = None):
-    """Register a query builder; ``ops`` lists the SURVEY ids it covers."""
+    """Register a query builder; ``ops`` lists the SURVEY ids it covers.
+
+    The registered builder first makes the package importable on the
+    executors (Python UDF workers), once per application.
+    """
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query name {name}")
-        REGISTRY[name] = Entry(name, fn, sql, tuple(ops))
+
+        @functools.wraps(fn)
+        def builder(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from vitrine.session import ship_package
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = Entry(name, builder, sql, tuple(ops))
         return fn
     return deco

@@ -69,3 +69,30 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vitrine`` importable in Python workers (pandas UDFs,
+    ``applyInPandas``) wherever the driver runs from: zip the package once per
+    application and hand it to ``addPyFile`` (Spark distributes it)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import vitrine
+    root = os.path.dirname(os.path.abspath(vitrine.__file__))
+    fd, path = tempfile.mkstemp(suffix=".zip", prefix="vitrine-pkg-")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
