@@ -111,7 +111,10 @@ def run_experiment(data: DataFrame, cfg: ExperimentConfig, n_classes: int) -> di
     from pyspark.ml.linalg import SparseVector
     from pyspark.ml.linalg import VectorUDT
     empty = F.udf(lambda: SparseVector(size, [], []), VectorUDT())()
-    full = full.withColumn("features", F.coalesce(F.col("features"), empty)).cache()
+    # the fit makes one pass per iteration: spread the vectors over the
+    # cluster's cores (not over spark.sql.shuffle.partitions tiny tasks)
+    par = full.sparkSession.sparkContext.defaultParallelism
+    full = full.withColumn("features", F.coalesce(F.col("features"), empty)).repartition(par).cache()
     full.count()
     train = full.filter(F.col("split") == "train")
     val = full.filter(F.col("split") == "val")
