@@ -120,3 +120,12 @@ def test_hog_matches_numpy(spark):
                     for b in range(9):
                         g = got.get((by, bx, cy, cx, b), 0.0)
                         assert abs(g - v[cy, cx, b]) < 1e-9 or (v[cy, cx, b] == 0 and (by, bx, cy, cx, b) not in got)
+
+
+def test_unbounded_vocabulary_uses_distributed_index(spark):
+    lst = views.listing_doc(spark, SF_SMALL)
+    cfg = V.build_vectorizer("count", ngram_range=(1, 1), max_features=None, min_df=2, max_df=1.0)
+    fitted = V.fit(lst, "row_id", F.col("description"), cfg)
+    rows = fitted.vocab.orderBy("idx").collect()
+    assert [r.idx for r in rows] == list(range(len(rows)))
+    assert [r.term for r in rows] == sorted(r.term for r in rows)
