@@ -221,3 +221,28 @@ def cleaning_config_lengths(spark, sf_dir):
     stack = ", ".join(f"'{k}', `{k}`" for k in _CONFIGS)
     return aggd.selectExpr(f"stack({len(_CONFIGS)}, {stack}) AS (config, avg_length)").select(
         "config", F.round("avg_length", R).alias("avg_length"))
+
+
+def _summary_sql() -> str:
+    feats = {n: e for col in ("designation", "description") for n, e in S.text_features(col)}
+    cols = []
+    for col in ("designation", "description"):
+        for k in ("len_char", "len_words", "num_digits", "num_punctuation"):
+            cols.append(f"round(avg({col}_{k}), {R}) AS mean_{col}_{k}")
+        for k in ("uppercase_ratio", "digit_ratio"):
+            cols.append(f"round(avg({col}_{k}) * 100, {R}) AS pct_{col}_{k}")
+    return (S.with_(S.LISTING_DOC, "f AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in feats.items()) + " FROM listing_doc)")
+            + "SELECT " + ", ".join(cols) + " FROM f")
+
+
+@query("feature_summary", ops=("AGG10", "TXF03"), sql=_summary_sql())
+def feature_summary(spark, sf_dir):
+    """AGG10: mean lengths / counts and the two ratios in percent, one row."""
+    feats = views.listing_doc(spark, sf_dir).select(*tf.text_feature_columns())
+    aggs = []
+    for col in ("designation", "description"):
+        for k in ("len_char", "len_words", "num_digits", "num_punctuation"):
+            aggs.append(F.round(F.avg(f"{col}_{k}"), R).alias(f"mean_{col}_{k}"))
+        for k in ("uppercase_ratio", "digit_ratio"):
+            aggs.append(F.round(F.avg(f"{col}_{k}") * 100, R).alias(f"pct_{col}_{k}"))
+    return feats.agg(*aggs)
