@@ -101,3 +101,21 @@ def _follow(first: DataFrame, then: DataFrame) -> DataFrame:
     """The map ``then`` after ``first``; a label unknown to ``then`` stays."""
     then = then.select(F.col("id").alias("to"), F.col("to").alias("__next"))
     return first.join(then, "to", "left").select("id", F.coalesce("__next", "to").alias("to"))
+
+
+def running_total(df: DataFrame, value: str, order: str, out: str, by: tuple[str, ...] = (), block: int = 1024, descending: bool = False) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows before this one in
+    ``order`` (non-negative integers, distinct within ``by``); with
+    ``descending``, over the rows after it.  Blocks of ``block`` order numbers
+    are summed first, so no task sorts more than a block or the blocks' sums."""
+    df = df.withColumn("__block", F.call_function("div", F.col(order), F.lit(block)))
+    sums = df.groupBy(*by, "__block").agg(F.sum(value).alias("__sum"))
+
+    def before(keys: tuple[str, ...], col: str, by_col: str) -> Column:
+        first = F.col(by_col).desc() if descending else F.col(by_col)
+        return F.coalesce(F.sum(col).over(W.partitionBy(*keys).orderBy(first).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    sums = sums.withColumn("__earlier", before(by, "__sum", "__block"))
+    same = " and ".join(f"d.`{c}` <=> s.`{c}`" for c in (*by, "__block"))
+    joined = df.alias("d").join(sums.alias("s"), F.expr(same)).select("d.*", "__earlier")
+    return joined.withColumn(out, before((*by, "__block"), value, order) + F.col("__earlier")).drop("__block", "__earlier")

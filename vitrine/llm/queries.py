@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, minhash, quality
+from vitrine.llm import decontaminate, license, minhash, mixing, quality, repair, sharding, tokencount, urlfilter, warc
+from vitrine.llm.common import new_folder
 from vitrine.llm.registry import query
 from vitrine.sources.tables import table
 
@@ -35,11 +36,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM s"""
 
 
+
+def byte_bpe() -> str:
+    """Place of the byte-level BPE vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query("op1_minhash_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.histogram(table(spark, sf_dir, "documents").select("source", "text"), byte_bpe(), by=("source",))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_benchmark_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -48,9 +66,49 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+@query("op5_source_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "rate", "copies")
+
+
+@query("op6_warc")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = warc.write_archive(pages)
+    return warc.read_captures(archive, pages).drop("url", "payload")
+
+
 @query("op7_quality_rules", SQL_OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.cascade(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_signals=signals)
     base = " or ".join(rule.sql() for rule in quality.BASE)
     return judged.select("doc_id", *signals, F.expr(base).alias("base_failed"), "kept")
+
+
+@query("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.select("doc_id", (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    placed = sharding.shard(rows, 40, order=["doc_id", "text_crc32", "size"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_token_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-shards")
+    manifest = repair.write_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), byte_bpe(), folder)
+    return repair.read_shards(manifest, folder)
+
+
+URL_RULES = [urlfilter.UrlRule("allow", "com/"), urlfilter.UrlRule("block", "example.com/en/"), urlfilter.UrlRule("allow", "www.example.com/en/"),
+             urlfilter.UrlRule("block", "net/es/"), urlfilter.UrlRule("block", "net/fr/")]
+
+
+@query("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = urlfilter.fit(urlfilter.seed_labels(pages))
+    return urlfilter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "score")
