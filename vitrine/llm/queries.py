@@ -6,36 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, license, minhash, mixing, quality, repair, sharding, tokencount, urlfilter, warc
+from vitrine.llm import decontaminate, license, minhash, mixing, oracles, quality, repair, sharding, tokencount, urlfilter, warc
 from vitrine.llm.common import new_folder
 from vitrine.llm.registry import query
 from vitrine.sources.tables import table
 
-SQL_OP7 = r"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
-flat AS (SELECT rid, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM w),
-win AS (SELECT rid, pos, concat_ws(' ', word, lead(word, 1) OVER p, lead(word, 2) OVER p, lead(word, 3) OVER p, lead(word, 4) OVER p,
-    lead(word, 5) OVER p, lead(word, 6) OVER p, lead(word, 7) OVER p) AS s, lead(word, 7) OVER p AS final
-  FROM flat WINDOW p AS (PARTITION BY rid ORDER BY pos)),
-often AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, s) AS n FROM win WHERE final IS NOT NULL),
-hit AS (SELECT DISTINCT rid, pos + k AS pos FROM often, (SELECT unnest(range(8)) AS k) WHERE n > 1),
-rep AS (SELECT rid, count(*) AS n FROM hit GROUP BY rid),
-lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d),
-per_line AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM lines
-  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
-s AS (SELECT d.rid, d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
-    CAST(length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
-    CAST(length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    coalesce(l.n_dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(l.n_lines, 0) AS n_lines
-  FROM d JOIN w USING (rid) LEFT JOIN per_line l USING (rid) LEFT JOIN rep USING (rid))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
-  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 2 * n_words > word_chars OR word_chars > 20 * n_words
-    OR n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
-FROM s"""
-
-
 
 def byte_bpe() -> str:
     """Place of the byte-level BPE vocabulary."""
@@ -43,7 +18,7 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@query("op1_minhash_near_dedup")
+@query("op1_minhash_near_dedup", oracles.OP1)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
@@ -53,12 +28,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.histogram(table(spark, sf_dir, "documents").select("source", "text"), byte_bpe(), by=("source",))
 
 
-@query("op3_license_scan")
+@query("op3_license_scan", oracles.OP3)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("op4_benchmark_decontamination")
+@query("op4_benchmark_decontamination", oracles.OP4)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last_word"] - s["first_word"] + 1)
@@ -72,14 +47,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "rate", "copies")
 
 
-@query("op6_warc")
+@query("op6_warc", oracles.OP6)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     archive = warc.write_archive(pages)
     return warc.read_captures(archive, pages).drop("url", "payload")
 
 
-@query("op7_quality_rules", SQL_OP7)
+@query("op7_quality_rules", oracles.OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.cascade(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_signals=signals)
@@ -87,7 +62,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *signals, F.expr(base).alias("base_failed"), "kept")
 
 
-@query("op8_sharding")
+@query("op8_sharding", oracles.OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     body = F.coalesce("text", F.lit("")).cast("binary")
