@@ -1,6 +1,6 @@
 """Shared helpers of the operators: written tables, components, row numbers.
 
-Lineage is cut with ``checkpoint()`` or a table written under the session's
+Lineage is cut with tables written under the session's
 ``spark.checkpoint.dir``, which driver and executors share.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vitrine.session import ensure_checkpoint_dir, shared_dir
+from vitrine.session import shared_dir
 
 #: Words between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,9 +31,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def step(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a loop's table.  A written table carries its true
+    size; the estimate that checkpoint() keeps squares with every join, which
+    rules out broadcasts and overflows in long loops."""
+    return written(df, "step")
 
 
 def word_count(text: Column) -> Column:
@@ -78,17 +80,17 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     norm = lambda e: e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    edges = checkpointed(norm(edges))
+    edges = step(norm(edges))
     maps: list[DataFrame] = []
     while not edges.isEmpty():
         near = both(edges).groupBy(F.col("a").alias("id")).agg(F.min("b").alias("to")).select("id", F.least("id", "to").alias("to"))
-        near = checkpointed(near)
+        near = step(near)
         for _ in range(2):
             near = _follow(near, near)
-        near = checkpointed(near)
+        near = step(near)
         maps.append(near)
         left, right = (near.select(F.col("id").alias(c), F.col("to").alias(f"{c}2")) for c in "ab")
-        edges = checkpointed(norm(edges.join(left, "a").join(right, "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))))
+        edges = step(norm(edges.join(left, "a").join(right, "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))))
     if not maps:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     label = maps[-1]

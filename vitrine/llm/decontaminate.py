@@ -101,7 +101,7 @@ def suffix_order(text: np.ndarray, bits: int) -> np.ndarray:
     alive = np.ones(n, bool)
     for k in range(depth):
         symbol = np.zeros(n, np.uint64)
-        symbol[:n - k] = text[k:]
+        symbol[:max(n - k, 0)] = text[k:]
         symbol[~alive] = 0
         key = (key << np.uint64(bits)) | symbol
         alive &= symbol > 0

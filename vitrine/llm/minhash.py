@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import textbuf as tb
-from vitrine.llm.common import checkpointed, components, written
+from vitrine.llm.common import components, step, written
 
 MISS = 1e-6
 MAX_COORDINATES = 360
@@ -229,7 +229,7 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     reps = written(reps, "representatives")
     exploded = reps.select("id", F.explode("bands").alias("band"))
     heads = exploded.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    clusters = checkpointed(components(exploded.join(heads.select("band", "head"), "band")
+    clusters = step(components(exploded.join(heads.select("band", "head"), "band")
                                        .select(F.col("head").alias("a"), F.col("id").alias("b"))))
 
     # blocks of a cluster, every pair of blocks once

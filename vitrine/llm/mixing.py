@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import checkpointed, parallelism, row_numbers, word_count
+from vitrine.llm.common import parallelism, row_numbers, step, word_count
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -40,7 +40,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = C
     until no source is above its cap."""
     ordered = row_numbers(sources.withColumn("__null", F.col("source").isNull()), ["__null", "source"], "__rank", "sources").drop("__null")
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.col("__rank") % len(weights) + 1).cast("int"))
-    ordered = checkpointed(ordered.withColumn("weight", weight))
+    ordered = step(ordered.withColumn("weight", weight))
     total, weights_sum = ordered.agg(F.sum("source_size"), F.sum("weight")).first()
     level = total / weights_sum if weights_sum else 0.0
     most = cap * F.col("source_size")
@@ -65,7 +65,7 @@ def multipliers(cells: DataFrame, goal: DataFrame, cap: int = CAP) -> DataFrame:
     state = goal.alias("g").join(scale.alias("s"), F.expr("g.source <=> s.source")).select("g.*", "scale")
     state = state.withColumns({"lam": F.when(F.col("target") < cap * F.col("source_size"), F.lit(0.0)),
                                "lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"), "miss": F.lit(None).cast("double")})
-    state = checkpointed(state)
+    state = step(state)
     for _ in range(MAX_STEPS):
         z = F.col("size") / F.col("scale")
         tilt = F.exp(F.col("lam") * z)
@@ -73,14 +73,14 @@ def multipliers(cells: DataFrame, goal: DataFrame, cap: int = CAP) -> DataFrame:
         sums = (cells.alias("c").join(state.where("lam is not null").alias("s"), F.expr("c.source <=> s.source"))
                 .groupBy(F.col("s.source").alias("source"))
                 .agg(F.sum(words * F.least(F.lit(float(cap)), tilt)).alias("taken"), F.sum(F.when(tilt < cap, words * z * tilt)).alias("slope")))
-        step = state.alias("s").join(sums.alias("n"), F.expr("s.source <=> n.source"), "left").select("s.*", "taken", "slope")
+        moved = state.alias("s").join(sums.alias("n"), F.expr("s.source <=> n.source"), "left").select("s.*", "taken", "slope")
         miss = F.ln(F.col("taken") / F.col("target"))
-        step = step.withColumns({"lo": F.when(miss < 0, F.col("lam")).otherwise(F.col("lo")), "hi": F.when(miss > 0, F.col("lam")).otherwise(F.col("hi")),
+        moved = moved.withColumns({"lo": F.when(miss < 0, F.col("lam")).otherwise(F.col("lo")), "hi": F.when(miss > 0, F.col("lam")).otherwise(F.col("hi")),
                                  "miss": F.abs(miss), "__newton": F.col("lam") - miss * F.col("taken") / F.col("slope")})
         inside = F.col("slope").isNotNull() & (F.col("slope") > 0) & (F.col("lo").isNull() | (F.col("__newton") > F.col("lo"))) & (F.col("hi").isNull() | (F.col("__newton") < F.col("hi")))
         outside = F.when(F.col("lo").isNull(), F.col("hi") * 2 - 1).when(F.col("hi").isNull(), F.col("lo") * 2 + 1).otherwise((F.col("lo") + F.col("hi")) / 2)
-        step = step.withColumn("lam", F.when(F.col("lam").isNull() | (F.col("miss") < TOLERANCE), F.col("lam")).when(inside, F.col("__newton")).otherwise(outside))
-        state = checkpointed(step.drop("taken", "slope", "__newton"))
+        moved = moved.withColumn("lam", F.when(F.col("lam").isNull() | (F.col("miss") < TOLERANCE), F.col("lam")).when(inside, F.col("__newton")).otherwise(outside))
+        state = step(moved.drop("taken", "slope", "__newton"))
         if (state.agg(F.max("miss")).first()[0] or 0.0) < TOLERANCE:
             break
     return state.drop("lo", "hi", "miss")
@@ -96,12 +96,12 @@ def settle(cells: DataFrame, cap: int = CAP) -> DataFrame:
         fits = (F.col("size") > 0) & (F.col("size") <= F.abs("__gap")) & (room > 0)
         picks = (cells.alias("c").join(gap.alias("g"), F.expr("c.source <=> g.source")).select("c.*", "__gap").where(fits)
                  .groupBy("source").agg(F.max("size").alias("size"), F.first("__gap").alias("__gap")))
-        picks = checkpointed(picks)
+        picks = step(picks)
         if picks.isEmpty():
             break
         joined = cells.alias("c").join(picks.alias("p"), F.expr("c.source <=> p.source and c.size = p.size"), "left").select("c.*", "__gap")
         moved = F.signum("__gap") * F.least(F.expr("abs(__gap) div size"), room)
-        cells = checkpointed(joined.withColumn("__copies", F.when(F.col("__gap").isNotNull(), F.col("__copies") + moved.cast("long")).otherwise(F.col("__copies"))).drop("__gap"))
+        cells = step(joined.withColumn("__copies", F.when(F.col("__gap").isNotNull(), F.col("__copies") + moved.cast("long")).otherwise(F.col("__copies"))).drop("__gap"))
     return cells
 
 
@@ -121,7 +121,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in inner.items()))
     rows = rows.withColumns({"source": F.col(inner[source_col]), "size": word_count(F.col(inner[text_col])),
                              "__key": F.xxhash64(inner[id_col], inner[text_col])})
-    cells = checkpointed(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows")))
+    cells = step(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows")))
     goal = targets(cells.groupBy("source").agg(F.sum(F.col("rows") * F.col("size")).alias("source_size")), weights, cap)
     solved = multipliers(cells.where("size > 0"), goal.where("source_size > 0"), cap)
     known = goal.alias("g").join(solved.alias("s"), F.expr("g.source <=> s.source"), "left").select("g.source", "g.source_size", "g.target", "s.lam", "s.scale")
@@ -133,8 +133,8 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     by_size = W.partitionBy("source").orderBy("size").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("__before", F.coalesce(F.sum(F.col("rows") * (F.col("__units") % UNIT)).over(by_size), F.lit(0)))
     whole = f"rows * (__units div {UNIT}) + (__before + rows * (__units % {UNIT}) + {UNIT // 2}) div {UNIT} - (__before + {UNIT // 2}) div {UNIT}"
-    cells = settle(checkpointed(cells.withColumn("__copies", F.expr(whole)).drop("__before")), cap)
-    cells = checkpointed(cells.withColumns({"__base": F.expr("__copies div rows"), "__extra": F.expr("__copies % rows"),
+    cells = settle(step(cells.withColumn("__copies", F.expr(whole)).drop("__before")), cap)
+    cells = step(cells.withColumns({"__base": F.expr("__copies div rows"), "__extra": F.expr("__copies % rows"),
                                             "__chunks": F.ceil(F.col("rows") / chunk_rows).cast("int")}).drop("rows", "__copies"))
     placed = (rows.alias("d").join(cells.alias("c"), F.expr("d.source <=> c.source and d.size = c.size"))
               .select("d.*", "source_size", "target", "__units", "__base", "__extra", "__chunks")

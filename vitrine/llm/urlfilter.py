@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import checkpointed
+from vitrine.llm.common import step
 
 #: Most labelled URLs of each class that a fit takes (chosen by hash).
 MAX_FIT_ROWS = 10_000
@@ -120,10 +120,10 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max
     known = labelled.select(F.col(url_col).alias("__url"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
     suffix = F.substring_index(host_of(F.col("__url")), ".", -1)
     totals = known.groupBy(suffix.alias("suffix"), "label").agg(F.count(F.lit(1)).alias("n"))
-    totals = checkpointed(totals)  # one row for each suffix and class
+    totals = step(totals)  # one row for each suffix and class
     size = {r["label"]: r["n"] for r in totals.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     n = sum(size.values())
-    suffixes = checkpointed(totals.groupBy("suffix").agg((F.sum("n") / F.lit(max(n, 1))).alias("f_suffix_share"),
+    suffixes = step(totals.groupBy("suffix").agg((F.sum("n") / F.lit(max(n, 1))).alias("f_suffix_share"),
                                                          ((F.sum(F.col("n") * F.col("label")) + 1) / (F.sum("n") + 2)).alias("f_suffix_block")))
     if len(size) < 2:
         return UrlModel(None, suffixes, "block" if 1 in size else "allow")
@@ -132,7 +132,7 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max
     sample = known.where(F.pmod(F.xxhash64("__url", F.lit(seed)), F.lit(part)) < limit)
     rows = UrlModel(None, suffixes).features(sample)
     # the order of rows fixes the split candidates, so reruns agree
-    rows = checkpointed(rows.select("__features", F.col("label").cast("double").alias("label"), "__url").repartition(4, "__url").sortWithinPartitions("__url"))
+    rows = step(rows.select("__features", F.col("label").cast("double").alias("label"), "__url").repartition(4, "__url").sortWithinPartitions("__url"))
     trees = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=seed).fit(rows)
     return UrlModel(trees, suffixes)
 
