@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
