@@ -316,3 +316,36 @@ NOTEBOOK_STOPWORDS = [
     "utilisés", "utilises", "fait", "faire", "permet", "permettre", "peuvent", "parfait", "ideal", "idéal",
     "grand", "grande", "different", "différent", "differents", "différents", "durable",
 ]
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: cleaning rules as (pattern, replacement), in order of
+# application; \1, \2, \3 are groups and \0 the match.  Case-insensitive but
+# for "years", Unicode classes.  Both engines' rules are made from this table.
+# ---------------------------------------------------------------------------
+HTML_TAG = r"<[^>]+>"
+MERGE_RULES = {
+    "dims": [(r"\b(\d+)\s*x\s*(\d+)\s*x\s*(\d+)\b", r"\1x\2x\3"), (r"\b(\d+)\s*x\s*(\d+)\b", r"\1x\2"),
+             (r"\b([lh])\s*x\s*([lh])\s*x\s*([lh])\b", r"\1x\2x\3")],
+    # `%\b` needs a word character after the sign
+    "units": [(r"\b(\d+)\s*(kg|g|mg|ml|l)\b", r"\1\2"), (r"\b(\d+)\s*(mm|cm|m)\b", r"\1\2"),
+              (r"\b(\d+)\s*(go|gb|mo|mb)\b", r"\1\2"), (r"\b(\d+)\s*%\b", r"\1pct"),
+              (r"\b(\d+)\s*(mah|ah)\b", r"\1\2")],
+    "durations": [(r"\b(\d+)\s*(h|heures?)\b", r"\1h"), (r"\b(\d+)\s*(j|jours?)\b", r"\1j"),
+                  (r"\b(\d+)\s*mois\b", r"\1mois"), (r"\b(\d+)\s*ans?\b", r"\1ans"),
+                  (r"\b24\s*h\s*/\s*24\b", "24h24"), (r"\b7\s*j\s*/\s*7\b", "7j7")],
+    "ages": [(r"\b(\d+)\s*-\s*(\d+)\s*ans\b", r"\1_\2ans"), (r"\b(\d+)\s*-\s*(\d+)ans\b", r"\1_\2ans"),
+             (r"\b(\d+)\s*ans?\s*et\s*plus\b", r"\1plus_ans")],
+    "years": [(r"\b(18|19|20)\d{2}\b", r" year\0 ")],
+}
+LONE_DOT = r"(?<!\d)\.(?!\d)"
+LONE_MARKS = ["-", ":", "·", "/", r"\+"]
+SLASHES = "////"
+
+# FIXED VALUES: colour classes and their HSV ranges (hue, saturation, value),
+# half-open; a reversed hue range wraps.  A later class wins.
+COLOR_RANGES = [
+    ("noir", (0, 181), (0, 256), (0, 70)), ("gris", (0, 181), (0, 40), (70, 200)), ("blanc", (0, 181), (0, 40), (200, 256)),
+    ("rouge", (170, 10), (40, 256), (70, 256)), ("orange", (10, 30), (40, 256), (70, 256)), ("jaune", (30, 50), (40, 256), (70, 256)),
+    ("vert", (50, 70), (40, 256), (70, 256)), ("turquoise", (70, 90), (40, 256), (70, 256)), ("cyan", (90, 110), (40, 256), (70, 256)),
+    ("bleu", (110, 130), (40, 256), (70, 256)), ("violet", (130, 150), (40, 256), (70, 256)), ("rose", (150, 170), (40, 256), (70, 256)),
+]

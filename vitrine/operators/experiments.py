@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import features as tf
 from vitrine.functions import text as tx
+from vitrine.functions.numeric import rewrite_numeric
 from vitrine.operators import evaluate as ev
 from vitrine.operators import models as mdl
 from vitrine.operators import split as sp
@@ -58,19 +59,20 @@ def with_labels(lst: DataFrame, seed: int = 42, test_size: float = 0.2) -> DataF
     return sp.stratified_split(x, "row_id", "prdtypecode", test_size, seed, test_name="val", train_name="train")
 
 
-def _clean(c: Column, cfg: ExperimentConfig) -> Column:
-    s = tx.clean_text(c, **cfg.clean)
+def cleaned_texts(data: DataFrame, cfg: ExperimentConfig) -> DataFrame:
+    """(row_id, split, title_clean, desc_clean) by the configuration's rules."""
+    out = data.select("row_id", "split", tx.clean_text(F.col("designation"), **cfg.clean).alias("title_clean"),
+                      tx.clean_text(F.col("description"), **cfg.clean).alias("desc_clean"))
     if cfg.numeric_tokens:
-        from vitrine.functions.numeric import replace_numeric_expressions
-        s = replace_numeric_expressions(s, cfg.numeric_tokens)
-    return s
+        for c in ("title_clean", "desc_clean"):
+            out = rewrite_numeric(out, c, cfg.numeric_tokens)
+    return out
 
 
 def feature_table(data: DataFrame, cfg: ExperimentConfig) -> tuple[DataFrame, int]:
     """(row_id, idx, weight) for the configured blocks, fitted on the train rows
     only; returns the long table and the vector size."""
-    cleaned = data.select("row_id", "split", _clean(F.col("designation"), cfg).alias("title_clean"),
-                          _clean(F.col("description"), cfg).alias("desc_clean")).cache()
+    cleaned = cleaned_texts(data, cfg).cache()
     train = cleaned.filter(F.col("split") == "train")
     vcfg = V.build_vectorizer(cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features,
                               min_df=2, max_df=0.95)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitrine.functions import fixed
 from vitrine.operators import images as im
 from vitrine.plans import sqlkit as S
 from vitrine.plans.registry import query
@@ -34,8 +35,8 @@ def _within_sql(x, rng):
 
 def _color_sql() -> str:
     parts = []
-    for i, rng in reversed(list(enumerate(im.color_ranges()))):
-        parts.append(f"WHEN {_within_sql('h', rng[0])} AND {_within_sql('s', rng[1])} AND {_within_sql('vmax', rng[2])} THEN {i}")
+    for i, (_, hue, saturation, value) in reversed(list(enumerate(fixed.COLOR_RANGES))):
+        parts.append(f"WHEN {_within_sql('h', hue)} AND {_within_sql('s', saturation)} AND {_within_sql('vmax', value)} THEN {i}")
     return "CASE " + " ".join(parts) + " ELSE -1 END"
 
 

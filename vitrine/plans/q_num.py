@@ -36,9 +36,22 @@ def _norm_sql(u: str) -> str:
     return f"CASE {parts} ELSE lower({u}) END"
 
 
-def _conv_sql(u: str) -> str:
+def _factor_sql(unit: str) -> str:
     parts = " ".join(f"WHEN {S.q(k)} THEN {_dbl(v)}" for k, v in fixed.CONVERSION.items())
-    return f"CASE {u} {parts} ELSE NULL END"
+    return f"coalesce(CASE {unit} {parts} END, {_dbl(1)})"
+
+
+def _values_sql(pattern: str, unit_pos, interval: bool, i: str) -> str:
+    """List of the base values of match ``i`` (columns g1, g2, ...)."""
+    numbers = list(range(re.compile(pattern).groups))
+    factor = _dbl(1) if unit_pos is None else _factor_sql(_norm_sql(f"g{numbers.pop(unit_pos) + 1}[{i}]"))
+    present = "list_filter([" + ", ".join(f"g{k + 1}[{i}]" for k in numbers) + "], lambda v: v <> '')"
+    values = f"list_transform({present}, lambda v: CAST(replace(v, ',', '.') AS DOUBLE) * {factor})"
+    return values if interval else f"[list_reduce(list_prepend({_dbl(1)}, {values}), lambda a, b: a * b)]"
+
+
+def _groups_sql(text: str, pattern: str) -> str:
+    return ", ".join(f"regexp_extract_all({text}, {S.q('(?i)' + pattern)}, {k + 1}) AS g{k + 1}" for k in range(re.compile(pattern).groups))
 
 
 def _extract_sql() -> str:
@@ -46,60 +59,77 @@ def _extract_sql() -> str:
     for no, (measure, pattern, unit_pos, interval) in enumerate(fixed.NUMERIC_PATTERNS):
         if measure not in fixed.LABEL_BINS:
             continue
-        g = re.compile(pattern).groups
-        pat = S.q("(?i)" + pattern)
-        gs = ", ".join(f"regexp_extract_all(description, {pat}, {k + 1}) AS g{k + 1}" for k in range(g))
-        idx = list(range(g))
-        unit = None
-        if unit_pos is not None:
-            up = idx[unit_pos]
-            idx.remove(up)
-            unit = _norm_sql(f"g{up + 1}[i]")
-        raw = "list_filter([" + ", ".join(f"g{k + 1}[i]" for k in idx) + "], lambda v: v <> '')"
-        num = "CAST(replace(v, ',', '.') AS DOUBLE)"
-        if unit is not None:
-            conv = _conv_sql("u")
-            vals = f"list_transform({raw}, lambda v: CASE WHEN ({conv}) IS NULL THEN {num} ELSE {num} * ({conv}) END)"
-            vals = f"(SELECT {vals} FROM (SELECT {unit} AS u))"
-        else:
-            vals = f"list_transform({raw}, lambda v: {num})"
-        val = f"list_extract({vals}, -1)" if interval else f"list_reduce(list_prepend(CAST(1.0 AS DOUBLE), {vals}), lambda a, b: a * b)"
         selects.append(
-            f"SELECT row_id, {no} AS pattern_no, '{measure}' AS measure, CAST(i - 1 AS BIGINT) AS match_no, {val} AS value_base "
-            f"FROM (SELECT row_id, {gs} FROM listing_part), range(1, len(g1) + 1) r(i)")
-    body = " UNION ALL ".join(f"SELECT *, '{m}' AS m FROM ({s})" for s, m in
-                              zip(selects, [m for m, *_ in fixed.NUMERIC_PATTERNS if m in fixed.LABEL_BINS]))
+            f"SELECT row_id, {no} AS pattern_no, '{measure}' AS measure, match_no, CAST(b - 1 AS BIGINT) AS bound_no, vals[b] AS value_base "
+            f"FROM (SELECT row_id, CAST(i - 1 AS BIGINT) AS match_no, {_values_sql(pattern, unit_pos, interval, 'i')} AS vals "
+            f"FROM (SELECT row_id, {_groups_sql('description', pattern)} FROM listing_part), range(1, len(g1) + 1) r(i)), range(1, len(vals) + 1) s(b)")
     label = "CASE " + " ".join(f"WHEN measure = '{m}' THEN {_label_sql('value_base', m)}" for m in fixed.LABEL_BINS) + " END"
-    return (S.with_(S.LISTING_PART, f"x AS ({body})")
-            + f"SELECT row_id, pattern_no, measure, match_no, round(value_base, {R}) AS value_base, {label} AS label FROM x")
+    return (S.with_(S.LISTING_PART, f"x AS ({' UNION ALL '.join(selects)})")
+            + f"SELECT row_id, pattern_no, measure, match_no, bound_no, round(value_base, {R}) AS value_base, {label} AS label FROM x")
+
+
+def _rewrite_sql(source: str, col: str, mode: str, prefix: str) -> tuple[list[str], str]:
+    """One CTE per pass over ``source`` (row_id, ``col``); (CTEs, last name)."""
+    ctes = [f"{prefix} AS (SELECT row_id, translate({col}, '²³', '23') AS t FROM {source})"]
+    last = prefix
+    for no, (measure, pattern, unit_pos, interval) in enumerate(fixed.NUMERIC_PATTERNS):
+        if measure not in fixed.NUMERIC_GROUPS[mode]:
+            continue
+        regex, name = S.q("(?i)" + pattern), f"{prefix}{no}"
+        if measure not in fixed.LABEL_BINS:
+            body = f"SELECT row_id, regexp_replace(t, {regex}, {S.q(N.decor(measure))}, 'g') AS t FROM {last}"
+        else:
+            tokens = f"list_transform({_values_sql(pattern, unit_pos, interval, 'i')}, lambda v: '[' || replace({_label_sql('v', measure)}, ' ', '_') || ']')"
+            token = f"list_transform([{tokens}], lambda l: CASE WHEN len(l) > 1 THEN 'entre ' || l[1] || ' et ' || l[2] ELSE l[1] END)[1]"
+            joined = f"array_to_string(flatten(list_transform(range(1, len(g1) + 1), lambda i: [pieces[i], {token}])), '') || pieces[-1]"
+            body = (f"SELECT row_id, CASE WHEN len(g1) > 0 THEN {joined} ELSE t END AS t FROM "
+                    f"(SELECT row_id, t, string_split_regex(t, {regex}) AS pieces, {_groups_sql('t', pattern)} FROM {last})")
+        ctes.append(f"{name} AS ({body})")
+        last = name
+    return ctes, last
+
+
+def _tokens_sql() -> str:
+    titles, title = _rewrite_sql("listing_part", "designation", "full", "title")
+    descs, desc = _rewrite_sql("listing_part", "description", "full", "descr")
+    return (S.with_(S.LISTING_PART, *titles, *descs)
+            + f"SELECT row_id, '[TITRE] ' || a.t || ' [DESC] ' || b.t AS text_num FROM {title} a JOIN {desc} b USING (row_id)")
 
 
 @query("numeric_measures_part", ops=("NUM01", "NUM02", "NUM03", "NUM04", "NUM05", "NUM11"), sql=_extract_sql())
 def numeric_measures_part(spark, sf_dir):
     lp = views.listing_part(spark, sf_dir).select("row_id", "description")
     x = N.extract_measures(lp, "row_id", "description")
-    return x.select("row_id", "pattern_no", "measure", "match_no", F.round("value_base", R).alias("value_base"), "label")
+    return x.select("row_id", "pattern_no", "measure", "match_no", "bound_no", F.round("value_base", R).alias("value_base"), "label")
 
 
-@query("numeric_tokens_part", ops=("NUM06", "NUM07", "NUM08", "NUM09", "TXF12"))
+@query("numeric_tokens_part", ops=("NUM05", "NUM06", "NUM07", "NUM08", "NUM09", "TXF12"), sql=_tokens_sql())
 def numeric_tokens_part(spark, sf_dir):
-    """Title and description rewritten (mode 'full'), merged as [TITRE] t [DESC] d.
-    Checked against the plain-Python rule in tests (no SQL statement)."""
+    """Title and description rewritten (mode 'full'), merged as [TITRE] t [DESC] d."""
     lp = views.listing_part(spark, sf_dir).select("row_id", "designation", "description")
-    t = N.replace_numeric_expressions(F.col("designation"), "full")
-    d = N.replace_numeric_expressions(F.col("description"), "full")
-    return lp.select("row_id", F.concat(F.lit("[TITRE] "), t, F.lit(" [DESC] "), d).alias("text_num"))
+    return N.rewrite_title_description(lp, "designation", "description", "full").select("row_id", "text_num")
+
+
+def _counts_sql() -> str:
+    ctes, last = _rewrite_sql("listing_part", "description", "full", "descr")
+    vocabulary = ", ".join(f"({S.q(m)}, {S.q(tok)})" for m, tok in N.token_vocabulary())
+    n = "CAST((length(t) - length(replace(t, token, ''))) / length(token) AS BIGINT)"
+    return (S.with_(S.LISTING_PART, *ctes)
+            + f"SELECT measure, token, CAST(sum(n) AS BIGINT) AS total, round(avg(n), {R}) AS mean, round(stddev_pop(n), {R}) AS std "
+            f"FROM (SELECT measure, token, {n} AS n FROM {last}, (VALUES {vocabulary}) AS v(measure, token)) GROUP BY measure, token")
 
 
-@query("numeric_token_counts", ops=("NUM10", "TXF13", "TXF07", "TXF09"))
+@query("numeric_token_counts", ops=("NUM10", "TXF13", "TXF07", "TXF09"), sql=_counts_sql())
 def numeric_token_counts(spark, sf_dir):
     """Token vocabulary with totals over the rewritten descriptions, plus the
-    scaled per-row count statistics (mean, population std)."""
+    per-row counts' mean and population std (what the scaler subtracts and
+    divides by)."""
     lp = views.listing_part(spark, sf_dir).select("row_id", "description")
-    rw = lp.select("row_id", N.replace_numeric_expressions(F.col("description"), "full").alias("t"))
     vocab = N.token_vocabulary()
-    counts = rw.select("row_id", *tf.token_frequency_columns(["t"], [tok for _, tok in vocab], literal=True))
-    stats = tf.fit_standard_scaler(counts, [tok for _, tok in vocab])
-    sums = counts.agg(*[F.sum(F.col(f"`{tok}`")).alias(tok) for _, tok in vocab]).first()
-    rows = [(m, tok, int(sums[tok] or 0), stats[tok][0], stats[tok][1]) for m, tok in vocab]
-    return spark.createDataFrame(rows, "measure STRING, token STRING, total LONG, mean DOUBLE, std DOUBLE")
+    rewritten = N.rewrite_numeric(lp, "description", "full").select("row_id", F.col("description").alias("t"))
+    counts = rewritten.select(*tf.token_frequency_columns(["t"], [tok for _, tok in vocab], literal=True))
+    sums = counts.agg(*[f(F.col(f"`{tok}`")).alias(f"{name}{k}") for k, (_, tok) in enumerate(vocab)
+                        for name, f in (("s", F.sum), ("m", F.avg), ("d", F.stddev_pop))])
+    rows = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(tok).alias("token"), F.coalesce(F.col(f"s{k}"), F.lit(0)).cast("long").alias("total"),
+                              F.round(f"m{k}", R).alias("mean"), F.round(f"d{k}", R).alias("std")) for k, (m, tok) in enumerate(vocab)])
+    return sums.select(F.explode(rows).alias("v")).select("v.*")

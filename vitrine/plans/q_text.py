@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from vitrine.functions import features as tf
+from vitrine.functions import fixed
 from vitrine.functions import text as tx
 from vitrine.plans import sqlkit as S
 from vitrine.plans.registry import query
@@ -65,21 +66,6 @@ def listing_features_by_category(spark, sf_dir):
 # structural merges and year tags on numeric-rich part listings (CLN06-10)
 # ---------------------------------------------------------------------------
 
-_MERGE_RULES_SQL = {
-    "dims": [(r"\b(\d+)\s*x\s*(\d+)\s*x\s*(\d+)\b", r"\1x\2x\3"), (r"\b(\d+)\s*x\s*(\d+)\b", r"\1x\2"),
-             (r"\b([lh])\s*x\s*([lh])\s*x\s*([lh])\b", r"\1x\2x\3")],
-    "units": [(r"\b(\d+)\s*(kg|g|mg|ml|l)\b", r"\1\2"), (r"\b(\d+)\s*(mm|cm|m)\b", r"\1\2"),
-              (r"\b(\d+)\s*(go|gb|mo|mb)\b", r"\1\2"), (r"\b(\d+)\s*%\b", r"\1pct"),
-              (r"\b(\d+)\s*(mah|ah)\b", r"\1\2")],
-    "durations": [(r"\b(\d+)\s*(h|heures?)\b", r"\1h"), (r"\b(\d+)\s*(j|jours?)\b", r"\1j"),
-                  (r"\b(\d+)\s*mois\b", r"\1mois"), (r"\b(\d+)\s*ans?\b", r"\1ans"),
-                  (r"\b24\s*h\s*/\s*24\b", "24h24"), (r"\b7\s*j\s*/\s*7\b", "7j7")],
-    "ages": [(r"\b(\d+)\s*-\s*(\d+)\s*ans\b", r"\1_\2ans"), (r"\b(\d+)\s*-\s*(\d+)ans\b", r"\1_\2ans"),
-             (r"\b(\d+)\s*ans?\s*et\s*plus\b", r"\1plus_ans")],
-    "years": [(r"\b(18|19|20)\d{2}\b", r" year\0 ")],
-}
-
-
 def _sql_rules(e: str, rules, flags="gi") -> str:
     for pat, rep in rules:
         e = f"regexp_replace({e}, {S.q(pat)}, {S.q(rep)}, '{flags}')"
@@ -88,10 +74,10 @@ def _sql_rules(e: str, rules, flags="gi") -> str:
 
 def _merge_sql() -> str:
     d = "description"
-    cols = [f"{_sql_rules(d, _MERGE_RULES_SQL[k])} AS merged_{k}" for k in _MERGE_RULES_SQL]
+    cols = [f"{_sql_rules(d, fixed.MERGE_RULES[k])} AS merged_{k}" for k in fixed.MERGE_RULES]
     allm = d
-    for k in _MERGE_RULES_SQL:
-        allm = _sql_rules(allm, _MERGE_RULES_SQL[k])
+    for k in fixed.MERGE_RULES:
+        allm = _sql_rules(allm, fixed.MERGE_RULES[k])
     return (S.with_(S.LISTING_PART) + f"SELECT row_id, {', '.join(cols)}, "
             f"{S.collapse_ws(allm)} AS merged_all FROM listing_part")
 
@@ -117,7 +103,6 @@ _NOT_W = r"[^\pL\pN_]"
 
 
 def _sql_boilerplate(e: str) -> str:
-    from vitrine.functions import fixed
     for p in fixed.BOILERPLATE_PHRASES:
         pat = f"(^|{_NOT_W}){p}({_NOT_W}|$)"
         for _ in range(2):
@@ -130,7 +115,6 @@ def _sql_list(items) -> str:
 
 
 def _sql_token_filter(e: str, stop=False, letters=False, digits=False, punct=False) -> str:
-    from vitrine.functions import fixed
     conds = ["t <> ''"]
     if stop:
         conds.append(f"NOT list_contains({_sql_list(fixed.STOPWORDS_FR_EN)}, lower(t))")
@@ -179,7 +163,6 @@ def clean_token_filters_doc(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def _keyword_sql() -> str:
-    from vitrine.functions import fixed
     full = f"{S.coalesce_text('designation')} || ' ' || {S.coalesce_text('description')}"
     cols = ", ".join(f"{S.count_re('txt', '|'.join(w))} AS \"{fam}_keywords\""
                      for fam, w in fixed.KEYWORD_DICT.items())
@@ -195,7 +178,6 @@ def keyword_features_doc(spark, sf_dir):
 
 
 def _unit_sql() -> str:
-    from vitrine.functions import fixed
     full = f"designation || ' ' || description"
     anyp = "(?i)" + "|".join(f"(?:{p})" for p in fixed.UNIT_PATTERNS.values())
     return (S.with_(S.LISTING_PART, f"t AS (SELECT row_id, {full} AS txt FROM listing_part)")
