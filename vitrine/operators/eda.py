@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions import fixed
-from vitrine.operators.ranking import bucketed_row_number, join_on
+from vitrine.operators.ranking import join_on, ranged_sum_before
 
 
 def null_rates(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -114,37 +114,28 @@ def duplicate_groups(df: DataFrame, keys: list[str], id_col: str = "row_id") ->
               .select(id_col, *keys, "dup_count", (F.col("dup_count") > 1).alias("is_duplicate")))
 
 
-def exact_describe(df: DataFrame, cols: list[str], n_buckets: int = 64) -> DataFrame:
+def exact_describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """AGG09: count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
 
-    Quantiles are exact: values are ranked with the skew-safe bucketed rank
-    (no single task sorts a whole column), then the two neighbours of each
-    quantile position are picked and interpolated.
+    The rows are read once, into counts per (feature, value).  Cumulative counts
+    over the distinct values, dealt by range, give the two neighbours of each
+    quantile's position; they are interpolated.
     """
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, value)").filter(F.col("value").isNotNull())
-    moments = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    ranked = bucketed_row_number(long.withColumn("__tie", F.monotonically_increasing_id()),
-                                 ["feature"], "value", ["__tie"], out_col="rn", n_buckets=n_buckets)
-    pos = moments.select("feature", "count")
-    picks = []
-    for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
-        h = (F.col("count") - 1) * p
-        picks.append(pos.select("feature", F.lit(name).alias("q"),
-                                (F.floor(h) + 1).cast("long").alias("lo_rn"),
-                                (F.ceil(h) + 1).cast("long").alias("hi_rn"),
-                                (h - F.floor(h)).alias("frac")))
-    want = reduce(DataFrame.unionByName, picks)
-    lo = ranked.select("feature", F.col("rn").alias("lo_rn"), F.col("value").alias("lo_v"))
-    hi = ranked.select("feature", F.col("rn").alias("hi_rn"), F.col("value").alias("hi_v"))
-    qv = (want.join(lo, ["feature", "lo_rn"]).join(hi, ["feature", "hi_rn"])
-              .select("feature", "q", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("frac")).alias("v")))
-    qwide = qv.groupBy("feature").agg(*[F.max(F.when(F.col("q") == n, F.col("v"))).alias(n) for n in ("q25", "q50", "q75")])
-    return moments.join(qwide, "feature", "left").select(
-        "feature", "count", "mean", "std", "min", F.col("q25").alias("p25"), F.col("q50").alias("p50"),
-        F.col("q75").alias("p75"), "max")
+    cells = ranged_sum_before(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), ["feature"], ["value"], "n", "before")
+    v, n = F.col("value"), F.col("n")
+    total = cells.groupBy("feature").agg(F.sum("n").alias("count"), (F.sum(v * n) / F.sum("n")).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    spread = join_on(cells, total.select("feature", "mean", "count"), ["feature"]).groupBy("feature").agg(
+        F.when(F.max("count") > 1, F.sqrt(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))) / (F.max("count") - 1))).alias("std"))
+    quantiles = F.explode(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    at = total.select("feature", "count", quantiles.alias("q")).withColumn("h", (F.col("count") - 1) * F.col("q"))
+    near = cells.join(at, "feature")  # three positions per feature
+    holds = lambda p: (p >= F.col("before")) & (p < F.col("before") + n)
+    picked = near.groupBy("feature", "q", "h").agg(F.max(F.when(holds(F.floor("h")), v)).alias("lo"), F.max(F.when(holds(F.ceil("h")), v)).alias("hi"))
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("h") - F.floor("h"))
+    wide = picked.groupBy("feature").agg(*[F.max(F.when(F.col("q") == q, value)).alias(name) for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return total.join(spread, "feature").join(wide, "feature").select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str] | None = None) -> DataFrame:

@@ -17,13 +17,16 @@ from vitrine.operators.evaluate import argmax
 
 
 def gather(preds: DataFrame, models: list[str]) -> DataFrame:
-    """JON05: align models on (split, idx); only samples present in every model."""
+    """JON05: align models on (split, idx).  A sample that some model lacks, or
+    has twice, raises: fused scores need the same samples from every model."""
     sel = preds.filter(F.col("model").isin(models))
     g = sel.groupBy("split", "idx").agg(
         F.map_from_entries(F.collect_list(F.struct("model", "probs"))).alias("by_model"),
         F.first("y_true").alias("y_true"), F.first("classes").alias("classes"),
         F.count(F.lit(1)).alias("__m"))
-    return g.filter(F.col("__m") == len(models)).drop("__m")
+    misaligned = F.raise_error(F.concat(F.lit("models are not aligned at "), F.col("split").cast("string"), F.lit("/"), F.col("idx").cast("string")))
+    aligned = F.when((F.col("__m") == len(models)) & (F.size("by_model") == len(models)), F.lit(True)).otherwise(misaligned.cast("boolean"))
+    return g.filter(aligned).drop("__m")
 
 
 def weighted_average(by_model: Column, models: list[str], weights: list[float] | None = None) -> Column:

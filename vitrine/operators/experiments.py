@@ -8,6 +8,7 @@ aggregates.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -30,11 +31,12 @@ class ExperimentConfig:
     group: str = "default"
     clean: dict = field(default_factory=dict)
     numeric_tokens: str | None = None
-    strategy: str = "split"              # 'split' | 'merged'
+    strategy: str = "split"              # 'split' | 'merged' | 'features'
     vectorizer: str = "tfidf"
     max_features: int = 2000
     ngram_range: tuple = (1, 2)
     title_weight: float = 1.0
+    desc_weight: float = 1.0
     use_features: bool = False
     model: str = "logreg"
     C: float = 2.0
@@ -69,65 +71,88 @@ def cleaned_texts(data: DataFrame, cfg: ExperimentConfig) -> DataFrame:
     return out
 
 
-def feature_table(data: DataFrame, cfg: ExperimentConfig) -> tuple[DataFrame, int]:
-    """(row_id, idx, weight) for the configured blocks, fitted on the train rows
-    only; returns the long table and the vector size."""
+@dataclass
+class FeatureTable:
+    """Fitted blocks of a configuration: (row_id, idx, weight, block) rows, the
+    vector size, first index of each block and (block, idx, term) names."""
+    long: DataFrame
+    size: int
+    offsets: dict[str, int]
+    terms: DataFrame | None
+    cached: list[DataFrame]
+
+    def vectors(self, base: DataFrame) -> DataFrame:
+        """Every row of ``base`` with ``features``, empty where it has no entry."""
+        return V.to_vectors(self.long, "row_id", self.size, base=base)
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+
+
+def feature_table(data: DataFrame, cfg: ExperimentConfig) -> FeatureTable:
+    """The configured blocks, fitted on the train rows only.  Each text column
+    is cleaned and analysed once, into cached term counts that serve both the
+    vocabulary and the weights."""
     cleaned = cleaned_texts(data, cfg).cache()
-    train = cleaned.filter(F.col("split") == "train")
-    vcfg = V.build_vectorizer(cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features,
-                              min_df=2, max_df=0.95)
-    blocks, offset = [], 0
+    cached, blocks, offsets, names = [cleaned], [], {}, []
+    vcfg = V.build_vectorizer(cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features, min_df=2, max_df=0.95)
     if cfg.strategy == "merged":
-        merged = F.concat_ws(" ", F.col("title_clean"), F.col("desc_clean"))
-        fitted = V.fit(train, "row_id", merged, vcfg, cache=True)
-        blocks.append(V.offset_block(fitted.transform(cleaned, "row_id", merged), "row_id", 0, 1.0, "text"))
-        offset = fitted.vocab_size()
+        parts = [("text", F.concat_ws(" ", F.col("title_clean"), F.col("desc_clean")), 1.0, vcfg)]
+    elif cfg.strategy == "features":
+        parts = []
     else:
         dcfg = vcfg if cfg.max_features_desc is None else V.build_vectorizer(
             cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features_desc, min_df=2, max_df=0.95)
-        ft = V.fit(train, "row_id", F.col("title_clean"), vcfg, cache=True)
-        fd = V.fit(train, "row_id", F.col("desc_clean"), dcfg, cache=True)
-        nt = ft.vocab_size()
-        blocks.append(V.offset_block(ft.transform(cleaned, "row_id", F.col("title_clean")), "row_id", 0, cfg.title_weight, "title"))
-        blocks.append(V.offset_block(fd.transform(cleaned, "row_id", F.col("desc_clean")), "row_id", nt, 1.0, "description"))
-        offset = nt + fd.vocab_size()
-    if cfg.use_features:
+        parts = [("title", F.col("title_clean"), cfg.title_weight, vcfg), ("description", F.col("desc_clean"), cfg.desc_weight, dcfg)]
+    n_train = cleaned.filter(F.col("split") == "train").count()
+    offset = 0
+    for block, text, weight, config in parts:
+        counts = V.term_counts(V.analyze(cleaned, "row_id", text, config), "row_id").cache()
+        train = counts.join(cleaned.filter(F.col("split") == "train").select("row_id"), "row_id", "left_semi")
+        vocab = V.fit_vocabulary(train, config, n_train).cache()
+        cached += [counts, vocab]
+        weighed = V.weigh(V.join_vocabulary(counts, vocab, config), "row_id", config)
+        blocks.append(V.offset_block(weighed, "row_id", offset, weight, block))
+        names.append(vocab.select(F.lit(block).alias("block"), (F.col("idx") + offset).alias("idx"), "term"))
+        offsets[block] = offset
+        offset += vocab.count()
+    if cfg.use_features or cfg.strategy == "features":
         fcols = list(cfg.feature_cols or FEATURE_COLS)
         feats = data.select("row_id", "split", *[tf.feature_column(n) for n in fcols])
         stats = tf.fit_standard_scaler(feats.filter(F.col("split") == "train"), fcols)
         scaled = feats.select("row_id", *tf.apply_standard_scaler(stats))
         blocks.append(V.dense_block(scaled, "row_id", fcols, offset))
+        offsets["features"] = offset
+        rows = F.explode(F.array(*[F.struct(F.lit("features").alias("block"), F.lit(offset + i).alias("idx"), F.lit(c).alias("term")) for i, c in enumerate(fcols)]))
+        names.append(data.sparkSession.range(1).select(rows.alias("r")).select("r.*"))
         offset += len(fcols)
-    long = blocks[0]
+    long, terms = blocks[0], names[0]
     for b in blocks[1:]:
         long = long.unionByName(b)
-    return long, max(offset, 1)
+    for n in names[1:]:
+        terms = terms.unionByName(n)
+    return FeatureTable(long, max(offset, 1), offsets, terms, cached)
 
 
 def run_experiment(data: DataFrame, cfg: ExperimentConfig, n_classes: int) -> dict:
     """EXP04: one pipeline run -> a result row (metrics + timings + config)."""
-    long, size = feature_table(data, cfg)
-    vecs = V.to_vectors(long, "row_id", size)
-    lab = data.select("row_id", "label", "split")
-    full = lab.join(vecs, "row_id", "left")
-    from pyspark.ml.linalg import SparseVector
-    from pyspark.ml.linalg import VectorUDT
-    empty = F.udf(lambda: SparseVector(size, [], []), VectorUDT())()
+    table = feature_table(data, cfg)
     # the fit makes one pass per iteration: spread the vectors over the
     # cluster's cores (not over spark.sql.shuffle.partitions tiny tasks)
-    par = full.sparkSession.sparkContext.defaultParallelism
-    full = full.withColumn("features", F.coalesce(F.col("features"), empty)).repartition(par).cache()
+    par = data.sparkSession.sparkContext.defaultParallelism
+    full = table.vectors(data.select("row_id", "label", "split")).repartition(par).cache()
     full.count()
-    train = full.filter(F.col("split") == "train")
-    val = full.filter(F.col("split") == "val")
+    train, val = full.filter(F.col("split") == "train"), full.filter(F.col("split") == "val")
     res = mdl.train_and_evaluate(cfg.model, train, val, n_classes, C=cfg.C, max_iter=cfg.max_iter)
     m = ev.metrics(ev.confusion(res["predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()
     mt = ev.metrics(ev.confusion(res["train_predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()  # EVA07
     full.unpersist()
     res["predictions"].unpersist()
+    table.release()
     return {**cfg.record(), "f1_weighted": float(m["f1_weighted"]), "accuracy": float(m["accuracy"]),
             "f1_macro": float(m["f1_macro"]), "f1_train": float(mt["f1_weighted"]), "fit_s": res["fit_s"],
-            "predict_s": res["predict_s"], "n_features": size}
+            "predict_s": res["predict_s"], "n_features": table.size}
 
 
 RESULT_SCHEMA = ("experiment STRING, `group` STRING, strategy STRING, vectorizer STRING, max_features INT, "
@@ -136,23 +161,39 @@ RESULT_SCHEMA = ("experiment STRING, `group` STRING, strategy STRING, vectorizer
                  "n_features INT")
 
 
+#: Configurations that run at a time: a small fit leaves most cores idle.
+PARALLEL_RUNS = 4
+
+
 def run_all(spark, data: DataFrame, configs: list[ExperimentConfig], n_classes: int = 27) -> DataFrame:
-    """EXP01 / EXP05-09: run every configuration on the same cached split."""
+    """EXP01 / EXP05-09: every configuration on the same cached split, several
+    at a time; result rows in the configurations' order."""
     data = data.cache()
-    rows = [run_experiment(data, c, n_classes) for c in configs]
+    data.count()
+    with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
+        rows = list(pool.map(lambda c: run_experiment(data, c, n_classes), configs))
     data.unpersist()
     cols = [f.split()[0].strip("`") for f in RESULT_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], RESULT_SCHEMA)
 
 
+_ENCODING = ("fix_encoding", "unescape_html", "normalize_unicode")
+_MERGES = ("merge_dimensions", "merge_units", "merge_durations", "merge_age_ranges")
+#: Combined cleaning configurations: name -> rules.
+COMBINED = {
+    "all_encoding_fixes": _ENCODING,
+    "all_merges": _MERGES,
+    "traditional_cleaning": (*_ENCODING, "remove_html_tags", "lowercase", "remove_punctuation", "remove_stopwords"),
+    "conservative_cleaning": (*_ENCODING, "remove_html_tags"),
+    "merges_only": _MERGES,
+}
+
+
 def cleaning_configs() -> list[ExperimentConfig]:
-    """EXP01/EXP02 (subset of the cleaning benchmark plus the numeric-token variants)."""
-    return [
-        ExperimentConfig("baseline_raw", "baseline"),
-        ExperimentConfig("lowercase", "case", clean={"lowercase": True}),
-        ExperimentConfig("remove_stopwords", "tokens", clean={"remove_stopwords": True}),
-        ExperimentConfig("traditional_cleaning", "combined", clean={
-            "remove_html_tags": True, "lowercase": True, "remove_punctuation": True, "remove_stopwords": True,
-            "remove_single_letters": True, "remove_single_digits": True, "remove_pure_punct_tokens": True}),
-        ExperimentConfig("numeric_tokens_light", "numeric", clean={"lowercase": True}, numeric_tokens="light"),
-    ]
+    """EXP01 / EXP02: the raw baseline, every rule alone, the combinations and
+    the two numeric-token modes, on merged text with TF-IDF 10k (1, 2), C = 2."""
+    common = {"strategy": "merged", "max_features": 10_000, "ngram_range": (1, 2), "C": 2.0, "max_iter": 100}
+    single = [ExperimentConfig(f, "rule", clean={f: True}, **common) for f in tx.FLAGS]
+    combined = [ExperimentConfig(n, "combined", clean=dict.fromkeys(rules, True), **common) for n, rules in COMBINED.items()]
+    numeric = [ExperimentConfig(f"numeric_tokens_{m}", "numeric", clean={"lowercase": True}, numeric_tokens=m, **common) for m in ("light", "full")]
+    return [ExperimentConfig("baseline_raw", "baseline", **common), *single, *combined, *numeric]

@@ -4,8 +4,7 @@ A per-language trigram profile is aggregated from labelled rows; a text is
 scored by ``sum(tf * log p(trigram | language))`` with add-one smoothing and
 the best language wins (tie: language name).  Scoring is a join of the
 documents' trigram counts with the profile plus one per-language constant for
-unseen trigrams; the profile is broadcast only when its counted size is below
-a bound, otherwise it is shuffle-joined.
+unseen trigrams; Spark broadcasts the profile when its measured size is small.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import functions as F
 
 from vitrine.operators import vectorize as V
 
-BROADCAST_PROFILE_ROWS = 5_000_000
-
 
 def trigram_counts(df: DataFrame, id_col: str, text: Column) -> DataFrame:
     base = df.select(F.col(id_col), F.lower(F.coalesce(text, F.lit(""))).alias("__t"))
@@ -45,9 +42,7 @@ def detect(df: DataFrame, id_col: str, text: Column, prof: DataFrame, defaults:
     """-> (id, lang) with the best-scoring language."""
     tc = trigram_counts(df, id_col, text)
     total_tf = tc.groupBy(id_col).agg(F.sum("tf").alias("__n"))
-    n_prof = prof.count()
-    p = F.broadcast(prof) if n_prof <= BROADCAST_PROFILE_ROWS else prof
-    seen = tc.join(p, "term").groupBy(id_col, "lang").agg(F.sum(F.col("tf") * F.col("delta")).alias("__s"))
+    seen = tc.join(prof, "term").groupBy(id_col, "lang").agg(F.sum(F.col("tf") * F.col("delta")).alias("__s"))
     base = df.select(id_col).join(total_tf, id_col, "left").select(
         id_col, F.explode(F.array(*[F.struct(F.lit(l).alias("lang"), F.lit(defaults[l]).alias("d")) for l in langs])).alias("__l"),
         F.coalesce("__n", F.lit(0)).alias("__n"))

@@ -8,10 +8,18 @@ into one sparse vector per listing; the label is the canonical class index.
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Binary models of a one-vs-rest fit that run at a time.
+OVR_PARALLELISM = 4
+#: Widest matrix that the ridge classifier solves on the driver (its square in doubles).
+RIDGE_FEATURES = 4096
+
 MODELS = {
     "logreg": "Multinomial logistic regression (L2, C)",
     "svm": "Linear SVM, one-vs-rest",
@@ -45,10 +53,10 @@ def build_model(name: str, n_train: int, C: float = 1.0, balanced: bool = False,
         return LogisticRegression(family="multinomial", regParam=1.0 / (C * n_train), elasticNetParam=0.0,
                                   standardization=False, maxIter=max_iter, tol=kw.get("tol", 1e-4), **weight)
     if name == "svm":
-        return OneVsRest(classifier=LinearSVC(regParam=1.0 / (C * n_train), maxIter=max_iter, standardization=False))
+        return OneVsRest(classifier=LinearSVC(regParam=1.0 / (C * n_train), maxIter=max_iter, standardization=False), parallelism=OVR_PARALLELISM)
     if name == "gbt":
         return OneVsRest(classifier=GBTClassifier(maxIter=kw.get("n_estimators", 100), maxDepth=kw.get("max_depth", 6),
-                                                  stepSize=kw.get("learning_rate", 0.3)))
+                                                  stepSize=kw.get("learning_rate", 0.3)), parallelism=OVR_PARALLELISM)
     if name == "rf":
         return RandomForestClassifier(numTrees=kw.get("n_estimators", 100), maxDepth=kw.get("max_depth", 10),
                                       minInstancesPerNode=kw.get("min_samples_leaf", 20), seed=42, **weight)
@@ -62,48 +70,70 @@ def build_model(name: str, n_train: int, C: float = 1.0, balanced: bool = False,
     raise ValueError(f"unknown model {name!r}; available: {list(MODELS)}")
 
 
-def fit_ridge(train: DataFrame, n_classes: int, alpha: float = 1.0, max_iter: int = 100):
-    """MDL08: one least-squares fit per class on +/-1 targets; predict by argmax."""
-    from pyspark.ml.regression import LinearRegression
-    n = train.count()
-    models = []
-    for c in range(n_classes):
-        t = train.withColumn("__y", F.when(F.col("label") == c, 1.0).otherwise(-1.0))
-        lr = LinearRegression(featuresCol="features", labelCol="__y", regParam=alpha / n, elasticNetParam=0.0,
-                              standardization=False, maxIter=max_iter, solver="normal")
-        models.append(lr.fit(t))
-    return models
-
-
-def predict_ridge(models, df: DataFrame) -> DataFrame:
-    out = df
-    for c, m in enumerate(models):
-        out = m.setPredictionCol(f"__s{c}").transform(out)
-    scores = F.array(*[F.col(f"__s{c}") for c in range(len(models))])
-    return out.withColumn("prediction", (F.array_position(scores, F.array_max(scores)) - 1).cast("double")).drop(
-        *[f"__s{c}" for c in range(len(models))])
+def fit_ridge(train: DataFrame, n_classes: int, alpha: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """MDL08: least squares on +/-1 targets for all classes together.
+
+    One pass sums ``[X 1 Y]' [X 1 Y]`` per row block (each task's block product,
+    then a vector sum per matrix row); the centred normal equations are solved
+    once.  Returns (features x classes weights, intercepts).
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    d = len(train.first()["features"])
+    if d > RIDGE_FEATURES:
+        raise ValueError(f"{d} features: the ridge classifier's matrix is limited to {RIDGE_FEATURES}")
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            x = np.stack(batch["x"].to_numpy())
+            y = np.where(batch["label"].to_numpy()[:, None] == np.arange(n_classes), 1.0, -1.0)
+            z = np.hstack([x, np.ones((len(x), 1)), y])
+            total = z[:, :d + 1].T @ z if total is None else total + z[:, :d + 1].T @ z
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(d + 1), "r": list(total)})
+
+    parts = train.select(vector_to_array("features").alias("x"), "label").mapInPandas(products, "i int, r array<double>")
+    rows = parts.groupBy("i").agg(Summarizer.sum(array_to_vector("r")).alias("r")).collect()  # (d + 1) x (d + 1 + classes) numbers
+    m = np.array([r["r"].toArray() for r in sorted(rows, key=lambda r: r["i"])])
+    n, mean_x, mean_y = m[d, d], m[d, :d] / m[d, d], m[d, d + 1:] / m[d, d]
+    weights = np.linalg.solve(m[:d, :d] - n * np.outer(mean_x, mean_x) + alpha * np.eye(d), m[:d, d + 1:] - n * np.outer(mean_x, mean_y))
+    return weights, mean_y - mean_x @ weights
+
+
+def predict_ridge(model: tuple[np.ndarray, np.ndarray], df: DataFrame) -> DataFrame:
+    """Adds ``prediction``: the class with the largest score."""
+    from pyspark.ml.functions import vector_to_array
+    weights, intercepts = model
+
+    @F.pandas_udf("double")
+    def best(x: pd.Series) -> pd.Series:
+        return pd.Series(np.argmax(np.stack(x.to_numpy()) @ weights + intercepts, axis=1).astype(float)) if len(x) else pd.Series([], dtype=float)
+    return df.withColumn("prediction", best(vector_to_array("features")))
 
 
 def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, n_classes: int, **params) -> dict:
     """MDL10: fit, time, predict; metrics are computed by the caller with EVA."""
+    # classes without a training row can't be predicted: fit the present ones only
+    counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
+    present, n = sorted(r["label"] for r in counts), sum(r["n"] for r in counts)
+    names = F.array(*[F.lit(float(c)) for c in present])
+    dense = train.withColumn("label", (F.array_position(names, F.col("label")) - 1).cast("double"))
     t0 = time.time()
-    n = train.count()
     if name == "ridge":
-        models = fit_ridge(train, n_classes, params.get("alpha", 1.0), params.get("max_iter", 100))
+        model = fit_ridge(dense, len(present), params.get("alpha", 1.0))
         fit_s = time.time() - t0
         t1 = time.time()
-        pred = predict_ridge(models, val)
-        train_pred = predict_ridge(models, train)
+        pred, train_pred = predict_ridge(model, val), predict_ridge(model, train)
     else:
-        est = build_model(name, n, **params)
-        model = est.fit(train)
+        model = build_model(name, n, **params).fit(dense)
         fit_s = time.time() - t0
         t1 = time.time()
-        pred = model.transform(val)
-        train_pred = model.transform(train)
+        pred, train_pred = model.transform(val), model.transform(train)
 
     def _sel(p):
-        return p.select("row_id", F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
+        return p.select("row_id", F.col("label").cast("int").alias("y_true"),
+                        F.element_at(names, F.col("prediction").cast("int") + 1).cast("int").alias("y_pred"))
     pred = _sel(pred).cache()  # val-sized; metrics read it several times
     pred.count()
     predict_s = time.time() - t1

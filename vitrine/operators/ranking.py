@@ -2,16 +2,15 @@
 
 ``row_number() over (partition by g order by o)`` sends each whole group to
 one task; a group holding a third of all rows would then be sorted by one
-core.  The helpers here rank exactly while splitting every group into
-sub-buckets of its order key:
-
-1. bucket = a monotonic function of the order key inside the group, so the
-   order (bucket, key) equals the order by key;
-2. count rows per (group, bucket) — a partial aggregate, no skew;
-3. running offsets of the buckets per group over that small table;
-4. ``row_number`` within (group, bucket) plus the bucket's offset.
-
-The result is the same number ``row_number`` would give.
+core.  The helpers here deal the rows by *range* over (group, order, ties):
+
+1. :func:`range_parts` range-partitions the rows, so that neither a hot group
+   nor a hot value gathers in one task, and writes them once with the number
+   of their range;
+2. count, max or min per (group, range) is a partial aggregate; its running
+   value per group runs over that small table, one row per range at most;
+3. the window within (group, range) plus the range's offset is the result of
+   the plain window.
 """
 
 from __future__ import annotations
@@ -30,30 +29,40 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def bucketed_row_number(df: DataFrame, group_cols: list[str], order_key: str,
-                        tie_cols: list[str], out_col: str = "rn",
-                        n_buckets: int = 64, descending: bool = False) -> DataFrame:
-    """Exact per-group row number ordered by numeric ``order_key`` then ``tie_cols``.
-
-    ``order_key`` must be numeric; with ``descending`` the key is negated.
-    """
-    key = F.col(order_key).cast("double")
-    if descending:
-        key = -key
-    work = df.withColumn("__k", key)
-    bounds = work.groupBy(*group_cols).agg(F.min("__k").alias("__lo"), F.max("__k").alias("__hi"))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
-    bucket = F.when(width > 0,
-                    F.least(F.floor((F.col("__k") - F.col("__lo")) / width), F.lit(n_buckets - 1))
-                    ).otherwise(F.lit(0)).cast("int")
-    work = join_on(work, bounds, group_cols).withColumn("__b", bucket).drop("__lo", "__hi")
+def range_parts(df: DataFrame, order_cols: list[str], parts: int | None = None) -> DataFrame:
+    """``df`` written once with ``__b``: the number of its range of ``order_cols``
+    (NULL first); a later range holds no smaller row."""
+    from vitrine.sources.store import new_folder
+    spark = df.sparkSession
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = df.repartitionByRange(parts, *[F.col(c) for c in order_cols]).withColumn("__b", F.spark_partition_id())
+    path = new_folder(spark, "ranges")
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
+def ranged_row_number(df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str = "rn",
+                      parts: int | None = None) -> DataFrame:
+    """Exact per-group row number in ascending ``order_cols``."""
+    work = range_parts(df, [*group_cols, *order_cols], parts)
     counts = work.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    w_off = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))).drop("__n")
-    work = join_on(work, offsets, group_cols + ["__b"])
-    w_rank = Window.partitionBy(*group_cols, "__b").orderBy(F.col("__k"), *[F.col(c) for c in tie_cols])
-    return (work.withColumn(out_col, (F.row_number().over(w_rank) + F.col("__off")).cast("long"))
-                .drop("__k", "__b", "__off"))
+    before = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    work = join_on(work, offsets, [*group_cols, "__b"])
+    within = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols)
+    return work.withColumn(out_col, (F.row_number().over(within) + F.col("__off")).cast("long")).drop("__b", "__off")
+
+
+def ranged_sum_before(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str, out_col: str,
+                      parts: int | None = None) -> DataFrame:
+    """Sum of ``value_col`` over the rows before each row of its group."""
+    work = range_parts(df, [*group_cols, *order_cols], parts)
+    before = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (work.groupBy(*group_cols, "__b").agg(F.sum(value_col).alias("__s"))
+               .withColumn("__off", F.coalesce(F.sum("__s").over(before), F.lit(0))).drop("__s"))
+    work = join_on(work, offsets, [*group_cols, "__b"])
+    within = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return work.withColumn(out_col, F.col("__off") + F.coalesce(F.sum(value_col).over(within), F.lit(0))).drop("__b", "__off")
 
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
@@ -69,37 +78,25 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k
     return first.withColumn(out_col, F.row_number().over(w2)).filter(F.col(out_col) <= k)
 
 
-def bucketed_prev_max(df: DataFrame, group_cols: list[str], order_col: str, value_col: str,
-                      out_col: str = "prev_max", n_buckets: int = 64) -> DataFrame:
-    """Exact running max of ``value_col`` over the rows *before* each row (by
-    ``order_col``) per group, without sorting a whole group in one task:
-    bucket maxima -> prefix over the small bucket table -> in-bucket window."""
-    key = F.col(order_col).cast("double")
-    bounds = df.groupBy(*group_cols).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
-    bucket = F.when(width > 0, F.least(F.floor((key - F.col("__lo")) / width), F.lit(n_buckets - 1))).otherwise(F.lit(0))
-    work = join_on(df, bounds, group_cols).withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
-    bmax = work.groupBy(*group_cols, "__b").agg(F.max(value_col).alias("__bm"))
-    w_prev = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bmax = bmax.withColumn("__pm", F.max("__bm").over(w_prev)).drop("__bm")
-    work = join_on(work, bmax, group_cols + ["__b"])
-    w_in = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    inner = F.max(value_col).over(w_in)
-    return work.withColumn(out_col, F.greatest(F.col("__pm"), inner)).drop("__b", "__pm")
-
-
-def bucketed_next(df: DataFrame, group_cols: list[str], order_col: str, out_col: str = "next",
-                  n_buckets: int = 64) -> DataFrame:
-    """Exact next ``order_col`` value after each row within its group (a
-    skew-safe ``lead``)."""
-    key = F.col(order_col).cast("double")
-    bounds = df.groupBy(*group_cols).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
-    bucket = F.when(width > 0, F.least(F.floor((key - F.col("__lo")) / width), F.lit(n_buckets - 1))).otherwise(F.lit(0))
-    work = join_on(df, bounds, group_cols).withColumn("__b", bucket.cast("int")).drop("__lo", "__hi")
-    bmin = work.groupBy(*group_cols, "__b").agg(F.min(order_col).alias("__bmin"))
-    w_next = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
-    bmin = bmin.withColumn("__nb", F.min("__bmin").over(w_next)).drop("__bmin")
-    work = join_on(work, bmin, group_cols + ["__b"])
-    w_in = Window.partitionBy(*group_cols, "__b").orderBy(order_col)
-    return work.withColumn(out_col, F.coalesce(F.lead(order_col).over(w_in), F.col("__nb"))).drop("__b", "__nb")
+def ranged_prev_max(df: DataFrame, group_cols: list[str], order_col: str, value_col: str, out_col: str = "prev_max",
+                    parts: int | None = None) -> DataFrame:
+    """Exact max of ``value_col`` over the rows before each row of its group."""
+    work = range_parts(df, [*group_cols, order_col], parts)
+    before = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (work.groupBy(*group_cols, "__b").agg(F.max(value_col).alias("__bm"))
+               .withColumn("__pm", F.max("__bm").over(before)).drop("__bm"))
+    work = join_on(work, earlier, [*group_cols, "__b"])
+    within = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    return work.withColumn(out_col, F.greatest(F.col("__pm"), F.max(value_col).over(within))).drop("__b", "__pm")
+
+
+def ranged_next(df: DataFrame, group_cols: list[str], order_col: str, out_col: str = "next",
+                parts: int | None = None) -> DataFrame:
+    """Exact next ``order_col`` value after each row of its group (``lead``)."""
+    work = range_parts(df, [*group_cols, order_col], parts)
+    after = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
+    later = (work.groupBy(*group_cols, "__b").agg(F.min(order_col).alias("__first"))
+             .withColumn("__nb", F.min("__first").over(after)).drop("__first"))
+    work = join_on(work, later, [*group_cols, "__b"])
+    within = Window.partitionBy(*group_cols, "__b").orderBy(order_col)
+    return work.withColumn(out_col, F.coalesce(F.lead(order_col).over(within), F.col("__nb"))).drop("__b", "__nb")

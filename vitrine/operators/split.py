@@ -3,7 +3,7 @@
 The stratified hold-out takes an exact per-class quota: ``n_test =
 ceil(test_size * n)`` spread over classes by largest remainder (tie: class),
 then the first ``quota`` rows of each class in seeded-hash order.  The hash
-order rank uses the skew-safe bucketed rank, so a class holding a third of
+order rank uses the skew-safe ranged rank, so a class holding a third of
 all rows is still ranked by many tasks.
 """
 
@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.ranking import bucketed_row_number, join_on
+from vitrine.operators.ranking import join_on, ranged_row_number
 
 
 def seeded_key(idx: Column, seed: int) -> Column:
@@ -41,8 +41,8 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float =
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     quotas = class_quotas(counts, label, test_size)
     keyed = df.withColumn("__key", seeded_key(F.col(id_col), seed))
-    ranked = bucketed_row_number(keyed, [label], "__key", [id_col], out_col="__rn")
-    out = join_on(ranked, F.broadcast(quotas.select(label, "quota")), [label])  # one row per class
+    ranked = ranged_row_number(keyed, [label], ["__key", id_col], out_col="__rn")
+    out = join_on(ranked, quotas.select(label, "quota"), [label])  # one row per class
     return (out.withColumn("split", F.when(F.col("__rn") <= F.col("quota"), test_name).otherwise(train_name))
                .drop("__key", "__rn", "quota"))
 

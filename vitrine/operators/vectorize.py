@@ -8,8 +8,7 @@ Shape of the job (scikit-learn defaults restated on Spark):
 3. vocabulary = ``groupBy(term)`` with partial aggregation, ``min_df`` /
    ``max_df`` filter, top ``max_features`` by total count (tie: term), index
    in term order.  Bounded by ``max_features``.
-4. broadcast-join the vocabulary (only when its size is bounded by
-   ``max_features`` <= ``BROADCAST_VOCAB_LIMIT``; a shuffle join otherwise).
+4. join the vocabulary; Spark broadcasts it when its measured size is small.
 5. weights: tf or 1 + ln tf, times idf = ln((1 + n) / (1 + df)) + 1, then
    L2 per document (one shuffle by document).
 """
@@ -25,8 +24,6 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.eda import WORD_TOKEN, ngram_array
 
-BROADCAST_VOCAB_LIMIT = 2_000_000  # terms; ~100 MB of broadcast at most
-
 PRESETS = {
     "baseline": {"max_features": 10000, "ngram_range": (1, 2), "min_df": 2, "max_df": 0.95},
     "small": {"max_features": 5000, "ngram_range": (1, 1), "min_df": 2, "max_df": 0.95},
@@ -158,18 +155,13 @@ def fit_vocabulary(counts: DataFrame, cfg: VectorizerConfig, n_docs: int) -> Dat
 
 
 def global_index(df: DataFrame, order_col: str, out_col: str) -> DataFrame:
-    """Distributed dense index in ``order_col`` order (range sort + zipWithIndex)."""
-    srt = df.orderBy(order_col)
-    schema = srt.schema.add(out_col, "long")
-    rdd = srt.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1]))
-    return df.sparkSession.createDataFrame(rdd, schema).withColumn(out_col, F.col(out_col).cast("int"))
+    """Dense index in ``order_col`` order, dealt by range."""
+    from vitrine.operators.ranking import ranged_row_number
+    return ranged_row_number(df, [], [order_col], "__rn").withColumn(out_col, F.col("__rn") - 1).drop("__rn")
 
 
 def join_vocabulary(counts: DataFrame, vocab: DataFrame, cfg: VectorizerConfig) -> DataFrame:
-    v = vocab.select("term", "idx", "idf")
-    if cfg.max_features is not None and cfg.max_features <= BROADCAST_VOCAB_LIMIT:
-        v = F.broadcast(v)
-    return counts.join(v, "term", "inner")
+    return counts.join(vocab.select("term", "idx", "idf"), "term", "inner")
 
 
 def weigh(joined: DataFrame, doc_id: str, cfg: VectorizerConfig) -> DataFrame:
@@ -235,19 +227,27 @@ def dense_block(df: DataFrame, doc_id: str, cols: list[str], offset: int, block:
               .filter(F.col("weight") != 0).withColumn("block", F.lit(block)))
 
 
-def to_vectors(long_df: DataFrame, doc_id: str, size: int, out_col: str = "features") -> DataFrame:
-    """Long (doc, idx, weight) -> one ML SparseVector per document (one shuffle)."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+def to_vectors(long_df: DataFrame, doc_id: str, size: int, out_col: str = "features", base: DataFrame | None = None) -> DataFrame:
+    """Long (doc, idx, weight) -> one ML SparseVector per document (one shuffle).
 
-    @F.udf(VectorUDT())
-    def _mk(entries):
-        if not entries:
-            return SparseVector(size, [], [])
-        pairs = sorted((int(e[0]), float(e[1])) for e in entries)
-        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
+    With ``base`` every row of it comes back with its vector, an empty one for
+    documents without an entry.  Entries are sorted JVM-side; the vectors are
+    put together in Arrow batches.
+    """
+    from pyspark.ml.linalg import SparseVector, VectorUDT
 
-    grouped = long_df.groupBy(doc_id).agg(F.collect_list(F.struct("idx", "weight")).alias("__e"))
-    return grouped.select(F.col(doc_id), _mk("__e").alias(out_col))
+    def vector(idx, weights):
+        return SparseVector(size, list(idx), list(weights))
+
+    entries = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("weight").cast("double").alias("weight"))))
+    grouped = long_df.groupBy(doc_id).agg(entries.alias("__e"))
+    if base is not None:
+        grouped = base.join(grouped, doc_id, "left")
+    kept = [c for c in grouped.columns if c != "__e"]
+    grouped = grouped.select(*kept, F.coalesce(F.col("__e.idx"), F.array().cast("array<int>")).alias("__i"),
+                             F.coalesce(F.col("__e.weight"), F.array().cast("array<double>")).alias("__w"))
+    make = F.udf(vector, VectorUDT(), useArrow=True)
+    return grouped.select(*kept, make("__i", "__w").alias(out_col))
 
 
 def vectorizer_info_diff(info_a: dict, info_b: dict) -> list[tuple]:

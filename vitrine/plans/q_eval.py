@@ -234,7 +234,7 @@ def _ens_sql() -> str:
                     "best AS (SELECT max(f1_weighted) AS best_single FROM m_metrics WHERE method LIKE 'single_%')")
             + f"SELECT method, round(accuracy, {R}) AS accuracy, round(f1_weighted, {R}) AS f1_weighted, "
               f"round(f1_weighted - best_single, {R}) AS gain_abs, round((f1_weighted - best_single) / best_single * 100, {R}) "
-              f"AS gain_pct, f1_weighted = max(f1_weighted) OVER () AS is_best FROM m_metrics, best")
+              f"AS gain_pct, round(f1_weighted, 12) = max(round(f1_weighted, 12)) OVER () AS is_best FROM m_metrics, best")
 
 
 @query("ensemble_methods", ops=("ENS01", "ENS02", "ENS03", "ENS05", "ENS06", "ENS07", "ENS08", "JON05"), sql=_ens_sql())
@@ -263,7 +263,7 @@ def ensemble_methods(spark, sf_dir):
     return m.select("method", *_rnd(["accuracy", "f1_weighted"]),
                     F.round(F.col("f1_weighted") - F.lit(best_single), R).alias("gain_abs"),
                     F.round((F.col("f1_weighted") - F.lit(best_single)) / F.lit(best_single) * 100, R).alias("gain_pct"),
-                    (F.col("f1_weighted") == F.max("f1_weighted").over(w)).alias("is_best"))
+                    (F.round("f1_weighted", 12) == F.max(F.round("f1_weighted", 12)).over(w)).alias("is_best"))
 
 
 def _grid_sql() -> str:
@@ -274,7 +274,7 @@ def _grid_sql() -> str:
                     "f AS (SELECT i AS weight_pct, y_true, classes[list_position(fp, list_max(fp))] AS y_pred FROM "
                     "(SELECT i, y_true, classes, list_transform(list_zip(pa, pb), lambda t: (i / 100.0) * t[1] + (1 - i / 100.0) * t[2]) AS fp "
                     "FROM g, range(0, 101) r(i)))", *metrics_sql("f", ["weight_pct"]),
-                    "ranked AS (SELECT *, row_number() OVER (ORDER BY f1_weighted DESC, weight_pct) AS rank FROM m_metrics)")
+                    "ranked AS (SELECT *, row_number() OVER (ORDER BY round(f1_weighted, 12) DESC, weight_pct) AS rank FROM m_metrics)")
             + f"SELECT weight_pct, round(accuracy, {R}) AS accuracy, round(f1_weighted, {R}) AS f1_weighted, rank, "
               "rank = 1 AS is_best FROM ranked WHERE rank <= 5")
 
@@ -290,7 +290,7 @@ def fusion_weight_grid(spark, sf_dir):
     fp = ens.blend(F.col("pa"), F.col("pb"), F.col("weight_pct") / F.lit(100.0))
     scored = x.select("weight_pct", "y_true", ev.predicted_class(fp, F.col("classes")).alias("y_pred"))
     m = ev.metrics(ev.confusion(scored, ["weight_pct"]), ["weight_pct"])
-    w = Window.orderBy(F.desc("f1_weighted"), F.asc("weight_pct"))  # 101 rows
+    w = Window.orderBy(F.round("f1_weighted", 12).desc(), F.asc("weight_pct"))  # 101 rows
     r = m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
     return r.select(F.col("weight_pct").cast("bigint").alias("weight_pct"), *_rnd(["accuracy", "f1_weighted"]), "rank",
                     (F.col("rank") == 1).alias("is_best"))

@@ -16,10 +16,9 @@ SIZE = 8
 GRAY_SQL = ("gray_px AS (SELECT vec_id AS image_id, CAST((i - 1) // 8 AS BIGINT) AS y, CAST((i - 1) % 8 AS BIGINT) AS x, "
             "CAST(least(greatest(floor((CAST(embedding[i] AS DOUBLE) + 1) * 127.5), 0), 255) AS INTEGER) AS v "
             "FROM embeddings, range(1, 65) r(i))")
-RGB_SQL = ("rgb_px AS (SELECT * FROM (SELECT image_id, y, x, max(CASE WHEN ch = 0 THEN v END) AS r, "
-           "max(CASE WHEN ch = 1 THEN v END) AS g, max(CASE WHEN ch = 2 THEN v END) AS b FROM "
-           "(SELECT image_id // 3 AS image_id, image_id % 3 AS ch, y, x, v FROM gray_px) GROUP BY image_id, y, x) "
-           "WHERE r IS NOT NULL AND g IS NOT NULL AND b IS NOT NULL)")
+RGB_SQL = ("rgb_px AS (SELECT image_id, y, x, coalesce(max(CASE WHEN ch = 0 THEN v END), 0) AS r, "
+           "coalesce(max(CASE WHEN ch = 1 THEN v END), 0) AS g, coalesce(max(CASE WHEN ch = 2 THEN v END), 0) AS b FROM "
+           "(SELECT image_id // 3 AS image_id, image_id % 3 AS ch, y, x, v FROM gray_px) GROUP BY image_id, y, x)")
 HSV_SQL = ("hsv_px AS (SELECT *, CASE WHEN h0 < 0 THEN h0 + 180 ELSE h0 END AS h FROM (SELECT *, "
            "floor((s_raw * sdiv + 2048) / 4096.0) AS s, floor((hraw * hdiv + 2048) / 4096.0) AS h0 FROM (SELECT *, "
            "vmax - vmin AS s_raw, CASE WHEN vmax = 0 THEN 0.0 ELSE round(1044480.0 / vmax) END AS sdiv, "

@@ -14,12 +14,12 @@ TEXT_SQL = "lower(coalesce(designation, '') || ' ' || coalesce(description, ''))
 
 
 def _lang_sql() -> str:
-    tri = ("SELECT row_id, array_to_string(chars[i:i + 2], '') AS term FROM "
-           f"(SELECT row_id, CASE WHEN {TEXT_SQL} = '' THEN []::VARCHAR[] ELSE string_split({TEXT_SQL}, '') END AS chars "
-           "FROM listing_doc), range(1, len(chars) - 1) r(i)")
+    chars = (f"SELECT row_id, generate_subscripts(c, 1) AS pos, unnest(c) AS ch FROM (SELECT row_id, string_split({TEXT_SQL}, '') AS c "
+             f"FROM listing_doc WHERE {TEXT_SQL} <> '')")
+    tri = f"SELECT row_id, ch || lead(ch, 1) OVER w || lead(ch, 2) OVER w AS term FROM ({chars}) WINDOW w AS (PARTITION BY row_id ORDER BY pos)"
     return (S.with_(S.LISTING_DOC,
-                    f"tc AS (SELECT row_id, term, count(*) AS tf FROM ({tri}) GROUP BY row_id, term)",
-                    "tr AS (SELECT tc.*, l.lang FROM tc JOIN listing_doc l USING (row_id) WHERE l.row_id % 2 = 0)",
+                    f"tc AS (SELECT row_id, term, count(*) AS tf FROM ({tri}) WHERE term IS NOT NULL GROUP BY row_id, term)",
+                    "tr AS (SELECT tc.*, l.lang FROM tc JOIN listing_doc l USING (row_id))",
                     "cnt AS (SELECT lang, term, sum(tf) AS n FROM tr GROUP BY lang, term)",
                     "tot AS (SELECT lang, sum(n) AS total FROM cnt GROUP BY lang)",
                     "voc AS (SELECT count(DISTINCT term) AS v FROM cnt)",
@@ -41,8 +41,7 @@ def _lang_sql() -> str:
 def language_detection(spark, sf_dir):
     lst = views.listing_doc(spark, sf_dir)
     text = F.concat_ws(" ", F.coalesce("designation", F.lit("")), F.coalesce("description", F.lit("")))
-    train = lst.filter(F.col("row_id") % 2 == 0)
-    prof, defaults, langs = L.fit_profiles(train, "row_id", text, "lang")
+    prof, defaults, langs = L.fit_profiles(lst, "row_id", text, "lang")  # every row carries its language
     best = L.detect(lst, "row_id", text, prof, defaults, langs)
     out = best.join(lst.select("row_id", F.col("lang").alias("lang_true")), "row_id")
     return out.select("row_id", F.col("lang").alias("lang_pred"), "lang_true", *L.one_hot(F.col("lang")))

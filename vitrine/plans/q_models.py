@@ -6,9 +6,12 @@ tests, never hashed against SQL.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from vitrine.operators import evaluate as ev
 from vitrine.operators import experiments as X
+from vitrine.operators import models as mdl
 from vitrine.operators.ranking import top_k_per_group
 from vitrine.plans.registry import query
 from vitrine.sources import views
@@ -18,79 +21,100 @@ def _data(spark, sf_dir):
     return X.with_labels(views.listing_doc(spark, sf_dir))
 
 
-@query("cleaning_benchmark", ops=("EXP01", "EXP02", "EXP03", "EXP04", "MDL03", "MDL10", "WIN03", "SRC08"))
-def cleaning_benchmark(spark, sf_dir):
-    res = X.run_all(spark, _data(spark, sf_dir), X.cleaning_configs())
+def _cleaning(spark, sf_dir, group):
+    """Result rows of a part of the cleaning benchmark, each against the raw
+    baseline's F1."""
+    configs = X.cleaning_configs()
+    res = X.run_all(spark, _data(spark, sf_dir), [configs[0], *(c for c in configs[1:] if group(c))])
     base = res.filter(F.col("experiment") == "baseline_raw").first()["f1_weighted"]
     return res.withColumn("delta_f1", F.col("f1_weighted") - F.lit(base)).withColumn(
         "delta_pct", (F.col("f1_weighted") - F.lit(base)) / F.lit(base) * 100)
 
 
+#: One sweep, registered in parts: the 16 single rules, then combinations and tokens.
+_FIRST_RULES = ("fix_encoding", "unescape_html", "normalize_unicode", "remove_html_tags", "remove_boilerplate", "lowercase",
+                "remove_punctuation", "remove_stopwords")
+
+
+@query("cleaning_benchmark", ops=("EXP01", "EXP04", "MDL03", "MDL10", "WIN03", "SRC08"))
+def cleaning_benchmark(spark, sf_dir):
+    return _cleaning(spark, sf_dir, lambda c: c.name in _FIRST_RULES)
+
+
+@query("cleaning_benchmark_rules", ops=("EXP01",))
+def cleaning_benchmark_rules(spark, sf_dir):
+    return _cleaning(spark, sf_dir, lambda c: c.group == "rule" and c.name not in _FIRST_RULES)
+
+
+@query("cleaning_benchmark_combined", ops=("EXP01", "EXP02"))
+def cleaning_benchmark_combined(spark, sf_dir):
+    return _cleaning(spark, sf_dir, lambda c: c.group in ("combined", "numeric"))
+
+
 @query("hyperparameter_grid", ops=("EXP05", "VEC08"))
 def hyperparameter_grid(spark, sf_dir):
-    cfgs = [X.ExperimentConfig(f"tfidf_{mf}_{ng[0]}{ng[1]}", "grid", max_features=mf, ngram_range=ng,
+    cfgs = [X.ExperimentConfig(f"tfidf_{mf}_{ng[0]}{ng[1]}", "grid", max_features=mf, ngram_range=ng, use_features=True,
                                clean={"lowercase": True})
-            for mf in (500, 2000) for ng in ((1, 1), (1, 2))]
+            for mf in (5_000, 10_000, 20_000) for ng in ((1, 1), (1, 2), (1, 3))]
     return X.run_all(spark, _data(spark, sf_dir), cfgs)
 
 
 @query("strategy_comparison", ops=("EXP06", "EXP14", "VEC09", "VEC10", "VEC11", "TXF09", "TXF11"))
 def strategy_comparison(spark, sf_dir):
+    """Text blocks with and without the features, split and merged, and the
+    features alone."""
+    parts = [(st, vec, uf) for st, vec, uf in (("split", "tfidf", False), ("split", "tfidf", True), ("split", "count", False), ("split", "count", True),
+                                               ("merged", "tfidf", False), ("features", "tfidf", False))]
     cfgs = [X.ExperimentConfig(f"{st}_{vec}_{'feat' if uf else 'nofeat'}", st, strategy=st, vectorizer=vec, use_features=uf,
-                               clean={"lowercase": True})
-            for st, vec, uf in (("split", "tfidf", False), ("merged", "tfidf", False), ("split", "count", False),
-                                ("split", "tfidf", True))]
+                               max_features=10_000, clean={"lowercase": True}) for st, vec, uf in parts]
     return X.run_all(spark, _data(spark, sf_dir), cfgs)
 
 
 @query("title_weight_sweep", ops=("EXP07", "TXF10"))
 def title_weight_sweep(spark, sf_dir):
-    cfgs = [X.ExperimentConfig(f"title_x{w}", "weight", title_weight=w, clean={"lowercase": True}) for w in (1.0, 1.5, 2.0)]
+    cfgs = [X.ExperimentConfig(f"title_x{w}", "weight", title_weight=w, max_features=10_000, clean={"lowercase": True})
+            for w in (1.0, 1.2, 1.4, 1.5, 1.6, 1.8, 2.0)]
     return X.run_all(spark, _data(spark, sf_dir), cfgs)
 
 
 @query("classifier_sweep", ops=("EXP08", "EXP09", "MDL06", "MDL07", "MDL11"))
 def classifier_sweep(spark, sf_dir):
-    cfgs = [X.ExperimentConfig(f"{m}_C{c}", "classifier", model=m, C=c, clean={"lowercase": True}, max_features=500)
-            for m, c in (("logreg", 0.5), ("nb", 1.0), ("dt", 1.0), ("rf", 1.0))]
-    cfgs.append(X.ExperimentConfig("logreg_features", "features", use_features=True, clean={"lowercase": True}, max_features=500))
+    cfgs = [X.ExperimentConfig(f"{m}_C{c}", "classifier", model=m, C=c, clean={"lowercase": True}, max_features=2_000)
+            for m, c in (("logreg", 0.5), ("logreg", 1.0), ("logreg", 2.0), ("nb", 1.0), ("dt", 1.0), ("rf", 1.0))]
+    cfgs.append(X.ExperimentConfig("logreg_features", "features", use_features=True, clean={"lowercase": True}, max_features=2_000))
     return X.run_all(spark, _data(spark, sf_dir), cfgs)
 
 
 @query("linear_models_ovr", ops=("MDL04", "MDL08"))
 def linear_models_ovr(spark, sf_dir):
-    """One-vs-rest linear SVM, one-vs-rest boosted trees (10 trees) and the ridge
-    classifier on a 200-term vocabulary."""
-    cfgs = [X.ExperimentConfig("svm_C1", "classifier", model="svm", C=1.0, max_features=200, max_iter=20),
-            X.ExperimentConfig("ridge", "classifier", model="ridge", max_features=200, max_iter=20)]
+    """One-vs-rest linear SVM and the ridge classifier on 500 terms a block."""
+    cfgs = [X.ExperimentConfig("svm_C1", "classifier", model="svm", C=1.0, max_features=500, max_iter=20),
+            X.ExperimentConfig("ridge", "classifier", model="ridge", max_features=500)]
     return X.run_all(spark, _data(spark, sf_dir), cfgs)
 
 
 @query("coefficient_importance", ops=("EVA10", "ORD05", "MDL03"))
 def coefficient_importance(spark, sf_dir):
-    """LR coefficients as (class, idx, block, weight): mean |w| per class and
-    block, and the top 5 terms per class by |w| (tie: idx)."""
-    from pyspark.ml.classification import LogisticRegression
-    from vitrine.operators import vectorize as V
+    """LR coefficients: mean |w| per class and block over all the block's
+    coefficients, zeros included, and the 5 terms per class with the largest
+    |w| (tie: idx)."""
+    import pandas as pd
     data = _data(spark, sf_dir).cache()
-    cfg = X.ExperimentConfig("coef", clean={"lowercase": True}, max_features=300)
-    long, size = X.feature_table(data, cfg)
-    vecs = V.to_vectors(long, "row_id", size)
-    train = data.filter(F.col("split") == "train").select("row_id", "label").join(vecs, "row_id")
+    cfg = X.ExperimentConfig("coef", clean={"lowercase": True}, max_features=5_000, ngram_range=(1, 1))
+    table = X.feature_table(data, cfg)
+    par = spark.sparkContext.defaultParallelism
+    train = table.vectors(data.filter(F.col("split") == "train").select("row_id", "label")).repartition(par).cache()
     n = train.count()
-    model = LogisticRegression(family="multinomial", regParam=1.0 / (cfg.C * n), standardization=False).fit(train)
+    model = mdl.build_model("logreg", n, C=cfg.C).fit(train)
     cm = model.coefficientMatrix.toArray()  # classes x features: bounded by the model, not by rows
-    rows = [(int(c), int(j), float(cm[c, j])) for c in range(cm.shape[0]) for j in range(cm.shape[1]) if cm[c, j] != 0.0]
-    coef = spark.createDataFrame(rows, "class_idx INT, idx INT, weight DOUBLE")
-    blocks = long.select("idx", "block").distinct()
-    coef = coef.join(blocks, "idx", "left")
+    rows = pd.DataFrame({"class_idx": np.repeat(np.arange(cm.shape[0], dtype="int32"), cm.shape[1]),
+                         "idx": np.tile(np.arange(cm.shape[1], dtype="int32"), cm.shape[0]), "weight": cm.reshape(-1)})
+    coef = spark.createDataFrame(rows).join(table.terms, "idx")
     per_block = coef.groupBy("class_idx", "block").agg(F.avg(F.abs("weight")).alias("mean_abs"))
     top = top_k_per_group(coef, ["class_idx"], [F.desc(F.abs("weight")), F.asc("idx")], 5)
-    data.unpersist()
-    return (per_block.select("class_idx", "block", F.lit(None).cast("int").alias("idx"), "mean_abs",
-                             F.lit(None).cast("double").alias("weight"), F.lit(None).cast("int").alias("rank"))
-            .unionByName(top.select("class_idx", "block", "idx", F.lit(None).cast("double").alias("mean_abs"),
-                                    "weight", F.col("rank").cast("int"))))
+    none = lambda kind: F.lit(None).cast(kind)
+    return (per_block.select("class_idx", "block", none("int").alias("idx"), none("string").alias("term"), "mean_abs", none("double").alias("weight"), none("int").alias("rank"))
+            .unionByName(top.select("class_idx", "block", "idx", "term", none("double").alias("mean_abs"), "weight", F.col("rank").cast("int"))))
 
 
 @query("text_prep_variants", ops=("EXP10", "TXF12", "CLN18", "CLN21", "CLN22", "CLN24", "PRJ02"))
@@ -151,19 +175,18 @@ def ml_pipeline_roundtrip(spark, sf_dir):
 
 @query("boosted_trees_ovr", ops=("MDL05",))
 def boosted_trees_ovr(spark, sf_dir):
-    """One-vs-rest gradient-boosted trees (small: 5 trees, depth 3, 100 terms)."""
-    from vitrine.operators import models as mdl
-    from vitrine.operators import evaluate as ev
-    from vitrine.operators import vectorize as V
+    """One-vs-rest gradient-boosted trees (20 trees, depth 4, rate 0.3) on 300 terms a block."""
     data = _data(spark, sf_dir).cache()
-    cfg = X.ExperimentConfig("gbt", clean={"lowercase": True}, max_features=100)
-    long, size = X.feature_table(data, cfg)
-    full = data.select("row_id", "label", "split").join(V.to_vectors(long, "row_id", size), "row_id").cache()
+    cfg = X.ExperimentConfig("gbt", clean={"lowercase": True}, max_features=300)
+    table = X.feature_table(data, cfg)
+    full = table.vectors(data.select("row_id", "label", "split")).cache()
     train, val = full.filter("split = 'train'"), full.filter("split = 'val'")
-    model = mdl.build_model("gbt", train.count(), n_estimators=5, max_depth=3).fit(train)
-    pred = model.transform(val).select(F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
-    m = ev.metrics(ev.confusion(pred.withColumn("model", F.lit("gbt_ovr")), ["model"]), ["model"])
-    return m
+    present = F.array(*[F.lit(r["label"]) for r in train.select("label").distinct().orderBy("label").collect()])  # one per class
+    dense = train.withColumn("label", (F.array_position(present, F.col("label")) - 1).cast("double"))
+    model = mdl.build_model("gbt", 0, n_estimators=20, max_depth=4).fit(dense)
+    pred = model.transform(val).select(F.col("label").cast("int").alias("y_true"),
+                                       F.element_at(present, F.col("prediction").cast("int") + 1).cast("int").alias("y_pred"))
+    return ev.metrics(ev.confusion(pred.withColumn("model", F.lit("gbt_ovr")), ["model"]), ["model"])
 
 
 @query("best_vectorization_fit", ops=("EXP04", "VEC09", "TXF09", "TXF10", "MDL03", "MDL10"))

@@ -60,21 +60,6 @@ def stratified_holdout(spark, sf_dir):
     return sp.stratified_split(lst, "row_id", "prdtypecode", TEST_SIZE, SEED).select("row_id", "prdtypecode", "split")
 
 
-@query("split_class_balance", ops=("MDL01", "QC03", "AGG14", "JON08", "SET02"))
-def split_class_balance(spark, sf_dir):
-    s = stratified_holdout(spark, sf_dir)
-    per = s.groupBy("prdtypecode").agg(
-        F.sum((F.col("split") == "test").cast("long")).alias("n_test"),
-        F.sum((F.col("split") == "train").cast("long")).alias("n_train"))
-    miss_test = missing_classes(s, s.filter(F.col("split") == "test"), "prdtypecode").withColumn("missing_in", F.lit("test"))
-    miss_train = missing_classes(s, s.filter(F.col("split") == "train"), "prdtypecode").withColumn("missing_in", F.lit("train"))
-    miss = miss_test.unionByName(miss_train)
-    n_cls = s.agg(F.countDistinct("prdtypecode")).first()[0]
-    return (per.join(miss.groupBy("prdtypecode").agg(F.concat_ws(",", F.sort_array(F.collect_set("missing_in"))).alias("missing_in")),
-                     "prdtypecode", "left")
-               .withColumn("num_classes", F.lit(n_cls).cast("long")))
-
-
 def _balance_sql() -> str:
     return (S.with_(*_strat_ctes(), f"sp AS ({_STRAT_SELECT})",
                     "per AS (SELECT prdtypecode, sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS n_test, "
@@ -84,9 +69,17 @@ def _balance_sql() -> str:
               "WHEN n_train = 0 THEN 'train' END AS missing_in, (SELECT count(DISTINCT prdtypecode) FROM sp) AS num_classes FROM per")
 
 
-from vitrine.plans.registry import REGISTRY  # noqa: E402
-
-REGISTRY["split_class_balance"].sql = _balance_sql()
+@query("split_class_balance", ops=("MDL01", "QC03", "AGG14", "JON08", "SET02"), sql=_balance_sql())
+def split_class_balance(spark, sf_dir):
+    """Rows per class and side, and the sides a class is missing in: all from
+    one count per class."""
+    s = stratified_holdout(spark, sf_dir)
+    per = s.groupBy("prdtypecode").agg(F.sum((F.col("split") == "test").cast("long")).alias("n_test"),
+                                       F.sum((F.col("split") == "train").cast("long")).alias("n_train"))
+    sides = F.array(*[F.when(F.col(f"n_{x}") == 0, F.lit(x)) for x in ("test", "train")])
+    missing = F.array_join(F.filter(sides, lambda x: x.isNotNull()), ",")
+    classes = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))  # one row per class
+    return per.select("prdtypecode", "n_test", "n_train", F.when(missing != "", missing).alias("missing_in"), classes.alias("num_classes"))
 
 
 @query("random_holdout", ops=("MDL02",),
@@ -296,8 +289,8 @@ def experiment_group_stats(spark, sf_dir):
 @query("experiment_extremes", ops=("ORD02", "EXP11"),
        sql=S.with_(*_fusion_sql_ctes(), f"b AS (SELECT f1_weighted AS base FROM results WHERE experiment = '{BASELINE}')",
                    f"d AS (SELECT experiment, f1_weighted - base AS delta_f1 FROM results, b WHERE experiment <> '{BASELINE}')")
-       + f"(SELECT experiment, round(delta_f1, {R}) AS delta_f1, 'largest' AS side FROM d ORDER BY delta_f1 DESC, experiment LIMIT 3) "
-         f"UNION ALL (SELECT experiment, round(delta_f1, {R}), 'smallest' FROM d ORDER BY delta_f1, experiment LIMIT 3)")
+       + f"(SELECT experiment, round(delta_f1, {R}) AS delta_f1, 'largest' AS side FROM d ORDER BY round(d.delta_f1, 12) DESC, experiment LIMIT 3) "
+         f"UNION ALL (SELECT experiment, round(delta_f1, {R}), 'smallest' FROM d ORDER BY round(d.delta_f1, 12), experiment LIMIT 3)")
 def experiment_extremes(spark, sf_dir):
     d = hist.delta_vs_baseline(fusion_experiments(spark, sf_dir), BASELINE)
     e = hist.extremes(d, "delta_f1", 3, exclude=BASELINE)
@@ -353,7 +346,7 @@ FINDINGS = [("fusion_vs_single", "single_model_a", "simple_average"),
          "(SELECT abs(best - w) <= 1e-4 FROM best, bw) AS weighted_is_best "
          "FROM f LEFT JOIN results a ON f.from_exp = a.experiment LEFT JOIN results b ON f.to_exp = b.experiment")
 def experiment_report(spark, sf_dir):
-    res = fusion_experiments(spark, sf_dir).cache()
+    res = fusion_experiments(spark, sf_dir)
     exported = res.filter(F.col("experiment") == "weighted_average").first()["f1_weighted"]
     ok = hist.verify_best(res, exported)
     rep = hist.improvement_report(res, FINDINGS)

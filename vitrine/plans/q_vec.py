@@ -30,13 +30,12 @@ def sql_terms(src: str, text: str, analyzer: str, lo: int, hi: int, lowercase: b
         join = "' '"
     parts = []
     for n in range(lo, hi + 1):
-        if n == 1:
-            parts.append(f"SELECT row_id, unnest(toks) AS term FROM {prefix}_tk")
-        else:
-            parts.append(f"SELECT row_id, array_to_string(toks[i:i + {n - 1}], {join}) AS term "
-                         f"FROM {prefix}_tk, range(1, len(toks) - {n - 2}) r(i)")
+        later = "".join(f" || {join} || lead(tok, {k}) OVER w" for k in range(1, n))
+        parts.append(f"SELECT row_id, tok{later} AS term FROM {prefix}_p WINDOW w AS (PARTITION BY row_id ORDER BY pos)")
+    # one row per token; an n-gram that runs over the end is NULL
     return [f"{prefix}_tk AS (SELECT row_id, {toks} AS toks FROM {src})",
-            f"{prefix}_g AS (" + " UNION ALL ".join(parts) + ")",
+            f"{prefix}_p AS (SELECT row_id, generate_subscripts(toks, 1) AS pos, unnest(toks) AS tok FROM {prefix}_tk)",
+            f"{prefix}_g AS (SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE term IS NOT NULL)",
             f"{prefix}_c AS (SELECT row_id, term, count(*) AS tf FROM {prefix}_g GROUP BY row_id, term)"]
 
 

@@ -49,8 +49,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only
-    when it is unset (local tests)."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  Where it is unset, a
+    local master gets a scratch folder (tests, bench); a cluster raises."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not spark.conf.get("spark.master", "").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # one process: its own scratch folder is shared by driver and executor
     local = tempfile.mkdtemp(prefix="vitrine-ckpt-", dir=os.environ.get("VITRINE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

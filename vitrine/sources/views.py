@@ -174,14 +174,12 @@ def gray_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rgb_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(image_id, y, x, r, g, b): three consecutive embeddings as r, g, b planes."""
+    """(image_id, y, x, r, g, b): three consecutive embeddings as r, g, b planes;
+    a plane that the last image lacks is 0."""
     g = gray_pixels(spark, sf_dir)
     g = g.withColumn("ch", F.col("image_id") % 3).withColumn("image_id", (F.col("image_id") / 3).cast("long"))
-    out = g.groupBy("image_id", "y", "x").agg(
-        F.max(F.when(F.col("ch") == 0, F.col("v"))).alias("r"),
-        F.max(F.when(F.col("ch") == 1, F.col("v"))).alias("g"),
-        F.max(F.when(F.col("ch") == 2, F.col("v"))).alias("b"))
-    return out.filter(F.col("r").isNotNull() & F.col("g").isNotNull() & F.col("b").isNotNull())
+    plane = lambda ch: F.coalesce(F.max(F.when(F.col("ch") == ch, F.col("v"))), F.lit(0))
+    return g.groupBy("image_id", "y", "x").agg(plane(0).alias("r"), plane(1).alias("g"), plane(2).alias("b"))
 
 
 def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,12 +196,12 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = 'run_' || user_id; epoch = row number by (ts, event_id) within the
     user (skew-safe ranking); val_f1 = value scaled to [0, 1]; val_loss = 1 - val_f1.
     """
-    from vitrine.operators.ranking import bucketed_row_number
+    from vitrine.operators.ranking import ranged_row_number
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     lo, hi = ev.agg(F.min("value"), F.max("value")).first()  # two scalars
     # micros since the epoch, valid for TIMESTAMP and TIMESTAMP_NTZ alike
     ev = ev.withColumn("ts_us", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
-    ranked = bucketed_row_number(ev, ["user_id"], "ts_us", ["event_id"], out_col="epoch")
+    ranked = ranged_row_number(ev, ["user_id"], ["ts_us", "event_id"], out_col="epoch")
     f1 = (F.col("value") - F.lit(lo)) / F.lit(hi - lo)
     return ranked.select(F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("name"),
                          F.col("epoch"), f1.alias("val_f1"), (F.lit(1.0) - f1).alias("val_loss"))
