@@ -48,6 +48,7 @@ def main() -> None:
     from vitrine.plans import REGISTRY
 
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark.conf.set("vitrine.readPartitions", cpus)  # the bench files hold one row group each
     # warm-up (JVM, codegen caches)
     REGISTRY["listing_features_by_category"].builder(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

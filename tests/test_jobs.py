@@ -48,3 +48,22 @@ def test_seeded_sample_is_deterministic(spark):
     a = [r.row_id for r in E.queries()["seeded_sample"](spark, SF_SMALL).collect()]
     b = [r.row_id for r in E.queries()["seeded_sample"](spark, SF_SMALL).collect()]
     assert a == b and len(a) == 5
+
+
+def test_files_that_are_no_images_are_listed(spark, tmp_path):
+    from vitrine.sources import store
+    (tmp_path / "broken.png").write_bytes(b"not an image")
+    assert [r.origin.rsplit("/", 1)[1] for r in store.undecodable_images(spark, str(tmp_path)).collect()] == ["broken.png"]
+    assert store.read_images(spark, str(tmp_path)).count() == 0
+
+
+def test_saved_configuration_rebuilds_its_blocks(spark, tmp_path):
+    from vitrine.sources import store
+    from vitrine.operators import vectorize as V
+    config = {"vectorizer_type": "tfidf", "strategy": "split", "ngram_range": [1, 2], "max_features": 100, "max_features_title": 20,
+              "max_features_desc": 30, "min_df": 2, "max_df": 0.9, "title_weight": 1.5, "feature_columns": [], "metadata": None}
+    store.save_config(spark, config, str(tmp_path / "c"))
+    blocks = store.blocks_from_config(store.load_config(spark, str(tmp_path / "c")))
+    assert [(n, w, b.max_features, tuple(b.ngram_range), b.max_df) for n, b, w in blocks] == [("title", 1.5, 20, (1, 2), 0.9), ("description", 1.0, 30, (1, 2), 0.9)]
+    docs = spark.createDataFrame([(1, "chat noir"), (2, "chat blanc"), (3, "noir")], "row_id long, t string")
+    assert {r.term for r in V.fit(docs, "row_id", F.col("t"), blocks[0][1]).vocab.collect()} == {"chat", "noir"}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.operators.quality import class_fingerprint, split_signature
+from vitrine.operators.vectorize import VectorizerConfig, build_vectorizer
 from vitrine.session import shared_dir
 
 
@@ -39,8 +40,7 @@ def export_predictions(preds: DataFrame, root: str) -> None:
     """Write ``(model, split, idx, probs FLOAT[], classes, y_true)`` partitioned by
     (model, split) plus one metadata row per set (an aggregate, not a collect)."""
     out = preds.withColumn("probs", F.transform("probs", lambda p: p.cast("float")))
-    (out.repartition("model", "split").write.mode("overwrite").partitionBy("model", "split")
-        .parquet(f"{root}/predictions"))
+    out.write.mode("overwrite").partitionBy("model", "split").parquet(f"{root}/predictions")
     sig = split_signature(preds, ["model", "split"])
     meta = preds.groupBy("model", "split").agg(
         F.count(F.lit(1)).alias("num_samples"), F.max(F.size("probs")).alias("num_classes"),
@@ -116,6 +116,19 @@ def load_config(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONFIG_SCHEMA).json(path)
 
 
+def blocks_from_config(config: DataFrame) -> list[tuple[str, VectorizerConfig, float]]:
+    """SRC09: the text blocks (name, vectoriser, weight) that a saved
+    configuration stands for, ready to be fitted."""
+    c = config.first()
+
+    def vectorizer(max_features: int) -> VectorizerConfig:
+        return build_vectorizer(c["vectorizer_type"], ngram_range=tuple(c["ngram_range"]), max_features=max_features,
+                                min_df=c["min_df"], max_df=c["max_df"])
+    if c["strategy"] == "split":
+        return [("title", vectorizer(c["max_features_title"]), c["title_weight"] or 1.0), ("description", vectorizer(c["max_features_desc"]), 1.0)]
+    return [("text", vectorizer(c["max_features"]), 1.0)]
+
+
 def config_summary(cfg: DataFrame) -> DataFrame:
     """SRC12: the printed summary as rows (key, value)."""
     kv = F.create_map(
@@ -147,9 +160,10 @@ def config_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 def read_images(spark: SparkSession, path: str, grayscale: bool = False) -> DataFrame:
     """SRC02: decode image files with Spark's ``image`` source (JVM decode, BGR
     byte order) into a pixel table ``(origin, y, x, r, g, b)`` or ``(origin, y, x, v)``
-    (OpenCV gray rule).  Resizing is ``images.resize`` on the pixel table."""
+    (OpenCV gray rule).  Resizing is ``images.resize`` on the pixel table.
+    Files that can't be decoded are listed by :func:`undecodable_images`."""
     from vitrine.operators.images import gray_from_rgb
-    img = spark.read.format("image").option("dropInvalid", True).load(path)
+    img = spark.read.format("image").option("dropInvalid", False).load(path).where("image.height > 0")
     x = img.select(F.col("image.origin").alias("origin"), F.col("image.height").alias("h"),
                    F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"), F.col("image.data").alias("data"))
     # one byte per (pixel, channel): explode positions, read the byte as unsigned
@@ -164,3 +178,9 @@ def read_images(spark: SparkSession, path: str, grayscale: bool = False) -> Data
     if grayscale:
         return px.select("origin", "y", "x", gray_from_rgb(F.col("r"), F.col("g"), F.col("b")).alias("v"))
     return px
+
+
+def undecodable_images(spark: SparkSession, path: str) -> DataFrame:
+    """(origin) of the files under ``path`` that are no images."""
+    img = spark.read.format("image").option("dropInvalid", False).load(path)
+    return img.where("image.height <= 0").select(F.col("image.origin").alias("origin"))

@@ -27,19 +27,16 @@ def register_all(spark: SparkSession, sf_dir: str) -> None:
 TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster when it yields fewer partitions than the
-    default parallelism (e.g. one large row group), so CPU-heavy per-row text
-    work is not done by a single task.  A no-op on inputs that already split
-    into enough partitions, which is the case at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    n = df._jdf.rdd().getNumPartitions()  # plans the scan; runs no job
-    return df.repartition(target) if n < target else df
+#: Session setting: partitions that text tables are dealt to after the scan (0,
+#: the default: as the scan splits them).  For inputs of one row group, as in
+#: tests and bench, where one task would do all per-row text work.
+READ_PARTITIONS = "vitrine.readPartitions"
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A text table, column-pruned first, then spread for per-row text work."""
+    """A text table, column-pruned; dealt out if ``READ_PARTITIONS`` says so."""
     df = table(spark, sf_dir, name)
     if columns:
         df = df.select(*columns)
-    return ensure_parallelism(df)
+    parts = int(spark.conf.get(READ_PARTITIONS, "0"))
+    return df.repartition(parts) if parts else df
