@@ -42,36 +42,52 @@ SHRINK = 40
 
 
 def compress(seq: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules, symbols, offsets) for ``seq`` whose documents end at ``ends``."""
-    seq = seq.astype(np.uint32)
+    """(rules, symbols, offsets) for ``seq`` whose documents end at ``ends``.
+
+    Inside, the ids that occur are numbered densely, so that a pair mostly fits
+    32 bits; the result has the ids again, nonterminals from ``BASE`` on.
+    """
+    present = np.flatnonzero(np.bincount(seq)) if len(seq) else np.zeros(0, np.int64)
+    dense = np.zeros(int(present[-1]) + 1 if len(present) else 1, np.uint32)
+    dense[present] = np.arange(len(present))
+    seq = dense[seq]
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     rules: list[np.ndarray] = []
-    symbols = BASE
+    symbols = len(present)
     for _ in range(ROUNDS):
         if len(seq) < 2:
             break
-        code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        inside = np.sort(code[~last[:-1]])
+        kind, shift = (np.uint32, 16) if symbols <= 1 << 16 else (np.uint64, 32)
+        low = kind((1 << shift) - 1)
+        code = seq[:-1].astype(kind)
+        code <<= kind(shift)
+        code |= seq[1:].astype(kind)
+        within = ~last[:-1]
+        inside = code[within]
+        inside.sort()
         new = np.ones(len(inside), bool)
         new[1:] = inside[1:] != inside[:-1]
         at = np.flatnonzero(new)
         count = np.diff(np.concatenate([at, [len(inside)]]))
         often = np.flatnonzero(count >= MIN_COUNT)
         top = often[np.argsort(-count[often], kind="stable")[:4 * ROUND_RULES]]
-        chosen = _compatible(inside[at[top]])[:ROUND_RULES]
+        best = inside[at[top]]
+        chosen = best[_compatible((best >> kind(shift)).tolist(), (best & low).tolist())][:ROUND_RULES]
         if not len(chosen):
             break
-        numbers = np.arange(symbols, symbols + len(chosen), dtype=np.uint32)
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        rules.append(np.stack([chosen >> kind(shift), chosen & low], axis=1).astype(np.uint32))
         by = np.argsort(chosen)
-        chosen, numbers = chosen[by], numbers[by]
+        chosen, numbers = chosen[by], np.arange(symbols, symbols + len(chosen), dtype=np.uint32)[by]
         left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        left[chosen >> np.uint64(32)] = True
-        right[chosen & np.uint64(0xFFFFFFFF)] = True
-        where = np.flatnonzero(left[seq[:-1]] & right[seq[1:]] & ~last[:-1])
-        slot = np.minimum(np.searchsorted(chosen, code[where]), len(chosen) - 1)
-        hit = chosen[slot] == code[where]
+        left[chosen >> kind(shift)] = True
+        right[chosen & low] = True
+        within &= left[seq[:-1]]
+        within &= right[seq[1:]]
+        where = np.flatnonzero(within)
+        found = code[where]
+        slot = np.minimum(np.searchsorted(chosen, found), len(chosen) - 1)
+        hit = chosen[slot] == found
         where, slot = where[hit], slot[hit]
         # in a run of one symbol only every other place starts a pair
         twin = seq[where] == seq[where + 1]
@@ -94,24 +110,24 @@ def compress(seq: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     offsets = np.zeros(len(ends) + 1, np.int64)
     counts = np.diff(np.concatenate([[0], ends])) > 0
     offsets[1:] = np.concatenate([[0], full])[np.cumsum(counts)]
-    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)), seq, offsets
+    names = np.concatenate([present, BASE + np.arange(symbols - len(present))]).astype(np.uint32)
+    return (names[np.concatenate(rules)] if rules else np.zeros((0, 2), np.uint32)), names[seq], offsets
 
 
-def _compatible(codes: np.ndarray) -> np.ndarray:
-    """The codes, best first, whose symbols stand on one side only (or twice),
-    so occurrences of two of them never overlap."""
+def _compatible(left: list[int], right: list[int]) -> list[int]:
+    """Places of the pairs, best first, whose symbols stand on one side only
+    (or twice), so occurrences of two of them never overlap."""
     role: dict[int, int] = {}
     out = []
-    for code in codes.tolist():
-        a, b = code >> 32, code & 0xFFFFFFFF
+    for k, (a, b) in enumerate(zip(left, right, strict=True)):
         if a == b:
             if a not in role:
                 role[a] = 3
-                out.append(code)
+                out.append(k)
         elif role.get(a, 1) == 1 and role.get(b, 2) == 2:
             role[a], role[b] = 1, 2
-            out.append(code)
-    return np.array(out, np.uint64)
+            out.append(k)
+    return out
 
 
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:
@@ -158,23 +174,41 @@ class Shard:
         self.offsets = take("<u8", n_docs + 1).astype(np.int64)
         self.starts = take("<u8", n_docs + 1).astype(np.int64)
         self.symbols = take("<u4", n_symbols)
+        self._rules: tuple[np.ndarray, np.ndarray] | None = None
+
+    def _opened(self) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all nonterminals' expansions, start of each)."""
+        if self._rules is None:
+            symbols = np.arange(self.base, self.base + len(self.rules), dtype=np.uint32)
+            while (big := symbols >= self.base).any():  # nonterminals open level by level
+                count = big.astype(np.int64) + 1
+                out = np.repeat(symbols, count)
+                at = (np.cumsum(count) - count)[big]
+                rule = self.rules[symbols[big].astype(np.int64) - self.base]
+                out[at], out[at + 1] = rule[:, 0], rule[:, 1]
+                symbols = out
+            self._rules = symbols, np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        return self._rules
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Ids of a symbol range: nonterminals open level by level."""
-        while True:
-            big = symbols >= self.base
-            if not big.any():
-                return symbols
-            count = big.astype(np.int64) + 1
-            out = np.repeat(symbols, count)
-            at = (np.cumsum(count) - count)[big]
-            rule = self.rules[symbols[big].astype(np.int64) - self.base]
-            out[at], out[at + 1] = rule[:, 0], rule[:, 1]
-            symbols = out
+        """Ids of a symbol range."""
+        ids, starts = self._opened()
+        big = np.flatnonzero(symbols >= self.base)
+        rule = symbols[big].astype(np.int64) - self.base
+        count = np.ones(len(symbols), np.int64)
+        count[big] = self.lengths[rule]
+        out = np.repeat(symbols, count)
+        at = (np.cumsum(count) - count)[big]
+        out[tb.ranges(at, count[big])] = ids[tb.ranges(starts[rule], count[big])]
+        return out
 
     def document(self, k: int) -> np.ndarray:
         return self.expand(self.symbols[self.offsets[k]:self.offsets[k + 1]])
 
+    def documents(self) -> list[np.ndarray]:
+        """All documents' ids, opened together."""
+        return np.split(self.expand(self.symbols), self.starts[1:-1]) if len(self.doc_ids) else []
+
 
 def _write_batches(path: str, folder: str, end_id: int):
     """Sorted (partition, doc_id, text) rows to files; one row per file."""
@@ -252,14 +286,14 @@ def _read_batches(folder: str):
             for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with source.open_input_file(name) as f:
                     shard = Shard(f.read())
-                sums = [zlib.crc32(shard.document(k).astype("<u4").tobytes()) for k in range(len(shard.doc_ids))]
+                sums = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in shard.documents()]
                 yield pa.record_batch([pa.array(shard.doc_ids, pa.int64()), pa.array(shard.starts[:-1] + start), pa.array(np.diff(shard.starts)),
                                        pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
     return run
 
 
 def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
-    """Every document of the files, decoded one by one: ``doc_id``, ``start``
+    """Every document of the files, decoded: ``doc_id``, ``start``
     (ids of all documents before it), ``n_tokens`` and ``ids_crc32``."""
     n = parallelism(manifest.sparkSession)
     return (manifest.select("file", "start").repartition(n, "file")
