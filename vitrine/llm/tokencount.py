@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import textbuf as tb
-from vitrine.llm.common import running_total
-from vitrine.llm.encode import encoder
+from vitrine.llm.common import running_total, step
+from vitrine.llm.encode import ENCODE_BYTES, encoder
 
 
 def _length_batches(path: str):
@@ -26,7 +26,7 @@ def _length_batches(path: str):
         encode = encoder(path).encode
         for batch in batches:
             col = tb.string_column(batch.columns[-1])
-            for i, j in tb.slices(col):
+            for i, j in tb.slices(col, ENCODE_BYTES):
                 _, offsets = encode(col[i:j])
                 columns = [*(c[i:j] for c in batch.columns[:-1]), pa.array(np.diff(offsets))]
                 yield pa.record_batch(columns, names=[f"c{k}" for k in range(len(columns))])
@@ -50,7 +50,8 @@ def histogram(docs: DataFrame, tokenizer: str, by: tuple[str, ...] = (), text_co
     * Repeated rows count each; extra columns are ignored.
     * An empty table gives an empty result.
     """
-    cells = lengths(docs, tokenizer, by, text_col).groupBy(*by, "n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # written once: the sums below read it several times
+    cells = step(lengths(docs, tokenizer, by, text_col).groupBy(*by, "n_tokens").agg(F.count(F.lit(1)).alias("n_docs")))
     cells = cells.withColumn("__tokens", F.col("n_docs") * F.col("n_tokens"))
     cells = running_total(cells, "n_docs", "n_tokens", "__docs_after", by, descending=True)
     cells = running_total(cells, "__tokens", "n_tokens", "__tokens_after", by, descending=True)
