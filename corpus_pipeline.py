@@ -78,8 +78,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @_stage
 def final_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their shard and slot of the reproducible shuffle."""
-    return sharding.shard(docs, SHARDS, order=["doc_id", "source", "n_chars", "text"])
+    """All rows with their shard and slot of the reproducible shuffle.  Rows are
+    numbered by doc_id; copies and repeated ids by what else tells them apart,
+    the text by its hash (range bounds are sampled to the driver)."""
+    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
+    return sharding.shard(rows, SHARDS, order=["doc_id", "source", "n_chars", "__text_hash"]).drop("__text_hash")
 
 
 STAGES: list[tuple[str, Stage]] = [
