@@ -67,3 +67,30 @@ def test_saved_configuration_rebuilds_its_blocks(spark, tmp_path):
     assert [(n, w, b.max_features, tuple(b.ngram_range), b.max_df) for n, b, w in blocks] == [("title", 1.5, 20, (1, 2), 0.9), ("description", 1.0, 30, (1, 2), 0.9)]
     docs = spark.createDataFrame([(1, "chat noir"), (2, "chat blanc"), (3, "noir")], "row_id long, t string")
     assert {r.term for r in V.fit(docs, "row_id", F.col("t"), blocks[0][1]).vocab.collect()} == {"chat", "noir"}
+
+
+@pytest.mark.parametrize("damage, problem", [(None, None), ("n", "row count"), ("signature", "split signature"), ("classes", "class fingerprint"),
+                                             ("labels", "labels missing"), ("rows", "no rows")])
+def test_loader_checks_prediction_sets(spark, tmp_path, damage, problem):
+    from vitrine.sources import store
+    rows = [(m, "val", i, [0.4, 0.6], [7, 8], 7) for m in ("one", "two") for i in range(5)]
+    df = spark.createDataFrame(rows, "model string, split string, idx long, probs array<double>, classes array<int>, y_true int")
+    store.export_predictions(df, str(tmp_path))
+    preds, meta = store.load_predictions(spark, str(tmp_path))
+    two = F.col("model") == "two"
+    if damage == "n":
+        preds = preds.where(~(two & (F.col("idx") == 4)))
+    elif damage == "signature":
+        preds = preds.withColumn("idx", F.when(two, F.col("idx") + 1).otherwise(F.col("idx")))
+    elif damage == "classes":
+        preds = preds.withColumn("classes", F.when(two, F.array(F.lit(8), F.lit(7))).otherwise(F.col("classes")))
+    elif damage == "labels":
+        preds = preds.withColumn("y_true", F.when(~two | (F.col("idx") > 0), F.col("y_true")))
+    elif damage == "rows":
+        preds = preds.where(~two)
+    if problem is None:
+        assert store.verified_predictions(preds, meta).count() == 10
+    else:
+        with pytest.raises(ValueError, match=f"two/val: {problem}"):
+            store.verified_predictions(preds, meta)
+        assert {r.model for r in store.verified_predictions(preds, meta, skip_broken=True).select("model").distinct().collect()} == {"one"}

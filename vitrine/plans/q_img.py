@@ -162,7 +162,7 @@ def image_bovw(spark, sf_dir):
     return im.bovw_histograms(views.descriptors(spark, sf_dir), k=8)
 
 
-@query("image_pca", ops=("IMG15", "IMG17"))
+@query("image_pca", ops=("IMG15",))
 def image_pca(spark, sf_dir):
     flat = im.flatten(views.gray_pixels(spark, sf_dir), SIZE)
     return im.pca_project(flat, 8)

@@ -24,6 +24,7 @@ def prediction_store_roundtrip(spark, sf_dir):
     root = store.new_folder(spark, "prediction_store")
     store.export_predictions(views.predictions(spark, sf_dir), root)
     preds, meta = store.load_predictions(spark, root, name_like="model\\_%")
+    preds = store.verified_predictions(preds, meta)
     agg = preds.groupBy("model", "split").agg(
         F.count(F.lit(1)).alias("num_samples"),
         F.round(F.avg(F.array_max(F.transform("probs", lambda p: p.cast("double")))), 4).alias("__m"))

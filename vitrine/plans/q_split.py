@@ -69,7 +69,7 @@ def _balance_sql() -> str:
               "WHEN n_train = 0 THEN 'train' END AS missing_in, (SELECT count(DISTINCT prdtypecode) FROM sp) AS num_classes FROM per")
 
 
-@query("split_class_balance", ops=("MDL01", "QC03", "AGG14", "JON08", "SET02"), sql=_balance_sql())
+@query("split_class_balance", ops=("MDL01", "QC03", "AGG14", "JON08"), sql=_balance_sql())
 def split_class_balance(spark, sf_dir):
     """Rows per class and side, and the sides a class is missing in: all from
     one count per class."""

@@ -64,6 +64,35 @@ def load_predictions(spark: SparkSession, root: str, name_like: str | None = Non
     return preds, meta
 
 
+def set_problems(preds: DataFrame, meta: DataFrame) -> DataFrame:
+    """QC02: (model, split, problem), one row for each prediction set that
+    disagrees with its metadata or lacks rows, metadata or labels."""
+    found = preds.groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.min(class_fingerprint(F.col("classes"))).alias("fp_lo"), F.max(class_fingerprint(F.col("classes"))).alias("fp_hi"),
+        F.sum(F.col("y_true").isNull().cast("int")).alias("unlabelled")).join(
+        split_signature(preds, ["model", "split"]).withColumnRenamed("split_signature", "signature"), ["model", "split"])
+    said = meta.withColumnRenamed("model_name", "model").withColumnRenamed("split_name", "split")
+    both = found.join(said, ["model", "split"], "full_outer")
+    differs = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
+    problem = (F.when(F.col("n").isNull(), "no rows").when(F.col("split_signature").isNull(), "no metadata")
+               .when(differs("n", "num_samples"), "row count").when(differs("signature", "split_signature"), "split signature")
+               .when(differs("fp_lo", "classes_fp") | differs("fp_hi", "classes_fp"), "class fingerprint")
+               .when(F.col("has_y_true") & (F.col("unlabelled") > 0), "labels missing"))
+    return both.select("model", "split", problem.alias("problem")).where("problem is not null")
+
+
+def verified_predictions(preds: DataFrame, meta: DataFrame, skip_broken: bool = False) -> DataFrame:
+    """QC02 / SRC07: the prediction rows of sets that agree with their metadata.
+    A set that doesn't raises, or is left out with ``skip_broken``."""
+    problems = set_problems(preds, meta)
+    if skip_broken:
+        return preds.join(problems.select("model", "split"), ["model", "split"], "left_anti")
+    bad = problems.orderBy("model", "split").collect()  # one row per set
+    if bad:
+        raise ValueError("; ".join(f"{r['model']}/{r['split']}: {r['problem']}" for r in bad))
+    return preds
+
+
 # ---------------------------------------------------------------------------
 # splits (SRC05), result tables (SRC08), cleaned exports (SRC11)
 # ---------------------------------------------------------------------------
