@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from vitrine.functions import features as tf
 from vitrine.functions import fixed

@@ -7,8 +7,6 @@ EXP11-14)
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -17,7 +15,6 @@ from vitrine.operators import ensemble as ens
 from vitrine.operators import evaluate as ev
 from vitrine.operators import history as hist
 from vitrine.operators import split as sp
-from vitrine.operators.quality import missing_classes
 from vitrine.plans import sqlkit as S
 from vitrine.plans.q_eval import PRED_CTES, metrics_sql, MODELS
 from vitrine.plans.registry import query
