@@ -1,5 +1,6 @@
 """URL filters (rules, features, held-out accuracy) and licence scans."""
 
+import itertools
 import math
 import random
 import re
@@ -58,6 +59,23 @@ def test_held_out_accuracy(spark):
     assert right[1] > 50 and right[0] > 0.95
 
 
+def alike(host, n):
+    """``n`` URLs of one host whose lexical features are all equal."""
+    return [f"http://{host}/{''.join(p)}" for p in itertools.islice(itertools.permutations("abcdefg"), n)]
+
+
+def test_a_sampled_class_keeps_its_weight(spark):
+    hyphened, plain = alike("a-b.example.com", 400), alike("ab.example.com", 1600)
+    rows = [(u, int(k % 4 == 0)) for k, u in enumerate(hyphened)] + [(u, 0) for u in plain]  # a quarter of the hyphened is 'block'
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    score = {}
+    for max_rows in (100, 10_000):
+        out = uf.judge(labelled, [], uf.fit(labelled, max_rows=max_rows))
+        assert {r["verdict"] for r in out.select("verdict").distinct().collect()} == {"allow"}, max_rows
+        score[max_rows] = out.where("host = 'a-b.example.com'").agg(F.avg("score")).first()[0]
+    assert abs(score[100] - score[10_000]) < 0.1
+
+
 def test_one_class_and_no_labels(spark):
     empty = spark.createDataFrame([], "url string, label int")
     assert uf.fit(empty).only == "allow"

@@ -115,7 +115,9 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max
     """Train on labelled URLs (label 1: block, 0: allow; NULL: left out).
 
     Suffix statistics count all labelled URLs; the trees take at most about
-    ``max_rows`` of each class, the ones smallest by a hash of the URL.
+    ``max_rows`` of each class, the ones smallest by a hash of the URL.  Each
+    class weighs as many rows as it has in the table, so scores and thresholds
+    mean the same whether a class is sampled or not.
     """
     known = labelled.select(F.col(url_col).alias("__url"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
     suffix = F.substring_index(host_of(F.col("__url")), ".", -1)
@@ -133,7 +135,9 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max
     rows = UrlModel(None, suffixes).features(sample)
     # the order of rows fixes the split candidates, so reruns agree
     rows = step(rows.select("__features", F.col("label").cast("double").alias("label"), "__url").repartition(4, "__url").sortWithinPartitions("__url"))
-    trees = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=seed).fit(rows)
+    taken = {int(r["label"]): r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weight = F.when(F.col("label") == 1, size[1] / taken.get(1, 1)).otherwise(size[0] / taken.get(0, 1))
+    trees = GBTClassifier(featuresCol="__features", labelCol="label", weightCol="__weight", maxIter=TREES, maxDepth=DEPTH, seed=seed).fit(rows.withColumn("__weight", weight))
     return UrlModel(trees, suffixes)
 
 
