@@ -76,6 +76,23 @@ def test_a_sampled_class_keeps_its_weight(spark):
     assert abs(score[100] - score[10_000]) < 0.1
 
 
+def test_one_hot_url_neither_fills_nor_empties_the_sample(spark):
+    block, allow = alike("a-b.example.com", 20), alike("ab.example.com", 400)
+    rows = [(u, 1, 1) for u in block[1:]] + [(block[0], 1, 20_000)] + [(u, 0, 1) for u in allow[1:]] + [(allow[0], 0, 1000)]
+    labelled = spark.createDataFrame(rows, "url string, label int, n int").withColumn("__k", F.explode(F.sequence(F.lit(1), "n"))).drop("n", "__k")
+    out = uf.judge(labelled.distinct(), [], uf.fit(labelled, max_rows=50))
+    assert Counter(r["verdict"] for r in out.where("label = 1").collect()) == {"block": 20}
+    assert Counter(r["verdict"] for r in out.where("label = 0").collect()) == {"allow": 400}
+
+    counted = labelled.groupBy(F.col("url").alias("__url"), "label").agg(F.count("*").alias("n"))
+    totals = {1: {"n": 20_019, "distinct": 20, "top": block[0]}, 0: {"n": 1399, "distinct": 400, "top": allow[0]}}
+    taken = [r for r in uf.fit_sample(counted, totals, 50, 11).collect()]
+    assert sum(r["label"] == 1 for r in taken) == 20 and 2 <= sum(r["label"] == 0 for r in taken) <= 100
+    assert {r["__url"]: r["__weight"] for r in taken}[allow[0]] == 1000
+    least = [r["label"] for r in uf.fit_sample(counted, totals, 1, 11).collect()]
+    assert set(least) == {0, 1}
+
+
 def test_one_class_and_no_labels(spark):
     empty = spark.createDataFrame([], "url string, label int")
     assert uf.fit(empty).only == "allow"

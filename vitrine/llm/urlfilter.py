@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import step
 
-#: Most labelled URLs of each class that a fit takes (chosen by hash).
+#: Most distinct labelled URLs of each class that a fit takes, about (chosen by hash).
 MAX_FIT_ROWS = 10_000
 TREES = 20
 DEPTH = 4
@@ -111,32 +111,53 @@ class UrlModel:
         return scored.withColumn("score", vector_to_array("probability")[1]).drop("__features", "rawPrediction", "probability", "prediction")
 
 
+def fit_sample(counted: DataFrame, totals: dict[int, dict], max_rows: int, seed: int) -> DataFrame:
+    """At most about ``max_rows`` of each class from ``counted`` (``__url``,
+    ``label``, ``n``: distinct in the first two), plus ``__weight``.
+
+    ``totals``: ``n`` rows, ``distinct`` URLs and the most frequent URL ``top``
+    of each class.  A class of up to ``max_rows`` URLs is taken whole.  Of a
+    larger one a URL is taken with a chance that adds an equal share for each
+    URL and one by its copies, and stands for copies / chance rows; frequent URLs
+    have the chance 1, as has ``top``, so no class is left without a row.
+    """
+    chance = F.lit(1.0)
+    for label, c in totals.items():
+        if c["distinct"] > max_rows:
+            some = F.least(F.lit(1.0), max_rows / 2 * (1 / c["distinct"] + F.col("n") / c["n"]))
+            chance = F.when((F.col("label") != label) | F.col("__url").eqNullSafe(F.lit(c["top"])), chance).otherwise(some)
+    part = 1 << 30
+    drawn = F.pmod(F.xxhash64("__url", F.lit(seed)), F.lit(part)) < chance * part
+    return counted.where(drawn).withColumn("__weight", F.col("n") / chance)
+
+
 def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max_rows: int = MAX_FIT_ROWS, seed: int = 11) -> UrlModel:
     """Train on labelled URLs (label 1: block, 0: allow; NULL: left out).
 
     Suffix statistics count all labelled URLs; the trees take at most about
-    ``max_rows`` of each class, the ones smallest by a hash of the URL.  Each
-    class weighs as many rows as it has in the table, so scores and thresholds
-    mean the same whether a class is sampled or not.
+    ``max_rows`` distinct URLs of each class (:func:`fit_sample`), weighted by
+    their copies.  Each class weighs as many rows as it has in the table, so
+    scores and thresholds mean the same whether a class is sampled or not.
     """
     known = labelled.select(F.col(url_col).alias("__url"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
+    counted = step(known.groupBy("__url", "label").agg(F.count(F.lit(1)).alias("n")))
     suffix = F.substring_index(host_of(F.col("__url")), ".", -1)
-    totals = known.groupBy(suffix.alias("suffix"), "label").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.groupBy(suffix.alias("suffix"), "label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"), F.max(F.struct("n", "__url")).alias("top"))
     totals = step(totals)  # one row for each suffix and class
-    size = {r["label"]: r["n"] for r in totals.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    n = sum(size.values())
+    size = {r["label"]: {"n": r["n"], "distinct": r["distinct"], "top": r["top"]["__url"]}
+            for r in totals.groupBy("label").agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct"), F.max("top").alias("top")).collect()}
+    n = sum(c["n"] for c in size.values())
     suffixes = step(totals.groupBy("suffix").agg((F.sum("n") / F.lit(max(n, 1))).alias("f_suffix_share"),
                                                          ((F.sum(F.col("n") * F.col("label")) + 1) / (F.sum("n") + 2)).alias("f_suffix_block")))
     if len(size) < 2:
         return UrlModel(None, suffixes, "block" if 1 in size else "allow")
-    part = 1 << 30
-    limit = F.when(F.col("label") == 1, int(min(1.0, max_rows / size[1]) * part)).otherwise(int(min(1.0, max_rows / size[0]) * part))
-    sample = known.where(F.pmod(F.xxhash64("__url", F.lit(seed)), F.lit(part)) < limit)
-    rows = UrlModel(None, suffixes).features(sample)
+    rows = UrlModel(None, suffixes).features(fit_sample(counted, size, max_rows, seed))
     # the order of rows fixes the split candidates, so reruns agree
-    rows = step(rows.select("__features", F.col("label").cast("double").alias("label"), "__url").repartition(4, "__url").sortWithinPartitions("__url"))
-    taken = {int(r["label"]): r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    weight = F.when(F.col("label") == 1, size[1] / taken.get(1, 1)).otherwise(size[0] / taken.get(0, 1))
+    rows = step(rows.select("__features", F.col("label").cast("double").alias("label"), "__url", "__weight").repartition(4, "__url").sortWithinPartitions("__url", "label"))
+    taken = {int(r["label"]): r["weight"] for r in rows.groupBy("label").agg(F.sum("__weight").alias("weight")).collect()}
+    if len(taken) < 2:
+        raise RuntimeError("a class has labelled URLs but none in the sample")
+    weight = F.col("__weight") * F.when(F.col("label") == 1, size[1]["n"] / taken[1]).otherwise(size[0]["n"] / taken[0])
     trees = GBTClassifier(featuresCol="__features", labelCol="label", weightCol="__weight", maxIter=TREES, maxDepth=DEPTH, seed=seed).fit(rows.withColumn("__weight", weight))
     return UrlModel(trees, suffixes)
 
