@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -116,3 +117,47 @@ def test_whole_texts_and_lines(spark):
 def test_known_licences_keep_apart(spark):
     known = license.known_digests(spark).collect()
     assert len({r["digest"] for r in known}) == len(known) and {r["license_id"] for r in known} == {i for i, _ in license.KNOWN}
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2021 Somebody Else
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_complete_licence_files(spark):
+    def wrapped(body, width):
+        return "\n\n".join(x if "Copyright (C)" in x else textwrap.fill(x, width) for x in re.split(r"\n\s*\n", body))
+
+    first, last = {}, {}
+    for i, body in license.complete_texts():
+        first.setdefault(i, body)
+        last[i] = body
+    titled = {i: "Copyright 2020 Somebody\n\n" + body for i, body in first.items()}
+    filled = first["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Somebody")
+    assert filled != first["Apache-2.0"]
+    rows = [("MIT", MIT_FILE), ("Apache-2.0", filled), *titled.items(), *last.items()]
+    rows += [(i, wrapped(body, width)) for i, body in first.items() for width in (40, 60, 72, 80, 100)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, want string, text string")
+    got = Counter((r["doc_id"], r["license_id"]) for r in license.scan(df).where("scope = 'text'").collect())
+    assert got == Counter((k, i) for k, (i, _) in enumerate(rows))
+    changed = [(k, re.sub(r"(?i)without", "with", body)) for k, (i, body) in enumerate(first.items())]
+    assert license.scan(spark.createDataFrame(changed, "doc_id long, text string")).where("scope = 'text'").collect() == []

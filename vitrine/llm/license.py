@@ -8,12 +8,15 @@ the digests of known licence texts by a hash join.
 
 from __future__ import annotations
 
+import itertools
+import json
 import string
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Public licence notices and short licence texts.
+# Public licence notices and short licence texts (complete ones: licenses.json).
 KNOWN: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -69,12 +72,24 @@ def canonical(text: Column) -> Column:
 
 
 def digest(canonical_text: Column) -> Column:
-    return F.sha2(F.regexp_replace(canonical_text, r"\n", " ").cast("binary"), 256)
+    """Digest of a whole canonical text; spellings that a line break parts are taken for one here."""
+    out = F.regexp_replace(canonical_text, r"\bcopyright\n(?:owner|holder)(s?)\b", "copyright holder$1")
+    out = F.regexp_replace(out, r"\b(?:version|ver|v)\n([0-9])", "version $1")
+    return F.sha2(F.regexp_replace(out, r"\n", " ").cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, license_id), one row per distinct canonical text."""
-    rows = spark.createDataFrame(list(known), "license_id string, body string")
+def complete_texts() -> list[tuple[str, str]]:
+    """(license_id, body) of the complete public texts in ``licenses.json``: one
+    for each choice among the alternatives of a text's pieces (with and without
+    title, template lines, appendices)."""
+    texts = json.loads(resources.files(__package__).joinpath("licenses.json").read_text("utf-8"))
+    return [(license_id, "\n".join(p for p in choice if p)) for license_id, pieces in texts for choice in itertools.product(*pieces)]
+
+
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """(digest, license_id), one row per distinct canonical text; of ``KNOWN``
+    and the complete texts if ``known`` is None."""
+    rows = spark.createDataFrame(list(known) if known is not None else [*KNOWN, *complete_texts()], "license_id string, body string")
     return rows.select(digest(canonical(F.col("body"))).alias("digest"), "license_id").dropDuplicates(["digest"])
 
 
@@ -83,7 +98,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     whole document is the licence; ``line``: one of its lines is) and ``n``,
     how often.
 
-    ``known``: (digest, license_id); the built-in notices if None.
+    ``known``: (digest, license_id); the built-in notices and complete texts if None.
     * NULL, empty and blank texts match nothing.
     * Repeated rows, and rows that share an id or have none, add up under it.
     * Extra columns are ignored; an empty table gives an empty result.
