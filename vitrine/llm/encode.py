@@ -35,19 +35,17 @@ SLOT_BITS = 22
 JOINED = 512
 
 
-class Encoder:
-    """Ids of whole texts by one tokenizer file."""
+class PieceCache:
+    """Ids of distinct pieces of text, found by their 64-bit hash.  A subclass
+    gives the ids of new pieces (``_pieces``)."""
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        # a token is written with one character per byte
-        self.token_bytes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.token_bytes[number] = len(token)
+    def __init__(self) -> None:
         self._forget()
 
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ids of each piece) of distinct pieces."""
+        raise NotImplementedError
+
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # of piece 0, 1, 2, ...
         self.ids, self.id_start, self.id_len = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -71,6 +69,53 @@ class Encoder:
     def _slot(h: np.ndarray, way: int) -> np.ndarray:
         return (h >> np.uint64(way * SLOT_BITS) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
 
+    def _learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Encode distinct pieces and remember them; their numbers."""
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        ids, lens = self._pieces(buf[tb.ranges(starts, ends - starts)], offsets)
+        number = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
+        self.id_start = np.concatenate([self.id_start, len(self.ids) + np.cumsum(lens) - lens])
+        self.id_len = np.concatenate([self.id_len, lens])
+        self.ids = np.concatenate([self.ids, ids])
+        self.byte_len = np.concatenate([self.byte_len, ends - starts])
+        self.hashes = np.concatenate([self.hashes, hashes])
+        left = np.arange(len(hashes))
+        for k, slots in enumerate(self.slots):
+            at = self._slot(hashes[left], k)
+            free = slots[at] < 0
+            slots[at[free]] = number[left[free]]
+            left = left[slots[at] != number[left]]
+        return number
+
+    def find_or_learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Number of each span's piece; None if two different pieces share a hash."""
+        h = tb.span_hashes(buf, starts, ends)
+        if len(self.hashes) > CACHE_PIECES:
+            self._forget()
+        piece = self._find(h)
+        missed = np.flatnonzero(piece < 0)
+        if len(missed):
+            distinct, first, back = np.unique(h[missed], return_index=True, return_inverse=True)
+            first = missed[first]
+            piece[missed] = self._learn(buf, starts[first], ends[first], distinct)[back]
+        return piece if np.array_equal(self.byte_len[piece], ends - starts) else None
+
+
+class Encoder(PieceCache):
+    """Ids of whole texts by one tokenizer file; with ``plain`` the strings of
+    special tokens are ordinary text."""
+
+    def __init__(self, path: str, plain: bool = False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
+        # a token is written with one character per byte
+        self.token_bytes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.token_bytes[number] = len(token)
+        super().__init__()
+
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -97,24 +142,6 @@ class Encoder:
         starts[order] = edge[:-1]
         return flat[tb.ranges(starts, counts)], counts
 
-    def _learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Encode distinct pieces and remember them; their numbers."""
-        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        ids, lens = self._pieces(buf[tb.ranges(starts, ends - starts)], offsets)
-        number = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
-        self.id_start = np.concatenate([self.id_start, len(self.ids) + np.cumsum(lens) - lens])
-        self.id_len = np.concatenate([self.id_len, lens])
-        self.ids = np.concatenate([self.ids, ids])
-        self.byte_len = np.concatenate([self.byte_len, ends - starts])
-        self.hashes = np.concatenate([self.hashes, hashes])
-        left = np.arange(len(hashes))
-        for k, slots in enumerate(self.slots):
-            at = self._slot(hashes[left], k)
-            free = slots[at] < 0
-            slots[at[free]] = number[left[free]]
-            left = left[slots[at] != number[left]]
-        return number
-
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, n + 1 offsets) of a large-string array (a slice)."""
         buf, off = tb.raw(col)
@@ -131,19 +158,10 @@ class Encoder:
         if special:
             plain = ~np.isin(owner, special)
             starts, ends, owner = starts[plain], ends[plain], owner[plain]
-        h = tb.span_hashes(buf, starts, ends)
-        size = ends - starts
-        if len(self.hashes) > CACHE_PIECES:
-            self._forget()
-        piece = self._find(h)
-        missed = np.flatnonzero(piece < 0)
-        if len(missed):
-            distinct, first, back = np.unique(h[missed], return_index=True, return_inverse=True)
-            first = missed[first]
-            piece[missed] = self._learn(buf, starts[first], ends[first], distinct)[back]
-        if not np.array_equal(self.byte_len[piece], size):
+        piece = self.find_or_learn(buf, starts, ends)
+        if piece is None:
             # two pieces with one 64-bit hash: encode the slice without the cache
-            special, piece, owner = list(range(n)), piece[:0], owner[:0]
+            special, piece, owner = list(range(n)), np.zeros(0, np.int32), owner[:0]
         lens = self.id_len[piece]
         per_text = np.bincount(owner, weights=lens, minlength=n).astype(np.int64) if len(owner) else np.zeros(n, np.int64)
         extra = self.whole(col.take(pa.array(special, pa.int64())).to_pylist()) if special else []
@@ -162,11 +180,11 @@ class Encoder:
         return flat, offsets
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """This worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain)
+    return _ENCODERS[path, plain]
