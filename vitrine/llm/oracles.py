@@ -77,6 +77,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     OR n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
 FROM s"""
 
+#: Conversations as lists of turns; a node is named by its list.  Turns with
+#: equal numbers are ordered by content, as the given tables hold none.
+OP12 = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+o AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (SELECT conv_id, ts, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(CAST(conv_id AS VARCHAR))), '..'), lambda y: CAST('0x' || y AS BIGINT)),
+      lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), 4294967295), 4294967295) % 6 AS h FROM o, crc),
+r AS (SELECT c.conv_id, list_concat(coalesce(list_slice(b.ts, 1, c.h), []), list_slice(c.ts, c.h + 1, len(c.ts))) AS ts
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, len(ts) AS n, d, list_slice(ts, 1, d) AS pre FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+nodes AS (SELECT pre, d, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM p GROUP BY pre, d),
+up AS (SELECT a.pre, a.d, a.conv_id, a.n_convs, a.ends, b.conv_id AS parent_conv_id, b.pre AS parent_pre
+  FROM nodes a LEFT JOIN nodes b ON b.d = a.d - 1 AND b.pre = list_slice(a.pre, 1, a.d - 1)),
+kids AS (SELECT parent_pre AS pre, count(*) AS n FROM up WHERE d > 0 GROUP BY 1),
+own AS (SELECT u.pre, u.d, (u.n_convs - 1) * coalesce(length(u.pre[len(u.pre)].text), 0) AS saved, CAST(k.n IS NULL AS BIGINT) AS leaf
+  FROM up u LEFT JOIN kids k ON k.pre = u.pre),
+sub AS (SELECT list_slice(pre, 1, a) AS pre, sum(saved) AS saved, sum(leaf) AS leaves FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) GROUP BY 1)
+SELECT u.conv_id, CAST(u.d AS BIGINT) AS depth, u.parent_conv_id, u.n_convs, coalesce(k.n, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(u.ends, '')) AS ends_sha256
+FROM up u JOIN sub s ON s.pre = u.pre LEFT JOIN kids k ON k.pre = u.pre"""
+
 
 def op3() -> str:
     def java_to_re2(pattern: str, to: str) -> tuple[str, str]:

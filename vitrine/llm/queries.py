@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, license, minhash, mixing, oracles, quality, repair, sharding, tokencount, urlfilter, warc
+from vitrine.llm import align, decontaminate, license, minhash, mixing, oracles, pieces, quality, repair, sharding, tokencount, trie, urlfilter, warc
 from vitrine.llm.common import new_folder
 from vitrine.llm.registry import query
 from vitrine.sources.tables import table
@@ -18,6 +18,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    """Place of the SentencePiece model."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query("op1_minhash_near_dedup", oracles.OP1)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
@@ -87,3 +93,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     model = urlfilter.fit(urlfilter.seed_labels(pages))
     return urlfilter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_bpe(), decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op12_conversation_trie", oracles.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = trie.conversation_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    nodes = built.nodes.join(trie.ends_sha256(built.ends), trie.KEY, "left")
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"), byte_bpe(), piece_bpe())
