@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import decontaminate, minhash, mixing, quality, sharding
-from vitrine.llm.common import new_folder, written
+from vitrine.llm.common import new_folder, row_numbers
 from vitrine.session import ship_package
 from vitrine.sources.tables import table
 
@@ -33,56 +33,92 @@ def _stage(fn: Stage) -> Stage:
     return run_stage
 
 
+def _inner(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names of its own, so that no column an operator adds can
+    replace one of the input; and the name of each column there."""
+    names = {c: f"__in{k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
+
+
+def _outer(rows: DataFrame, names: dict[str, str], *more: str) -> DataFrame:
+    """The input's columns under their own names, then ``more``."""
+    return rows.select(*(F.col(n).alias(c) for c, n in names.items()), *more)
+
+
 @_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects; texts that are NULL, empty or
-    have fewer than 20 words go."""
+    """Documents that no quality rule rejects, unchanged.
+
+    * Texts that are NULL, empty or have fewer than 20 words go.
+    * Ids play no part: repeated rows and shared ids stay or go by their text.
+    * Further columns pass through, whatever their names; an empty table stays empty.
+    """
     return quality.cascade(docs, drop=True)
 
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate component.
+    """The first document of each near-duplicate component, unchanged.
+
+    Rows are numbered by doc_id (NULL last), then by the text's hash, and the
+    numbers are what is linked and kept.  So different texts that share a doc_id,
+    or have none, are separate documents; of rows alike in both one stays.
 
-    Of rows that share a doc_id one stays; rows without a doc_id stay unless
-    they equal a document that has one.
+    * NULL, empty and blank texts are linked with nothing and stay.
+    * Further columns pass through, whatever their names; an empty table stays empty.
     """
-    classes = minhash.duplicate_classes(docs, percent=SIMILARITY)
-    kept = classes.where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id is null").withColumn("__digest", F.sha2(F.col("text").cast("binary"), 256))
-    if nameless.isEmpty():
-        return named.select(docs.columns)
-    digests = written(nameless.select("__digest").distinct(), "nameless")
-    copied = named.select(F.sha2(F.col("text").cast("binary"), 256).alias("__digest")).join(digests, "__digest", "left_semi").distinct()
-    nameless = nameless.join(copied, "__digest", "left_anti").dropDuplicates(["__digest"])
-    return named.select(docs.columns).unionByName(nameless.select(docs.columns))
+    rows, names = _inner(docs)
+    doc_id, text = (F.col(names[c]) for c in ("doc_id", "text"))
+    rows = rows.withColumns({"__nameless": doc_id.isNull(), "__hash": F.xxhash64(text)})
+    numbered = row_numbers(rows, ["__nameless", names["doc_id"], "__hash"], "__row", "near-dedup-rows")
+    classes = minhash.duplicate_classes(numbered, "__row", names["text"], percent=SIMILARITY)
+    return _outer(numbered.join(classes.where("kept").select("__row"), "__row", "left_semi"), names)
 
 
 @_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the word spans that benchmark phrases cover; ``n_chars``
-    follows the text.  A text that was nothing but such spans becomes empty."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), clean=True)
-    length = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    if length is not None:
-        found = found.withColumn("n_chars", F.when(F.size("spans") > 0, length).otherwise(F.col("n_chars")))
-    return found.select(docs.columns)
+    follows a changed text.  A text that was nothing but such spans becomes empty.
+
+    * NULL and empty texts, and all texts if the benchmark is empty, stay as they are.
+    * Every row is searched for itself: repeated rows and shared ids stay.
+    * Further columns pass through, whatever their names; an empty table stays empty.
+    """
+    rows, names = _inner(docs)
+    found = decontaminate.find_contamination(rows, table(spark, sf_dir, "benchmark"), text_col=names["text"], clean=True)
+    if "n_chars" in names:
+        length = F.length(names["text"]).cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn(names["n_chars"], F.when(F.size("spans") > 0, length).otherwise(F.col(names["n_chars"])))
+    return _outer(found, names)
 
 
 @_stage
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, zero to three times."""
-    return mixing.repeat(mixing.mix(docs), docs.columns)
+    """Each document as often as the mix takes it, zero to three times.
+
+    * Documents without words (NULL, empty, blank) take nothing and stay once.
+    * NULL is a source of its own; repeated rows and shared ids are separate documents.
+    * Further columns pass through, whatever their names; an empty table stays empty.
+    """
+    rows, names = _inner(docs)
+    mixed = mixing.mix(rows, names["source"], names["text"], names["doc_id"])
+    return _outer(mixing.repeat(mixed, list(names.values())), names)
 
 
 @_stage
 def final_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their shard and slot of the reproducible shuffle.  Rows are
-    numbered by doc_id; copies and repeated ids by what else tells them apart,
-    the text by its hash (range bounds are sampled to the driver)."""
-    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
-    return sharding.shard(rows, SHARDS, order=["doc_id", "source", "n_chars", "__text_hash"]).drop("__text_hash")
+    """All rows with their ``shard`` and ``slot`` of the reproducible shuffle.
+    Rows are numbered by doc_id; copies and repeated ids by what else tells them
+    apart, the text by its hash (range bounds are sampled to the driver).
+
+    * NULLs come first in that order; rows alike in it take consecutive numbers.
+    * An input column named ``shard`` or ``slot`` comes back as ``input_shard`` or
+      ``input_slot``; other columns pass through; an empty table stays empty.
+    """
+    rows, names = _inner(docs)
+    order = [names[c] for c in ("doc_id", "source", "n_chars") if c in names]
+    placed = sharding.shard(rows.withColumn("__text_hash", F.xxhash64(names["text"])), SHARDS, order=[*order, "__text_hash"])
+    return _outer(placed, {f"input_{c}" if c in ("shard", "slot") else c: n for c, n in names.items()}, "shard", "slot")
 
 
 STAGES: list[tuple[str, Stage]] = [
