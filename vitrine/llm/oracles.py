@@ -74,7 +74,7 @@ s AS (SELECT d.rid, d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 2 * n_words > word_chars OR word_chars > 20 * n_words
-    OR n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
+    OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
 FROM s"""
 
 #: Conversations as lists of turns; a node is named by its list.  Turns with

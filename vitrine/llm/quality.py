@@ -136,12 +136,12 @@ class Rule:
 
 #: Rules every document must pass first.
 BASE = (Rule("too_few_words", "n_words", 1, 20), Rule("repeated_windows", "n_repeat_words", 100, 30, "n_words"))
-#: Production rules: words of two to twenty characters on average, at most one
-#: symbol a word, at most 30 % of the lines repeated.
+#: Production rules: words of two to twenty characters on average, at most 0.1
+#: symbols a word (the usual bound), at most 30 % of the lines repeated.
 RULES = (*BASE,
          Rule("short_words", "n_words", 2, 1, "word_chars"),
          Rule("long_words", "word_chars", 1, 20, "n_words"),
-         Rule("symbols", "n_symbols", 1, 1, "n_words"),
+         Rule("symbols", "n_symbols", 10, 1, "n_words"),
          Rule("repeated_lines", "n_dup_lines", 100, 30, "n_lines"))
 
 
