@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitrine.functions import fixed
+from vitrine.operators import image_arrays as ia
 from vitrine.operators import images as im
 from vitrine.plans import sqlkit as S
 from vitrine.plans.registry import query
@@ -67,6 +68,15 @@ def image_mean_rgb(spark, sf_dir):
     return out.select("image_id", *cols)
 
 
+@query("image_color_one_hot", ops=("IMG06",),
+       sql=S.with_(GRAY_SQL, RGB_SQL, HSV_SQL, f"c AS (SELECT image_id, y, x, {_color_sql()} AS cc FROM hsv_px)")
+       + "SELECT image_id, y, x, " + ", ".join(f"CAST(cc = {k} AS INTEGER) AS is_{name}" for k, name in enumerate(im.COLOR_LABELS)) + " FROM c")
+def image_color_one_hot(spark, sf_dir):
+    px = views.rgb_pixels(spark, sf_dir)
+    c = px.select("image_id", "y", "x", im.color_class(*im.hsv(F.col("r"), F.col("g"), F.col("b"))).alias("cc"))
+    return c.select("image_id", "y", "x", *((F.col("cc") == k).cast("int").alias(f"is_{name}") for k, name in enumerate(im.COLOR_LABELS)))
+
+
 @query("image_histograms", ops=("IMG05",),
        sql=S.with_(GRAY_SQL, RGB_SQL) + "SELECT image_id, channel, CAST(floor(value * 16 / 256.0) AS INTEGER) AS bin, count(*) AS count FROM ("
        + " UNION ALL ".join(f"SELECT image_id, '{c}' AS channel, {c} AS value FROM rgb_px" for c in "rgb")
@@ -75,7 +85,7 @@ def image_histograms(spark, sf_dir):
     return im.channel_histogram(views.rgb_pixels(spark, sf_dir), bins=16)
 
 
-PROP_CATS = [0, 1, 2, 3, 9]
+PROP_CATS = list(ia.UNION_COLORS)
 
 
 @query("image_color_proportions", ops=("IMG06", "IMG07"),
@@ -106,10 +116,10 @@ def image_flatten_minmaxdiff(spark, sf_dir):
     return flat2.join(mm, "image_id")
 
 
-def _crop_sql(threshold: int, padding: int) -> str:
-    a = (f"a AS (SELECT image_id, min(CASE WHEN v <= {threshold} THEN y END) AS r0, max(CASE WHEN v <= {threshold} THEN y END) AS r1, "
-         f"min(CASE WHEN v <= {threshold} THEN x END) AS c0, max(CASE WHEN v <= {threshold} THEN x END) AS c1, "
-         f"count(DISTINCT CASE WHEN v <= {threshold} THEN y END) AS n_rows, count(DISTINCT CASE WHEN v <= {threshold} THEN x END) AS n_cols "
+def _crop_sql(threshold: int, padding: int, sign: str = "<=") -> str:
+    a = (f"a AS (SELECT image_id, min(CASE WHEN v {sign} {threshold} THEN y END) AS r0, max(CASE WHEN v {sign} {threshold} THEN y END) AS r1, "
+         f"min(CASE WHEN v {sign} {threshold} THEN x END) AS c0, max(CASE WHEN v {sign} {threshold} THEN x END) AS c1, "
+         f"count(DISTINCT CASE WHEN v {sign} {threshold} THEN y END) AS n_rows, count(DISTINCT CASE WHEN v {sign} {threshold} THEN x END) AS n_cols "
          "FROM gray_px GROUP BY image_id)")
     b = (f"b AS (SELECT *, least(({SIZE} - greatest(r1 - r0, c1 - c0)) // 2, {padding}) AS pad, "
          f"greatest(r1 - r0, c1 - c0) + 2 * least(({SIZE} - greatest(r1 - r0, c1 - c0)) // 2, {padding}) AS crop FROM a)")
@@ -136,6 +146,18 @@ def image_crop_box(spark, sf_dir):
     return im.crop_box(views.gray_pixels(spark, sf_dir), SIZE, CROP_T, sup=True, keep_proportion=True, padding=CROP_PAD)
 
 
+@query("image_crop_box_black", ops=("IMG09",), sql=_crop_sql(CROP_T, CROP_PAD, ">="))
+def image_crop_box_black(spark, sf_dir):
+    return im.crop_box(views.gray_pixels(spark, sf_dir), SIZE, CROP_T, sup=False, keep_proportion=True, padding=CROP_PAD)
+
+
+@query("image_crop", ops=("IMG09", "UDF04"))
+def image_crop(spark, sf_dir):
+    """Colour images without their white, then their black background, resized
+    to the old size; tested against a plain numpy crop."""
+    return ia.map_images(views.rgb_arrays(spark, sf_dir), SIZE, 3, {"pixels": ia.cropped}, "int")
+
+
 def _edges_sql() -> str:
     vals = ", ".join(f"({dy}, {dx}, {float(im.SOBEL_V[dy][dx])}, {float(im.SOBEL_H[dy][dx])})" for dy in range(3) for dx in range(3))
     return (S.with_(GRAY_SQL, f"k AS (SELECT * FROM (VALUES {vals}) t(dy, dx, wv, wh))",
@@ -151,21 +173,28 @@ def image_directional_edges(spark, sf_dir):
     return e.select("image_id", "py", "px", *[F.round(c, R).alias(c) for c in ("pool_v", "pool_h", "pool_magnitude")])
 
 
-@query("image_resize", ops=("IMG02", "UDF04"))
+_HALF = ", ".join(f"CAST(round_even((p[{2 * y * SIZE + 2 * x + 1}] + p[{2 * y * SIZE + 2 * x + 2}] + p[{(2 * y + 1) * SIZE + 2 * x + 1}] + p[{(2 * y + 1) * SIZE + 2 * x + 2}]) / 4.0, 0) AS INTEGER)"
+                  for y in range(SIZE // 2) for x in range(SIZE // 2))
+
+
+@query("image_resize", ops=("IMG02", "UDF04"),
+       sql=S.with_(GRAY_SQL, "fl AS (SELECT image_id, list(v ORDER BY y * 8 + x) AS p FROM gray_px GROUP BY image_id)") + f"SELECT image_id, [{_HALF}] AS pixels FROM fl")
 def image_resize(spark, sf_dir):
-    """Bilinear 8x8 -> 4x4 per image (numpy per image group); property-tested."""
-    return im.resize(views.gray_pixels(spark, sf_dir), SIZE, 4)
+    """Bilinear 8x8 -> 4x4, a batch of images at a time."""
+    return ia.map_images(views.gray_arrays(spark, sf_dir), SIZE, 1, {"pixels": lambda x: ia.resize(x, SIZE // 2)}, "int")
 
 
 @query("image_bovw", ops=("IMG12",))
 def image_bovw(spark, sf_dir):
-    return im.bovw_histograms(views.descriptors(spark, sf_dir), k=8)
+    """100 visual words; every colour image, with descriptors or without."""
+    return ia.word_histograms(views.descriptors(spark, sf_dir), views.rgb_arrays(spark, sf_dir), k=100)
 
 
-@query("image_pca", ops=("IMG15",))
+@query("image_pca", ops=("IMG11", "IMG15"))
 def image_pca(spark, sf_dir):
-    flat = im.flatten(views.gray_pixels(spark, sf_dir), SIZE)
-    return im.pca_project(flat, 8)
+    """150 principal axes of the HOG descriptors (1,764 numbers) of the images at 16 x 16."""
+    hogs = ia.map_images(views.gray_arrays(spark, sf_dir), SIZE, 1, {"hog": lambda x: ia.hog(ia.resize(x, 16))})
+    return ia.project(hogs, "hog", ia.fit_pca(hogs, "hog", 150), "components").select("image_id", "components")
 
 
 @query("image_hog", ops=("IMG11",))
@@ -177,12 +206,20 @@ def image_hog(spark, sf_dir):
 
 @query("image_corners", ops=("IMG10", "UDF04"))
 def image_corners(spark, sf_dir):
-    return im.harris_count(views.gray_pixels(spark, sf_dir), SIZE)
+    counted = ia.map_images(views.gray_arrays(spark, sf_dir), SIZE, 1, {"n": ia.corners}, "int")
+    return counted.select("image_id", F.get("n", F.lit(0)).cast("long").alias("n_corners"))
 
 
 @query("image_lda", ops=("IMG16",))
 def image_lda(spark, sf_dir):
-    from vitrine.sources.tables import table
-    flat = im.flatten(views.gray_pixels(spark, sf_dir), SIZE)
-    lab = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), "label")
-    return im.lda_projection(flat.join(lab, "image_id"), "label", 5)
+    """Up to 26 discriminant axes (one less than there are labels) of the colour
+    images at 16 x 16, flattened and standardised."""
+    flat = (ia.map_images(views.rgb_arrays(spark, sf_dir), SIZE, 3, {"flat": lambda x: ia.resize(x, 16)})
+            .join(views.rgb_arrays(spark, sf_dir).select("image_id", "label"), "image_id"))
+    return ia.project(flat, "flat", ia.fit_discriminants(flat, "flat", "label", 26), "components").select("image_id", "label", "components")
+
+
+@query("image_feature_union", ops=("IMG17", "IMG02", "IMG05", "IMG06", "IMG07", "IMG08", "IMG09", "IMG10", "IMG11", "IMG12", "IMG15", "IMG16"))
+def image_feature_union(spark, sf_dir):
+    """All image features, standardised, one array per image."""
+    return ia.feature_union(views.rgb_arrays(spark, sf_dir), views.descriptors(spark, sf_dir), SIZE)

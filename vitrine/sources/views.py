@@ -168,9 +168,8 @@ def gray_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image_id, y, x, v): 8x8 gray image per embedding row."""
     emb = table(spark, sf_dir, "embeddings")
     px = emb.select(F.col("vec_id").alias("image_id"), F.posexplode("embedding").alias("pos", "f"))
-    v = F.least(F.greatest(F.floor((F.col("f").cast("double") + 1) * 127.5), F.lit(0)), F.lit(255)).cast("int")
     return px.select("image_id", (F.col("pos") / 8).cast("int").alias("y"),
-                     (F.col("pos") % 8).alias("x"), v.alias("v"))
+                     (F.col("pos") % 8).alias("x"), _byte(F.col("f")).alias("v"))
 
 
 def rgb_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +181,29 @@ def rgb_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.groupBy("image_id", "y", "x").agg(plane(0).alias("r"), plane(1).alias("g"), plane(2).alias("b"))
 
 
+def gray_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image_id, pixels): the gray images as row-major arrays, one row each."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(F.col("vec_id").alias("image_id"), F.transform("embedding", _byte).alias("pixels"))
+
+
+def _byte(f):
+    return F.least(F.greatest(F.floor((f.cast("double") + 1) * 127.5), F.lit(0)), F.lit(255)).cast("int")
+
+
+def rgb_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image_id, pixels, label): the colour images as row-major arrays, channels
+    last; a plane that the last image lacks is 0; the label of the first plane."""
+    emb = table(spark, sf_dir, "embeddings").select((F.col("vec_id") / 3).cast("long").alias("image_id"), (F.col("vec_id") % 3).alias("ch"),
+                                                    F.transform("embedding", _byte).alias("v"), "label")
+    plane = lambda ch: F.max(F.when(F.col("ch") == ch, F.col("v")))
+    planes = emb.groupBy("image_id").agg(*(plane(k).alias(f"p{k}") for k in range(3)), F.min_by("label", "ch").alias("label"))
+    value = lambda k, i: F.coalesce(F.get(f"p{k}", i), F.lit(0))
+    pixels = F.transform(F.sequence(F.lit(0), F.lit(191)), lambda i: F.when(i % 3 == 0, value(0, (i / 3).cast("int"))).when(i % 3 == 1, value(1, (i / 3).cast("int")))
+                         .otherwise(value(2, (i / 3).cast("int"))))
+    return planes.select("image_id", pixels.alias("pixels"), "label")
+
+
 def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image_id, desc_id, descriptor ARRAY<DOUBLE>)."""
     emb = table(spark, sf_dir, "embeddings")
