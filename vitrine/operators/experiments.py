@@ -8,6 +8,7 @@ aggregates.
 
 from __future__ import annotations
 
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -29,6 +30,7 @@ class ExperimentConfig:
     """EXP04: one run's parameters."""
     name: str
     group: str = "default"
+    cleaner: str = "rules"               # 'rules' | 'archive' | 'granular' (the last two on the merged text)
     clean: dict = field(default_factory=dict)
     numeric_tokens: str | None = None
     strategy: str = "split"              # 'split' | 'merged' | 'features'
@@ -40,20 +42,50 @@ class ExperimentConfig:
     use_features: bool = False
     model: str = "logreg"
     C: float = 2.0
-    max_iter: int = 30
+    max_iter: int = 100
     max_features_desc: int | None = None
     feature_cols: list | None = None
+    analyzers: tuple = ("word",)         # 'word' | 'char' | ('word', 'char'): blocks of each text
+    char_range: tuple = (3, 5)
+    max_features_char: int | None = None
+    max_features_char_desc: int | None = None
+    binary: bool = False
+    balanced: bool = False
+    fit_on: tuple = ("train",)           # SET02: ("train", "val") for the final fit
+    score_on: str = "val"
+    params: dict = field(default_factory=dict)  # further model parameters
 
     def record(self) -> dict:
         return {"experiment": self.name, "group": self.group, "strategy": self.strategy, "vectorizer": self.vectorizer,
                 "max_features": self.max_features, "ngram_range": str(tuple(self.ngram_range)),
-                "title_weight": self.title_weight, "use_features": self.use_features, "model": self.model, "C": self.C}
+                "title_weight": self.title_weight, "desc_weight": self.desc_weight, "use_features": self.use_features, "model": self.model, "C": self.C}
 
 
 FEATURE_COLS = ["designation_len_char", "designation_len_words", "description_len_char", "description_len_words",
                 "designation_num_digits", "description_num_digits"]
 
 
+#: Feature blocks of the add-on comparison (EXP09).
+KEYWORDS = tf.keyword_feature_names()
+UNITS = ["nb_digits_text", "contains_numerotation", "has_any_unit"]
+LENGTHS = ["designation_len_char", "designation_len_words", "description_len_char", "description_len_words"]
+
+
+def feature_columns(data: DataFrame, names: list[str]) -> DataFrame:
+    """(row_id, split, names): text features of a column (TXF03), or keyword
+    families and unit flags of the merged lower-cased text (TXF05-06)."""
+    merged = data.select("*", F.lower(F.concat_ws(" ", "designation", "description")).alias("__merged"))
+    by_name = dict(zip([*KEYWORDS, *UNITS], [*tf.keyword_columns(F.col("__merged")), *tf.unit_columns(F.col("__merged"))], strict=True))
+    return merged.select("row_id", "split", *(by_name[n] if n in by_name else tf.feature_column(n) for n in names))
+
+
+def three_way(lst: DataFrame, seed: int = 42, test_size: float = 0.15, val_size: float = 0.15) -> DataFrame:
+    """Listings with label and a stratified ``split`` into train, val and test."""
+    data = with_labels(lst, seed, test_size).withColumn("__test", F.col("split") == "val").drop("split")
+    rest = sp.stratified_split(data.where(~F.col("__test")), "row_id", "prdtypecode", val_size / (1 - test_size), seed + 1, test_name="val", train_name="train")
+    return rest.unionByName(data.where("__test").withColumn("split", F.lit("test"))).drop("__test")
+
+
 def with_labels(lst: DataFrame, seed: int = 42, test_size: float = 0.2) -> DataFrame:
     """Listings with the canonical class index as ``label`` and a stratified split."""
     idx = F.array_position(F.array(*[F.lit(c) for c in fixed.CANONICAL_CLASSES]), F.col("prdtypecode")) - 1
@@ -62,7 +94,13 @@ def with_labels(lst: DataFrame, seed: int = 42, test_size: float = 0.2) -> DataF
 
 
 def cleaned_texts(data: DataFrame, cfg: ExperimentConfig) -> DataFrame:
-    """(row_id, split, title_clean, desc_clean) by the configuration's rules."""
+    """(row_id, split, title_clean, desc_clean) by the configuration's rules, or
+    (row_id, split, text_clean) by a cleaner of whole listings."""
+    if cfg.cleaner != "rules":
+        from vitrine.functions.text import archive_global_cleaner, granular_cleaner
+        merged = F.concat_ws(" ", F.coalesce("designation", F.lit("")), F.coalesce("description", F.lit("")))
+        apply = {"archive": archive_global_cleaner, "granular": granular_cleaner}[cfg.cleaner]
+        return data.select("row_id", "split", apply(F.trim(merged), **cfg.clean).alias("text_clean"))
     out = data.select("row_id", "split", tx.clean_text(F.col("designation"), **cfg.clean).alias("title_clean"),
                       tx.clean_text(F.col("description"), **cfg.clean).alias("desc_clean"))
     if cfg.numeric_tokens:
@@ -79,49 +117,106 @@ class FeatureTable:
     size: int
     offsets: dict[str, int]
     terms: DataFrame | None
-    cached: list[DataFrame]
 
     def vectors(self, base: DataFrame) -> DataFrame:
         """Every row of ``base`` with ``features``, empty where it has no entry."""
         return V.to_vectors(self.long, "row_id", self.size, base=base)
 
+
+class BlockCache:
+    """What the configurations of a sweep share: cleaned texts by their rules,
+    term counts by (rules, text, analyser, n-grams), vocabularies and weighed
+    blocks by their vectoriser.  Each is computed once, whichever configuration
+    comes first; block weights are multiplied in afterwards."""
+
+    def __init__(self, data: DataFrame):
+        self.data = data
+        self._kept: dict[tuple, object] = {}
+        self._locks: dict[tuple, threading.Lock] = {}
+        self._lock = threading.Lock()
+
+    def once(self, key: tuple, make):
+        with self._lock:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            if key not in self._kept:
+                self._kept[key] = make()
+            return self._kept[key]
+
+    def keys(self, kind: str) -> list[tuple]:
+        """Keys of what has been computed: 'text', 'counts', 'vocabulary' or 'block'."""
+        return [k for k in self._kept if k[0] == kind]
+
     def release(self) -> None:
-        for df in self.cached:
-            df.unpersist()
-
-
-def feature_table(data: DataFrame, cfg: ExperimentConfig) -> FeatureTable:
-    """The configured blocks, fitted on the train rows only.  Each text column
-    is cleaned and analysed once, into cached term counts that serve both the
-    vocabulary and the weights."""
-    cleaned = cleaned_texts(data, cfg).cache()
-    cached, blocks, offsets, names = [cleaned], [], {}, []
-    vcfg = V.build_vectorizer(cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features, min_df=2, max_df=0.95)
-    if cfg.strategy == "merged":
-        parts = [("text", F.concat_ws(" ", F.col("title_clean"), F.col("desc_clean")), 1.0, vcfg)]
-    elif cfg.strategy == "features":
-        parts = []
-    else:
-        dcfg = vcfg if cfg.max_features_desc is None else V.build_vectorizer(
-            cfg.vectorizer, ngram_range=cfg.ngram_range, max_features=cfg.max_features_desc, min_df=2, max_df=0.95)
-        parts = [("title", F.col("title_clean"), cfg.title_weight, vcfg), ("description", F.col("desc_clean"), cfg.desc_weight, dcfg)]
-    n_train = cleaned.filter(F.col("split") == "train").count()
+        for x in self._kept.values():
+            for df in x if isinstance(x, tuple) else (x,):
+                if isinstance(df, DataFrame):
+                    df.unpersist()
+        self._kept.clear()
+
+    def texts(self, cfg: ExperimentConfig) -> tuple[tuple, DataFrame]:
+        key = ("text", cfg.cleaner, tuple(sorted(cfg.clean.items())), cfg.numeric_tokens)
+        return key, self.once(key, lambda: cleaned_texts(self.data, cfg).cache())
+
+    def n_rows(self, splits: tuple) -> int:
+        return self.once(("rows", splits), lambda: self.data.filter(F.col("split").isin(*splits)).count())
+
+    def block(self, cfg: ExperimentConfig, part: str, vec: V.VectorizerConfig) -> tuple[DataFrame, DataFrame, int]:
+        """(weighed rows, vocabulary, its size) of one text under one vectoriser."""
+        text_key, texts = self.texts(cfg)
+        merged = F.concat_ws(" ", F.col("title_clean"), F.col("desc_clean")) if cfg.cleaner == "rules" else F.col("text_clean")
+        text = merged if part == "text" else F.col({"title": "title_clean", "description": "desc_clean"}[part])
+        counts_key = ("counts", text_key, part, vec.analyzer, tuple(vec.ngram_range), vec.lowercase)
+        counts = self.once(counts_key, lambda: V.term_counts(V.analyze(texts, "row_id", text, vec), "row_id").cache())
+
+        def vocabulary() -> tuple[DataFrame, int]:
+            train = counts.join(texts.filter(F.col("split").isin(*cfg.fit_on)).select("row_id"), "row_id", "left_semi")
+            vocab = V.fit_vocabulary(train, vec, self.n_rows(cfg.fit_on)).cache()
+            return vocab, vocab.count()
+        vocab_key = ("vocabulary", counts_key, cfg.fit_on, vec.min_df, vec.max_df, vec.max_features)
+        vocab, size = self.once(vocab_key, vocabulary)
+        block_key = ("block", vocab_key, vec.kind, vec.sublinear_tf, vec.binary, vec.norm)
+        return self.once(block_key, lambda: V.weigh(V.join_vocabulary(counts, vocab, vec), "row_id", vec).cache()), vocab, size
+
+
+def text_blocks(cfg: ExperimentConfig) -> list[tuple[str, str, float, V.VectorizerConfig]]:
+    """(block, text, weight, vectoriser) of a configuration's text blocks."""
+    if cfg.strategy == "features":
+        return []
+    sizes = {("word", "title"): cfg.max_features, ("word", "description"): cfg.max_features_desc or cfg.max_features, ("word", "text"): cfg.max_features,
+             ("char", "title"): cfg.max_features_char or cfg.max_features, ("char", "text"): cfg.max_features_char or cfg.max_features,
+             ("char", "description"): cfg.max_features_char_desc or cfg.max_features_char or cfg.max_features}
+    texts = [("text", 1.0)] if cfg.strategy == "merged" else [("title", cfg.title_weight), ("description", cfg.desc_weight)]
+    out = []
+    for part, weight in texts:
+        for analyzer in cfg.analyzers:
+            char = analyzer == "char"
+            extra = {"binary": True, "sublinear_tf": False} if cfg.binary else {}
+            vec = V.build_vectorizer(cfg.vectorizer, analyzer=analyzer, ngram_range=cfg.char_range if char else cfg.ngram_range, max_features=sizes[analyzer, part],
+                                     min_df=2, max_df=1.0 if char else 0.95, **extra)
+            out.append((part if len(cfg.analyzers) == 1 else f"{part}_{analyzer}", part, weight, vec))
+    return out
+
+
+def feature_table(data: DataFrame, cfg: ExperimentConfig, cache: BlockCache | None = None) -> FeatureTable:
+    """The configured blocks, fitted on the rows of ``fit_on`` only."""
+    cache = cache or BlockCache(data)
+    blocks, offsets, names = [], {}, []
     offset = 0
-    for block, text, weight, config in parts:
-        counts = V.term_counts(V.analyze(cleaned, "row_id", text, config), "row_id").cache()
-        train = counts.join(cleaned.filter(F.col("split") == "train").select("row_id"), "row_id", "left_semi")
-        vocab = V.fit_vocabulary(train, config, n_train).cache()
-        cached += [counts, vocab]
-        weighed = V.weigh(V.join_vocabulary(counts, vocab, config), "row_id", config)
+    for block, part, weight, vec in text_blocks(cfg):
+        weighed, vocab, size = cache.block(cfg, part, vec)
         blocks.append(V.offset_block(weighed, "row_id", offset, weight, block))
         names.append(vocab.select(F.lit(block).alias("block"), (F.col("idx") + offset).alias("idx"), "term"))
         offsets[block] = offset
-        offset += vocab.count()
+        offset += size
     if cfg.use_features or cfg.strategy == "features":
         fcols = list(cfg.feature_cols or FEATURE_COLS)
-        feats = data.select("row_id", "split", *[tf.feature_column(n) for n in fcols])
-        stats = tf.fit_standard_scaler(feats.filter(F.col("split") == "train"), fcols)
-        scaled = feats.select("row_id", *tf.apply_standard_scaler(stats))
+
+        def scaled_features() -> DataFrame:
+            feats = feature_columns(data, fcols)
+            stats = tf.fit_standard_scaler(feats.filter(F.col("split").isin(*cfg.fit_on)), fcols)
+            return feats.select("row_id", *tf.apply_standard_scaler(stats)).cache()
+        scaled = cache.once(("features", tuple(fcols), cfg.fit_on), scaled_features)
         blocks.append(V.dense_block(scaled, "row_id", fcols, offset))
         offsets["features"] = offset
         rows = F.explode(F.array(*[F.struct(F.lit("features").alias("block"), F.lit(offset + i).alias("idx"), F.lit(c).alias("term")) for i, c in enumerate(fcols)]))
@@ -132,33 +227,39 @@ def feature_table(data: DataFrame, cfg: ExperimentConfig) -> FeatureTable:
         long = long.unionByName(b)
     for n in names[1:]:
         terms = terms.unionByName(n)
-    return FeatureTable(long, max(offset, 1), offsets, terms, cached)
+    return FeatureTable(long, max(offset, 1), offsets, terms)
 
 
-def run_experiment(data: DataFrame, cfg: ExperimentConfig, n_classes: int) -> dict:
+def run_experiment(data: DataFrame, cfg: ExperimentConfig, n_classes: int, cache: BlockCache | None = None) -> dict:
     """EXP04: one pipeline run -> a result row (metrics + timings + config)."""
-    table = feature_table(data, cfg)
+    own = cache is None
+    cache = cache or BlockCache(data)
+    if cfg.model == "nb" and (cfg.use_features or cfg.strategy == "features"):
+        raise ValueError("complement naive Bayes takes counts or TF-IDF only: scaled features have negative values")
+    table = feature_table(data, cfg, cache)
     # the fit makes one pass per iteration: spread the vectors over the
     # cluster's cores (not over spark.sql.shuffle.partitions tiny tasks)
     par = data.sparkSession.sparkContext.defaultParallelism
     full = table.vectors(data.select("row_id", "label", "split")).repartition(par).cache()
     full.count()
-    train, val = full.filter(F.col("split") == "train"), full.filter(F.col("split") == "val")
-    res = mdl.train_and_evaluate(cfg.model, train, val, n_classes, C=cfg.C, max_iter=cfg.max_iter)
+    train, val = full.filter(F.col("split").isin(*cfg.fit_on)), full.filter(F.col("split") == cfg.score_on)
+    res = mdl.train_and_evaluate(cfg.model, train, val, n_classes, C=cfg.C, max_iter=cfg.max_iter, balanced=cfg.balanced, **cfg.params)
     m = ev.metrics(ev.confusion(res["predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()
     mt = ev.metrics(ev.confusion(res["train_predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()  # EVA07
     full.unpersist()
     res["predictions"].unpersist()
-    table.release()
+    if own:
+        cache.release()
     return {**cfg.record(), "f1_weighted": float(m["f1_weighted"]), "accuracy": float(m["accuracy"]),
             "f1_macro": float(m["f1_macro"]), "f1_train": float(mt["f1_weighted"]), "fit_s": res["fit_s"],
-            "predict_s": res["predict_s"], "n_features": table.size}
+            "predict_s": res["predict_s"], "n_features": table.size, "iterations": res["did"].get("iterations"),
+            "passes": res["did"].get("passes"), "residual": res["did"].get("residual")}
 
 
 RESULT_SCHEMA = ("experiment STRING, `group` STRING, strategy STRING, vectorizer STRING, max_features INT, "
-                 "ngram_range STRING, title_weight DOUBLE, use_features BOOLEAN, model STRING, C DOUBLE, "
+                 "ngram_range STRING, title_weight DOUBLE, desc_weight DOUBLE, use_features BOOLEAN, model STRING, C DOUBLE, "
                  "f1_weighted DOUBLE, accuracy DOUBLE, f1_macro DOUBLE, f1_train DOUBLE, fit_s DOUBLE, predict_s DOUBLE, "
-                 "n_features INT")
+                 "n_features INT, iterations INT, passes INT, residual DOUBLE")
 
 
 #: Configurations that run at a time: a small fit leaves most cores idle.
@@ -170,9 +271,16 @@ def run_all(spark, data: DataFrame, configs: list[ExperimentConfig], n_classes:
     at a time; result rows in the configurations' order."""
     data = data.cache()
     data.count()
+    cache = BlockCache(data)
     with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
-        rows = list(pool.map(lambda c: run_experiment(data, c, n_classes), configs))
+        rows = list(pool.map(lambda c: run_experiment(data, c, n_classes, cache), configs))
+    cache.release()
     data.unpersist()
+    return result_rows(spark, rows)
+
+
+def result_rows(spark, rows: list[dict]) -> DataFrame:
+    """One row per configuration."""
     cols = [f.split()[0].strip("`") for f in RESULT_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], RESULT_SCHEMA)
 
@@ -197,3 +305,60 @@ def cleaning_configs() -> list[ExperimentConfig]:
     combined = [ExperimentConfig(n, "combined", clean=dict.fromkeys(rules, True), **common) for n, rules in COMBINED.items()]
     numeric = [ExperimentConfig(f"numeric_tokens_{m}", "numeric", clean={"lowercase": True}, numeric_tokens=m, **common) for m in ("light", "full")]
     return [ExperimentConfig("baseline_raw", "baseline", **common), *single, *combined, *numeric]
+
+
+def svm_path_experiment(spark, data: DataFrame, cfg: ExperimentConfig, cs: list[float], n_classes: int = 27) -> DataFrame:
+    """EXP08: one row per C of a linear SVM on one set of vectors; every fit
+    starts at the one of the next smaller C.  ``passes`` counts the passes over
+    the data of this C alone."""
+    cache = BlockCache(data)
+    table = feature_table(data, cfg, cache)
+    par = spark.sparkContext.defaultParallelism
+    full = table.vectors(data.select("row_id", "label", "split")).repartition(par).cache()
+    full.count()
+    train, val = full.filter(F.col("split").isin(*cfg.fit_on)), full.filter(F.col("split") == cfg.score_on)
+    rows, last = [], None
+    for c in sorted(cs):
+        res = mdl.train_and_evaluate("svm", train, val, n_classes, C=c, start=last, **cfg.params)
+        last = res["did"]["model"]
+        m, mt = (ev.metrics(ev.confusion(res[k].withColumn("g", F.lit(1)), ["g"]), ["g"]).first() for k in ("predictions", "train_predictions"))
+        res["predictions"].unpersist()
+        rows.append({**cfg.record(), "experiment": f"C_{c}", "model": "svm", "C": float(c), "f1_weighted": float(m["f1_weighted"]), "accuracy": float(m["accuracy"]),
+                     "f1_macro": float(m["f1_macro"]), "f1_train": float(mt["f1_weighted"]), "fit_s": res["fit_s"], "predict_s": res["predict_s"],
+                     "n_features": table.size, "iterations": last.iterations, "passes": last.passes, "residual": last.residual})
+    full.unpersist()
+    cache.release()
+    return result_rows(spark, rows)
+
+
+def against(results: DataFrame, name: str, score: str = "f1_weighted") -> DataFrame:
+    """WIN03: ``delta``, each row's score less that of experiment ``name``."""
+    base = results.filter(F.col("experiment") == name).first()[score]
+    return results.withColumn("delta", F.col(score) - F.lit(base))
+
+
+#: Six cleaning versions (EXP03): each adds to the one before, the last two both to the fourth.
+_VERSION_RULES = ({}, {"use_basic_cleaning", "lowercase_"}, {"normalize_x_dimensions", "normalize_units", "normalize_durations", "normalize_age_ranges"},
+                  {"remove_boilerplate_"})
+_VERSIONS = ("v0_no_cleaning", "v1_basic", "v2_structural", "v3_boilerplate", "v4_no_digits", "v5_no_letters")
+_ALL_ARCHIVE = ("use_basic_cleaning", "normalize_x_dimensions", "normalize_units", "normalize_durations", "normalize_age_ranges", "tag_year_numbers",
+                "remove_boilerplate_", "remove_nltk_stops", "remove_custom_stops", "remove_single_digit", "remove_single_letter", "lowercase_")
+#: (step, experiment, compared with) of the versions and of the ablation.
+VERSION_STEPS = [("v0 -> v1", _VERSIONS[1], _VERSIONS[0]), ("v1 -> v2", _VERSIONS[2], _VERSIONS[1]), ("v2 -> v3", _VERSIONS[3], _VERSIONS[2]),
+                 ("v3 -> v4", _VERSIONS[4], _VERSIONS[3]), ("v3 -> v5", _VERSIONS[5], _VERSIONS[3])]
+ABLATION = {"v1_keep_case": {}, "test_keep_html": {"keep_html_tags": True}, "test_keep_punct": {"keep_punctuation": True}, "test_skip_unescape": {"skip_unescape": True}}
+
+
+def version_configs() -> list[ExperimentConfig]:
+    """EXP03: six cleaning versions, the four-way ablation, the three champions;
+    merged text, TF-IDF 10k (1, 2), C = 2."""
+    common = {"strategy": "merged", "max_features": 10_000, "ngram_range": (1, 2), "C": 2.0}
+    versions, on = [], set()
+    for k, name in enumerate(_VERSIONS):
+        on = on | set(_VERSION_RULES[k]) if k < 4 else on
+        extra = {"v4_no_digits": {"remove_single_digit"}, "v5_no_letters": {"remove_single_letter"}}.get(name, set())
+        versions.append(ExperimentConfig(name, "version", cleaner="archive", clean={f: f in on | extra for f in _ALL_ARCHIVE}, **common))
+    ablation = [ExperimentConfig(n, "ablation", cleaner="granular", clean=flags, **common) for n, flags in ABLATION.items()]
+    greedy = (*_ENCODING, "remove_html_tags", "lowercase", "merge_dimensions", "merge_units", "remove_stopwords")
+    champions = {"optimized_traditional": COMBINED["traditional_cleaning"], "champion_candidate": greedy, "deep_clean_structure": (*greedy, "remove_punctuation")}
+    return [*versions, *ablation, *(ExperimentConfig(n, "champion", clean=dict.fromkeys(rules, True), **common) for n, rules in champions.items())]

@@ -1,29 +1,23 @@
-"""Classifiers on Spark ML (MDL03-08, MDL10-11) and the feature assembly
-they consume (VEC12, TXF11).
+"""Classifiers (MDL03-08, MDL10-11) on one sparse vector per listing; the label
+is the canonical class index.
 
-Feature blocks come from the long table of ``vectorize`` and are assembled
-into one sparse vector per listing; the label is the canonical class index.
+Logistic regression, forests, trees and naive Bayes are Spark ML's; linear SVM
+and ridge come from ``linear``, boosted trees from ``boosting``.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Binary models of a one-vs-rest fit that run at a time.
-OVR_PARALLELISM = 4
-#: Widest matrix that the ridge classifier solves on the driver (its square in doubles).
-RIDGE_FEATURES = 4096
+from vitrine.operators import boosting, linear
 
 MODELS = {
     "logreg": "Multinomial logistic regression (L2, C)",
-    "svm": "Linear SVM, one-vs-rest",
-    "gbt": "Gradient-boosted trees, one-vs-rest",
+    "svm": "Linear SVM, one-vs-rest (squared hinge, C)",
+    "gbt": "Gradient-boosted trees (softmax, one tree per class and round)",
     "rf": "Random forest",
     "dt": "Decision tree",
     "nb": "Complement naive Bayes",
@@ -42,21 +36,20 @@ def get_model_info(name: str) -> str:
     return MODELS[name]
 
 
+#: Models that are no Spark ML estimator.
+OWN = ("svm", "ridge", "gbt")
+
+
 def build_model(name: str, n_train: int, C: float = 1.0, balanced: bool = False, max_iter: int = 100, **kw):
-    """MDL03-08: an unfitted Spark ML estimator reading ``features`` / ``label``."""
-    from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                           NaiveBayes, OneVsRest, RandomForestClassifier)
+    """MDL03, MDL06-07: an unfitted Spark ML estimator reading ``features`` / ``label``
+    (and ``weight`` if balanced); the models in ``OWN`` have fit functions instead."""
+    from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
     weight = {"weightCol": "weight"} if balanced else {}
     if name == "logreg":
         # scikit: C * sum(loss) + ||w||^2 / 2  ==  Spark: mean(loss) + regParam * ||w||^2 / 2
         # tol = scikit's default (1e-4) for the relative change of the loss
-        return LogisticRegression(family="multinomial", regParam=1.0 / (C * n_train), elasticNetParam=0.0,
+        return LogisticRegression(family="multinomial", regParam=1.0 / (C * n_train), elasticNetParam=0.0, aggregationDepth=3,
                                   standardization=False, maxIter=max_iter, tol=kw.get("tol", 1e-4), **weight)
-    if name == "svm":
-        return OneVsRest(classifier=LinearSVC(regParam=1.0 / (C * n_train), maxIter=max_iter, standardization=False), parallelism=OVR_PARALLELISM)
-    if name == "gbt":
-        return OneVsRest(classifier=GBTClassifier(maxIter=kw.get("n_estimators", 100), maxDepth=kw.get("max_depth", 6),
-                                                  stepSize=kw.get("learning_rate", 0.3)), parallelism=OVR_PARALLELISM)
     if name == "rf":
         return RandomForestClassifier(numTrees=kw.get("n_estimators", 100), maxDepth=kw.get("max_depth", 10),
                                       minInstancesPerNode=kw.get("min_samples_leaf", 20), seed=42, **weight)
@@ -64,52 +57,24 @@ def build_model(name: str, n_train: int, C: float = 1.0, balanced: bool = False,
         return DecisionTreeClassifier(maxDepth=kw.get("max_depth", 10), minInstancesPerNode=kw.get("min_samples_leaf", 20),
                                       **weight)
     if name == "nb":
-        return NaiveBayes(modelType="complement", smoothing=kw.get("alpha", 1.0))
-    if name == "ridge":
-        return None  # fitted by fit_ridge
+        return NaiveBayes(modelType="complement", smoothing=kw.get("alpha", 1.0), **weight)
+    if name in OWN:
+        return None
     raise ValueError(f"unknown model {name!r}; available: {list(MODELS)}")
 
 
-def fit_ridge(train: DataFrame, n_classes: int, alpha: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """MDL08: least squares on +/-1 targets for all classes together.
-
-    One pass sums ``[X 1 Y]' [X 1 Y]`` per row block (each task's block product,
-    then a vector sum per matrix row); the centred normal equations are solved
-    once.  Returns (features x classes weights, intercepts).
-    """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-    d = len(train.first()["features"])
-    if d > RIDGE_FEATURES:
-        raise ValueError(f"{d} features: the ridge classifier's matrix is limited to {RIDGE_FEATURES}")
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for batch in batches:
-            x = np.stack(batch["x"].to_numpy())
-            y = np.where(batch["label"].to_numpy()[:, None] == np.arange(n_classes), 1.0, -1.0)
-            z = np.hstack([x, np.ones((len(x), 1)), y])
-            total = z[:, :d + 1].T @ z if total is None else total + z[:, :d + 1].T @ z
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(d + 1), "r": list(total)})
-
-    parts = train.select(vector_to_array("features").alias("x"), "label").mapInPandas(products, "i int, r array<double>")
-    rows = parts.groupBy("i").agg(Summarizer.sum(array_to_vector("r")).alias("r")).collect()  # (d + 1) x (d + 1 + classes) numbers
-    m = np.array([r["r"].toArray() for r in sorted(rows, key=lambda r: r["i"])])
-    n, mean_x, mean_y = m[d, d], m[d, :d] / m[d, d], m[d, d + 1:] / m[d, d]
-    weights = np.linalg.solve(m[:d, :d] - n * np.outer(mean_x, mean_x) + alpha * np.eye(d), m[:d, d + 1:] - n * np.outer(mean_x, mean_y))
-    return weights, mean_y - mean_x @ weights
-
-
-def predict_ridge(model: tuple[np.ndarray, np.ndarray], df: DataFrame) -> DataFrame:
-    """Adds ``prediction``: the class with the largest score."""
-    from pyspark.ml.functions import vector_to_array
-    weights, intercepts = model
-
-    @F.pandas_udf("double")
-    def best(x: pd.Series) -> pd.Series:
-        return pd.Series(np.argmax(np.stack(x.to_numpy()) @ weights + intercepts, axis=1).astype(float)) if len(x) else pd.Series([], dtype=float)
-    return df.withColumn("prediction", best(vector_to_array("features")))
+def fit_own(name: str, train: DataFrame, n_classes: int, C: float = 1.0, class_weights: list[float] | None = None, **kw):
+    """(predict function, what the fit did) of a model in ``OWN``."""
+    if name == "gbt":
+        model = boosting.fit(train, n_classes, n_rounds=kw.get("n_estimators", 100), max_depth=kw.get("max_depth", 6), rate=kw.get("learning_rate", 0.3))
+        return (lambda df: boosting.predict(model, df)), {"iterations": len(model.rounds), "passes": model.jobs}
+    blocks = linear.row_blocks(train, n_classes)
+    if name == "ridge":
+        model = linear.fit_ridge(blocks, kw.get("alpha", 1.0), tol=kw.get("tol", 1e-4))  # scikit's tolerance
+    else:
+        model = linear.fit_svm(blocks, C, start=kw.get("start"), tol=kw.get("tol", 1e-2), class_weights=class_weights)
+    blocks.release()
+    return (lambda df: linear.predict(model, df)), {"iterations": model.iterations, "passes": model.passes, "residual": model.residual, "model": model}
 
 
 def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, n_classes: int, **params) -> dict:
@@ -119,12 +84,19 @@ def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, n_classes: i
     present, n = sorted(r["label"] for r in counts), sum(r["n"] for r in counts)
     names = F.array(*[F.lit(float(c)) for c in present])
     dense = train.withColumn("label", (F.array_position(names, F.col("label")) - 1).cast("double"))
+    balanced = None
+    if params.get("balanced"):
+        by_class = {r["label"]: n / (len(counts) * r["n"]) for r in counts}  # MDL09
+        balanced = [by_class[c] for c in present]
+        dense = dense.withColumn("weight", F.element_at(F.array(*map(F.lit, balanced)), F.col("label").cast("int") + 1))
+    did: dict = {}
     t0 = time.time()
-    if name == "ridge":
-        model = fit_ridge(dense, len(present), params.get("alpha", 1.0))
+    if name in OWN:
+        own = {k: v for k, v in params.items() if k not in ("balanced", "max_iter")}
+        apply, did = fit_own(name, dense, len(present), class_weights=balanced, **own)
         fit_s = time.time() - t0
         t1 = time.time()
-        pred, train_pred = predict_ridge(model, val), predict_ridge(model, train)
+        pred, train_pred = apply(val), apply(train)
     else:
         model = build_model(name, n, **params).fit(dense)
         fit_s = time.time() - t0
@@ -138,4 +110,4 @@ def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, n_classes: i
     pred.count()
     predict_s = time.time() - t1
     return {"model": name, "fit_s": fit_s, "predict_s": predict_s, "predictions": pred,
-            "train_predictions": _sel(train_pred)}
+            "train_predictions": _sel(train_pred), "did": did}

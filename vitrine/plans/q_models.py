@@ -9,7 +9,6 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from vitrine.operators import evaluate as ev
 from vitrine.operators import experiments as X
 from vitrine.operators import models as mdl
 from vitrine.operators.ranking import top_k_per_group
@@ -51,53 +50,124 @@ def cleaning_benchmark_combined(spark, sf_dir):
     return _cleaning(spark, sf_dir, lambda c: c.group in ("combined", "numeric"))
 
 
+@query("cleaning_versions", ops=("EXP03", "WIN04"))
+def cleaning_versions(spark, sf_dir):
+    """Six cleaning versions, the ablation and the champions, each with its step's
+    verdict: the version before, the ablation's and the champions' base."""
+    from vitrine.operators.history import step_comparison
+    res = X.run_all(spark, _data(spark, sf_dir), X.version_configs())
+    steps = [*X.VERSION_STEPS, *((f"ablation: {n}", n, "v1_keep_case") for n in X.ABLATION if n != "v1_keep_case"),
+             *((f"champion: {n}", n, "optimized_traditional") for n in ("champion_candidate", "deep_clean_structure"))]
+    verdicts = step_comparison(res, steps).select("experiment", "step", "reference", "diff", "verdict")
+    return res.join(verdicts, "experiment", "left")
+
+
 @query("hyperparameter_grid", ops=("EXP05", "VEC08"))
 def hyperparameter_grid(spark, sf_dir):
-    cfgs = [X.ExperimentConfig(f"tfidf_{mf}_{ng[0]}{ng[1]}", "grid", max_features=mf, ngram_range=ng, use_features=True,
+    """max_features x n-gram range, for counts and TF-IDF."""
+    cfgs = [X.ExperimentConfig(f"{vec}_{mf}_{ng[0]}{ng[1]}", f"grid_{vec}", vectorizer=vec, max_features=mf, ngram_range=ng, use_features=True,
                                clean={"lowercase": True})
-            for mf in (5_000, 10_000, 20_000) for ng in ((1, 1), (1, 2), (1, 3))]
+            for vec in ("tfidf", "count") for mf in (5_000, 10_000, 20_000) for ng in ((1, 1), (1, 2), (1, 3))]
     return X.run_all(spark, _data(spark, sf_dir), cfgs)
 
 
-@query("strategy_comparison", ops=("EXP06", "EXP14", "VEC09", "VEC10", "VEC11", "TXF09", "TXF11"))
+@query("strategy_comparison", ops=("EXP06", "EXP14", "VEC09", "VEC10", "VEC11", "TXF09"))
 def strategy_comparison(spark, sf_dir):
-    """Text blocks with and without the features, split and merged, and the
-    features alone."""
-    parts = [(st, vec, uf) for st, vec, uf in (("split", "tfidf", False), ("split", "tfidf", True), ("split", "count", False), ("split", "count", True),
-                                               ("merged", "tfidf", False), ("features", "tfidf", False))]
-    cfgs = [X.ExperimentConfig(f"{st}_{vec}_{'feat' if uf else 'nofeat'}", st, strategy=st, vectorizer=vec, use_features=uf,
-                               max_features=10_000, clean={"lowercase": True}) for st, vec, uf in parts]
-    return X.run_all(spark, _data(spark, sf_dir), cfgs)
+    """Five strategies x two models, the merged text beside the split one, and per
+    model the difference split - merged (a tie counts for merged)."""
+    parts = [("features", "tfidf", False), ("split", "count", False), ("split", "tfidf", False), ("split", "count", True), ("split", "tfidf", True), ("merged", "tfidf", False)]
+    cfgs = [X.ExperimentConfig(f"{st}_{vec}_{'feat' if uf else 'nofeat'}_{model}", st, strategy=st, vectorizer=vec, use_features=uf,
+                               max_features=10_000, clean={"lowercase": True}, model=model, C=1.0) for model in ("logreg", "svm") for st, vec, uf in parts]
+    res = X.run_all(spark, _data(spark, sf_dir), cfgs)
+    plain = (F.col("vectorizer") == "tfidf") & ~F.col("use_features")
+    pair = res.where(plain).groupBy("model").agg(*(F.max(F.when(F.col("strategy") == st, F.col("f1_weighted"))).alias(st) for st in ("split", "merged")))
+    diff = F.col("split") - F.col("merged")
+    return res.join(pair.select("model", diff.alias("split_minus_merged"), F.when(diff > 0, "split").otherwise("merged").alias("better")), "model")
 
 
 @query("title_weight_sweep", ops=("EXP07", "TXF10"))
 def title_weight_sweep(spark, sf_dir):
-    cfgs = [X.ExperimentConfig(f"title_x{w}", "weight", title_weight=w, max_features=10_000, clean={"lowercase": True})
-            for w in (1.0, 1.2, 1.4, 1.5, 1.6, 1.8, 2.0)]
-    return X.run_all(spark, _data(spark, sf_dir), cfgs)
+    """Title weights, and the grid of (title, description) weights."""
+    common = {"max_features": 10_000, "clean": {"lowercase": True}}
+    titles = [X.ExperimentConfig(f"title_x{w}", "weight", title_weight=w, **common) for w in (1.0, 1.2, 1.4, 1.5, 1.6, 1.8, 2.0)]
+    pairs = [X.ExperimentConfig(f"title_x{t}_desc_x{d}", "weight_grid", title_weight=t, desc_weight=d, **common)
+             for t, d in ((1.0, 1.0), (2.0, 1.0), (3.0, 1.0), (1.0, 2.0), (1.0, 0.5), (2.0, 0.5))]
+    return X.against(X.run_all(spark, _data(spark, sf_dir), [*titles, *pairs]), "title_x1.0")
+
+
+#: Vectoriser of the classifier comparison: 250,000 words and word pairs of the merged text.
+_WIDE = {"strategy": "merged", "max_features": 250_000, "ngram_range": (1, 2), "clean": {"lowercase": True}, "C": 1.0}
 
 
-@query("classifier_sweep", ops=("EXP08", "EXP09", "MDL06", "MDL07", "MDL11"))
+@query("classifier_sweep", ops=("EXP08", "MDL03", "MDL04", "MDL06", "MDL07", "MDL08", "MDL09", "MDL11", "WIN03"))
 def classifier_sweep(spark, sf_dir):
-    cfgs = [X.ExperimentConfig(f"{m}_C{c}", "classifier", model=m, C=c, clean={"lowercase": True}, max_features=2_000)
-            for m, c in (("logreg", 0.5), ("logreg", 1.0), ("logreg", 2.0), ("nb", 1.0), ("dt", 1.0), ("rf", 1.0))]
-    cfgs.append(X.ExperimentConfig("logreg_features", "features", use_features=True, clean={"lowercase": True}, max_features=2_000))
-    return X.run_all(spark, _data(spark, sf_dir), cfgs)
+    """All linear and tree models on the same wide vectors, each against the SVM."""
+    cfgs = [X.ExperimentConfig(m, "classifier", model=m, **_WIDE) for m in ("svm", "ridge", "nb", "logreg", "dt", "rf")]
+    cfgs += [X.ExperimentConfig(f"{m}_balanced", "classifier", model=m, balanced=True, **_WIDE) for m in ("logreg", "svm")]
+    return X.against(X.run_all(spark, _data(spark, sf_dir), cfgs), "svm")
+
+
+@query("vectorizer_sweep", ops=("EXP08", "VEC04", "VEC06", "WIN03"))
+def vectorizer_sweep(spark, sf_dir):
+    """SVM on counts, binary counts, n-gram ranges and word + character unions,
+    each against words and word pairs by TF-IDF."""
+    wide = {**_WIDE, "model": "svm"}
+    char = {**wide, "analyzers": ("word", "char"), "max_features_char": 150_000}
+    cfgs = [X.ExperimentConfig("word_1_2gram", "base", **wide),
+            X.ExperimentConfig("count", "vectorizer", **{**wide, "vectorizer": "count"}),
+            X.ExperimentConfig("count_binary", "vectorizer", **{**wide, "vectorizer": "count", "binary": True}),
+            X.ExperimentConfig("word_1gram", "ngrams", **{**wide, "ngram_range": (1, 1)}),
+            X.ExperimentConfig("word_1_3gram", "ngrams", **{**wide, "ngram_range": (1, 3)}),
+            X.ExperimentConfig("word_char_3_5", "char", **char, char_range=(3, 5)),
+            X.ExperimentConfig("word_char_4_6", "char", **char, char_range=(4, 6))]
+    return X.against(X.run_all(spark, _data(spark, sf_dir), cfgs), "word_1_2gram")
+
+
+#: Word and character blocks of title and description, the title weighted.
+_FOUR_BLOCKS = {"clean": {"lowercase": True}, "analyzers": ("word", "char"), "ngram_range": (1, 2), "title_weight": 1.2, "max_features": 120_000,
+                "max_features_desc": 150_000, "max_features_char": 80_000, "max_features_char_desc": 100_000}
+
+
+@query("svm_c_path", ops=("EXP08", "MDL04", "VEC12", "TXF10", "WIN03"))
+def svm_c_path(spark, sf_dir):
+    """Linear SVM for seven C on the four weighted blocks, warm-started, against C = 1."""
+    cfg = X.ExperimentConfig("four_blocks", "C", **_FOUR_BLOCKS)
+    return X.against(X.svm_path_experiment(spark, _data(spark, sf_dir), cfg, [0.03, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0]), "C_1.0")
+
+
+@query("final_fit", ops=("SET02", "MDL04", "MDL10"))
+def final_fit(spark, sf_dir):
+    """The chosen SVM (C = 0.2) fitted on train and scored on val and test, then
+    fitted on train and val together and scored on test."""
+    data = X.three_way(views.listing_doc(spark, sf_dir))
+    chosen = {**_FOUR_BLOCKS, "model": "svm", "C": 0.2}
+    cfgs = [X.ExperimentConfig("train_on_val", "final", **chosen), X.ExperimentConfig("train_on_test", "final", **chosen, score_on="test"),
+            X.ExperimentConfig("train_val_on_test", "final", **chosen, fit_on=("train", "val"), score_on="test")]
+    return X.run_all(spark, data, cfgs)
+
+
+@query("feature_block_sweep", ops=("EXP09", "TXF05", "TXF06", "WIN03"))
+def feature_block_sweep(spark, sf_dir):
+    """Logistic regression on keyword counts, with unit flags and lengths added."""
+    blocks = {"kw": X.KEYWORDS, "kw + unit": X.KEYWORDS + X.UNITS, "kw + length": X.KEYWORDS + X.LENGTHS, "kw + unit + length": X.KEYWORDS + X.UNITS + X.LENGTHS}
+    cfgs = [X.ExperimentConfig(n, "features", strategy="features", feature_cols=cols, C=1.0) for n, cols in blocks.items()]
+    return X.against(X.run_all(spark, _data(spark, sf_dir), cfgs), "kw")
 
 
 @query("linear_models_ovr", ops=("MDL04", "MDL08"))
 def linear_models_ovr(spark, sf_dir):
-    """One-vs-rest linear SVM and the ridge classifier on 500 terms a block."""
-    cfgs = [X.ExperimentConfig("svm_C1", "classifier", model="svm", C=1.0, max_features=500, max_iter=20),
-            X.ExperimentConfig("ridge", "classifier", model="ridge", max_features=500)]
-    return X.run_all(spark, _data(spark, sf_dir), cfgs)
+    """Linear SVM and ridge on up to 250,000 terms a block, with the steps, the
+    passes over the data and the residual left."""
+    wide = {"max_features": 250_000, "ngram_range": (1, 2), "clean": {"lowercase": True}, "C": 1.0}
+    return X.run_all(spark, _data(spark, sf_dir), [X.ExperimentConfig(m, "classifier", model=m, **wide) for m in ("svm", "ridge")])
 
 
 @query("coefficient_importance", ops=("EVA10", "ORD05", "MDL03"))
 def coefficient_importance(spark, sf_dir):
     """LR coefficients: mean |w| per class and block over all the block's
-    coefficients, zeros included, and the 5 terms per class with the largest
-    |w| (tie: idx)."""
+    coefficients, zeros included (``mean_abs_row``: each class' coefficients
+    first scaled to sum |w| = 1), and the 5 terms per class with the largest |w|
+    (tie: idx)."""
     import pandas as pd
     data = _data(spark, sf_dir).cache()
     cfg = X.ExperimentConfig("coef", clean={"lowercase": True}, max_features=5_000, ngram_range=(1, 1))
@@ -110,11 +180,13 @@ def coefficient_importance(spark, sf_dir):
     rows = pd.DataFrame({"class_idx": np.repeat(np.arange(cm.shape[0], dtype="int32"), cm.shape[1]),
                          "idx": np.tile(np.arange(cm.shape[1], dtype="int32"), cm.shape[0]), "weight": cm.reshape(-1)})
     coef = spark.createDataFrame(rows).join(table.terms, "idx")
-    per_block = coef.groupBy("class_idx", "block").agg(F.avg(F.abs("weight")).alias("mean_abs"))
+    whole = coef.groupBy("class_idx").agg(F.sum(F.abs("weight")).alias("__whole"))  # one row per class
+    per_block = (coef.groupBy("class_idx", "block").agg(F.avg(F.abs("weight")).alias("mean_abs")).join(whole, "class_idx")
+                 .withColumn("mean_abs_row", F.col("mean_abs") / F.nullif("__whole", F.lit(0.0))).drop("__whole"))
     top = top_k_per_group(coef, ["class_idx"], [F.desc(F.abs("weight")), F.asc("idx")], 5)
     none = lambda kind: F.lit(None).cast(kind)
-    return (per_block.select("class_idx", "block", none("int").alias("idx"), none("string").alias("term"), "mean_abs", none("double").alias("weight"), none("int").alias("rank"))
-            .unionByName(top.select("class_idx", "block", "idx", "term", none("double").alias("mean_abs"), "weight", F.col("rank").cast("int"))))
+    return (per_block.select("class_idx", "block", none("int").alias("idx"), none("string").alias("term"), "mean_abs", "mean_abs_row", none("double").alias("weight"), none("int").alias("rank"))
+            .unionByName(top.select("class_idx", "block", "idx", "term", none("double").alias("mean_abs"), none("double").alias("mean_abs_row"), "weight", F.col("rank").cast("int"))))
 
 
 @query("text_prep_variants", ops=("EXP10", "TXF12", "CLN18", "CLN21", "CLN22", "CLN24", "PRJ02"))
@@ -175,18 +247,11 @@ def ml_pipeline_roundtrip(spark, sf_dir):
 
 @query("boosted_trees_ovr", ops=("MDL05",))
 def boosted_trees_ovr(spark, sf_dir):
-    """One-vs-rest gradient-boosted trees (20 trees, depth 4, rate 0.3) on 300 terms a block."""
-    data = _data(spark, sf_dir).cache()
-    cfg = X.ExperimentConfig("gbt", clean={"lowercase": True}, max_features=300)
-    table = X.feature_table(data, cfg)
-    full = table.vectors(data.select("row_id", "label", "split")).cache()
-    train, val = full.filter("split = 'train'"), full.filter("split = 'val'")
-    present = F.array(*[F.lit(r["label"]) for r in train.select("label").distinct().orderBy("label").collect()])  # one per class
-    dense = train.withColumn("label", (F.array_position(present, F.col("label")) - 1).cast("double"))
-    model = mdl.build_model("gbt", 0, n_estimators=20, max_depth=4).fit(dense)
-    pred = model.transform(val).select(F.col("label").cast("int").alias("y_true"),
-                                       F.element_at(present, F.col("prediction").cast("int") + 1).cast("int").alias("y_pred"))
-    return ev.metrics(ev.confusion(pred.withColumn("model", F.lit("gbt_ovr")), ["model"]), ["model"])
+    """Boosted trees for all classes together: 100 rounds of depth 6 at rate 0.3
+    on the full vocabulary of title and description."""
+    cfg = X.ExperimentConfig("gbt", "classifier", model="gbt", clean={"lowercase": True}, max_features=250_000, ngram_range=(1, 1),
+                             params={"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3})
+    return X.run_all(spark, _data(spark, sf_dir), [cfg])
 
 
 @query("best_vectorization_fit", ops=("EXP04", "VEC09", "TXF09", "TXF10", "MDL03", "MDL10"))
