@@ -130,6 +130,35 @@ def early_stopping(spark, sf_dir):
     return out.select("name", "stop_epoch", "best_epoch", F.round("best_score", R).alias("best_score"), "n_epochs")
 
 
+MIN_DELTA = 0.05
+
+
+def _stop_sql(score: str, mode: str) -> str:
+    """The rule step by step: one epoch of every run a recursion."""
+    better = f"e.{score} > w.best + {MIN_DELTA}" if mode == "max" else f"e.{score} < w.best - {MIN_DELTA}"
+    return (f"walk_{mode} AS (SELECT name, CAST(1 AS BIGINT) AS epoch, {score} AS best, CAST(1 AS BIGINT) AS best_epoch, CAST(NULL AS BIGINT) AS stop_epoch "
+            f"FROM epoch_log WHERE epoch = 1 UNION ALL "
+            f"SELECT w.name, e.epoch, CASE WHEN {better} THEN e.{score} ELSE w.best END, CASE WHEN {better} THEN e.epoch ELSE w.best_epoch END, "
+            f"CASE WHEN NOT ({better}) AND e.epoch - w.best_epoch >= {PATIENCE} THEN e.epoch END "
+            f"FROM walk_{mode} w JOIN epoch_log e ON e.name = w.name AND e.epoch = w.epoch + 1 WHERE w.stop_epoch IS NULL)")
+
+
+@query("early_stopping_min_delta", ops=("WIN02",),
+       sql="WITH RECURSIVE " + ", ".join([*EPOCH_LOG_SQL, _stop_sql("val_f1", "max"), _stop_sql("val_loss", "min"),
+                                          "last AS (SELECT name, count(*) AS n_epochs FROM epoch_log GROUP BY name)"])
+       + " " + " UNION ALL ".join(
+           f"SELECT '{mode}' AS mode, name, max(stop_epoch) AS stop_epoch, CAST(arg_max(best_epoch, epoch) AS BIGINT) AS best_epoch, "
+           f"round(arg_max(best, epoch), {R}) AS best_score, any_value(n_epochs) AS n_epochs FROM walk_{mode} JOIN last USING (name) GROUP BY name" for mode in ("max", "min")))
+def early_stopping_min_delta(spark, sf_dir):
+    """Early stopping by validation F1 (mode max) and loss (mode min), with a
+    least improvement."""
+    from vitrine.operators.stopping import early_stop_min_delta
+    log = views.epoch_log(spark, sf_dir).cache()
+    parts = [early_stop_min_delta(log, PATIENCE, MIN_DELTA, score=score, mode=mode).withColumn("mode", F.lit(mode)) for score, mode in (("val_f1", "max"), ("val_loss", "min"))]
+    both = parts[0].unionByName(parts[1])
+    return both.select("mode", "name", "stop_epoch", "best_epoch", F.round("best_score", R).alias("best_score"), "n_epochs")
+
+
 # ---------------------------------------------------------------------------
 # joins and projections on listings
 # ---------------------------------------------------------------------------
