@@ -73,3 +73,23 @@ def vectorizer_config_roundtrip(spark, sf_dir):
     diff = store.config_diff(out[0], out[1])
     store.save_results(diff, f"{root}/diff", {"configs": 2})
     return diff
+
+
+@query("listing_csv_roundtrip", ops=("SRC01", "SRC10", "JON01", "JON06"),
+       sql=S.with_(S.LISTING_DOC) + "SELECT row_id, prdtypecode, CAST(list_position(" + S.CLASSES_SQL + ", prdtypecode) - 1 AS INTEGER) AS class_idx, "
+       "trim(trim(coalesce(designation, ''), ' ') || ' ' || trim(coalesce(description, ''), ' '), ' ') AS text_raw FROM listing_doc")
+def listing_csv_roundtrip(spark, sf_dir):
+    """Listings and labels written as CSV, classes as JSON, and read back: X joined
+    with Y by row id, the class index from the JSON's order."""
+    from vitrine.functions import fixed
+    from vitrine.sources import listings as ls
+    root = store.new_folder(spark, "csv")
+    lst = views.listing_doc(spark, sf_dir)
+    none = F.lit(None).cast("long")
+    ls.write_csv(lst.select("row_id", "designation", "description", none.alias("productid"), none.alias("imageid")), f"{root}/x")
+    ls.write_csv(lst.select("row_id", "prdtypecode"), f"{root}/y")
+    spark.range(1).select(F.array(*map(F.lit, fixed.CANONICAL_CLASSES)).alias("classes")).coalesce(1).write.json(f"{root}/classes")
+    joined, x, y = ls.load_labelled(spark, f"{root}/x", f"{root}/y")
+    if x.refused.union(y.refused).count():
+        raise ValueError("records were refused")
+    return joined.join(ls.read_classes(spark, f"{root}/classes"), "prdtypecode").select("row_id", "prdtypecode", "class_idx", "text_raw")
