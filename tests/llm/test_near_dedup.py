@@ -107,3 +107,10 @@ def test_components_of_long_chains(spark):
     got = common.components(spark.createDataFrame(edges, "a long, b long"))
     label = {r["id"]: r["component"] for r in got.collect()}
     assert all(label[k] == 0 for k in range(301)) and label[1500] == label[2000] == 1000
+
+
+def test_too_little_similarity_raises():
+    import pytest
+    with pytest.raises(ValueError, match="no band plan"):
+        minhash.plan(3)
+    assert minhash.plan(4)[0] >= 1

@@ -106,3 +106,28 @@ def test_shards_hold_every_document_in_order(spark, library, monkeypatch):
         assert at == start and (n, crc) in [(len(x), zlib.crc32(x.tobytes())) for x in texts[i]]
         start += n
     assert manifest.count() >= 1
+
+
+def test_added_tokens_call_for_whole_texts(tmp_path):
+    """Any tokenizer's added tokens are met, not only those that look like <|...|>."""
+    from tokenizers import AddedToken, Tokenizer
+    own = Tokenizer.from_file(PATH)
+    own.add_tokens(["[PAD]", AddedToken("two words", normalized=False)])
+    own.add_special_tokens(["<s>"])
+    own.save(f"{tmp_path}/own.json")
+    e = encode.Encoder(f"{tmp_path}/own.json")
+    texts = ["a [PAD] b", "two words here", "x<s>y <s>", "plain two  words", "[PAD", ""]
+    flat, off = e.encode(pa.array(texts, pa.large_string()))
+    assert [flat[off[k]:off[k + 1]].tolist() for k in range(len(texts))] == [ids(e.tokenizer, t) for t in texts]
+
+
+def test_plain_special_tokens():
+    e = encode.Encoder(PATH, plain=True)
+    text = "a <|endoftext|> b<|endoftext|>"
+    flat, _ = e.encode(pa.array([text], pa.large_string()))
+    assert flat.tolist() == ids(e.tokenizer, text) and 50256 not in flat
+
+
+def test_ids_beyond_the_file_format_raise():
+    with pytest.raises(ValueError, match="below"):
+        repair.compress(np.array([1, repair.BASE], np.int64), np.array([2]))

@@ -4,7 +4,7 @@ A byte-level BPE tokenizer whose pre-tokenizer splits at white space treats a
 white-space run with the word after it independently of what stands around it.
 Texts are therefore cut before each run of ASCII white space, every distinct
 piece is encoded once by the tokenizers library, and the ids are put together.
-Texts with other white space or with a special token's beginning are encoded
+Texts with other white space or with an added token's string are encoded
 whole by the library, so the ids always equal those of the whole text.
 
 New pieces go to the library many at a time, joined to one string: the same
@@ -22,10 +22,9 @@ import pyarrow as pa
 
 from vitrine.llm import textbuf as tb
 
-#: Bytes that call for whole-text encoding: other white space, special tokens.
-_WHOLE = re.compile(rb"<\||[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf")
-_WHOLE_FIRST = np.zeros(256, bool)
-_WHOLE_FIRST[[0x3C, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+#: White space beyond ASCII: texts with it are encoded whole.
+_OTHER_SPACE = rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
+_OTHER_FIRST = (0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF)
 #: Text encoded at a time: the cache is merged with the new pieces once for it.
 ENCODE_BYTES = 8 << 20
 #: Distinct pieces a worker remembers before it starts afresh.
@@ -114,6 +113,11 @@ class Encoder(PieceCache):
         self.token_bytes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.token_bytes[number] = len(token)
+        # texts that hold one of the tokenizer's added tokens are encoded whole too
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.whole_pattern = re.compile(b"|".join([*map(re.escape, added), _OTHER_SPACE]))
+        self.whole_first = np.zeros(256, bool)
+        self.whole_first[[*_OTHER_FIRST, *(t[0] for t in added)]] = True
         super().__init__()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -146,8 +150,8 @@ class Encoder(PieceCache):
         """(flat ids, n + 1 offsets) of a large-string array (a slice)."""
         buf, off = tb.raw(col)
         n = len(col)
-        maybe = np.unique(np.searchsorted(off, np.flatnonzero(_WHOLE_FIRST[buf]), side="right") - 1)
-        special = [k for k in maybe.tolist() if _WHOLE.search(buf[off[k]:off[k + 1]].tobytes())]
+        maybe = np.unique(np.searchsorted(off, np.flatnonzero(self.whole_first[buf]), side="right") - 1)
+        special = [k for k in maybe.tolist() if self.whole_pattern.search(buf[off[k]:off[k + 1]].tobytes())]
         space = tb.SPACE[buf]
         begin = np.zeros(len(buf), bool)
         begin[1:] = space[1:] & ~space[:-1]

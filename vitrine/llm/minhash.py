@@ -41,14 +41,17 @@ _EMPTY = np.uint64((1 << 64) - 1)
 
 
 def plan(percent: int) -> tuple[int, int]:
-    """(rows per band, bands) for links from ``percent`` % similarity on."""
+    """(rows per band, bands) for links from ``percent`` % similarity on; raises
+    where no plan keeps the chance of a missed link below ``MISS`` (under 4 %)."""
     sim = percent / 100
-    best = (1, 1)
+    best = None
     for r in range(1, 16):
         hit = sim ** r
         b = 1 if hit >= 1 else math.ceil(math.log(MISS) / math.log1p(-hit))
         if r * b <= MAX_COORDINATES:
             best = (r, b)
+    if best is None:
+        raise ValueError(f"{percent} %: no band plan of {MAX_COORDINATES} coordinates finds links of so little similarity")
     return best
 
 

@@ -48,6 +48,8 @@ def compress(seq: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     32 bits; the result has the ids again, nonterminals from ``BASE`` on.
     """
     present = np.flatnonzero(np.bincount(seq)) if len(seq) else np.zeros(0, np.int64)
+    if len(present) and present[-1] >= BASE:
+        raise ValueError(f"id {present[-1]}: the file format holds ids below {BASE}")
     dense = np.zeros(int(present[-1]) + 1 if len(present) else 1, np.uint32)
     dense[present] = np.arange(len(present))
     seq = dense[seq]
