@@ -134,7 +134,7 @@ def top_ngrams_2_3(spark, sf_dir):
 KEYWORDS = ["the", "and", "eau", "der", "la", "que", "ment"]
 
 
-@query("keyword_rate_by_category", ops=("AGG06", "AGG07", "JON09", "PRJ07"),
+@query("keyword_rate_by_category", ops=("AGG06", "AGG07", "JON09"),
        sql=S.with_(S.LISTING_DOC) + "SELECT * FROM (SELECT category, " + ", ".join(
            f"round(avg(CASE WHEN regexp_matches(coalesce(designation, '') || ' ' || coalesce(description, ''), "
            f"'(^|[^\\pL\\pN_]){k}([^\\pL\\pN_]|$)') THEN 1.0 ELSE 0.0 END), {R}) AS \"{k}\"" for k in KEYWORDS)
@@ -146,6 +146,18 @@ def keyword_rate_by_category(spark, sf_dir):
     return out.select("category", "keyword", F.round("rate", R).alias("rate"))
 
 
+@query("keyword_rows", ops=("PRJ07",),
+       sql=S.with_(S.LISTING_DOC, "t AS (SELECT row_id, coalesce(designation, '') || ' ' || coalesce(description, '') AS txt FROM listing_doc)")
+       + " UNION ALL ".join(f"SELECT row_id, '{k}' AS keyword, length(txt) AS n_chars FROM t WHERE regexp_matches(txt, '(^|[^\\pL\\pN_]){k}([^\\pL\\pN_]|$)')" for k in KEYWORDS))
+def keyword_rows(spark, sf_dir):
+    """The rows that hold a keyword as a whole word, once per keyword."""
+    lst = views.listing_doc(spark, sf_dir)
+    text = F.concat(F.coalesce("designation", F.lit("")), F.lit(" "), F.coalesce("description", F.lit("")))
+    hits = lst.select("row_id", text.alias("txt"))
+    held = F.filter(F.array(*(F.when(F.col("txt").rlike(rf"(?U)\b{k}\b"), F.lit(k)) for k in KEYWORDS)), lambda k: k.isNotNull())
+    return hits.select("row_id", F.explode(held).alias("keyword"), F.length("txt").cast("long").alias("n_chars"))
+
+
 @query("duplicate_groups_doc", ops=("AGG08", "JON04"),
        sql=S.with_(S.LISTING_DOC, f"c AS (SELECT row_id, {S.native_clean('designation')} AS title_clean, "
                    f"{S.native_clean('description')} AS desc_clean FROM listing_doc)") + """

@@ -10,6 +10,7 @@ from vitrine.functions import fixed
 from vitrine.operators import ensemble as ens
 from vitrine.operators import evaluate as ev
 from vitrine.operators import quality as qc
+from vitrine.operators.ranking import top_k_per_group
 from vitrine.plans import sqlkit as S
 from vitrine.plans.registry import query
 from vitrine.sources import views
@@ -211,7 +212,7 @@ _A, _B = "model_a", "model_b"
 _BYM = "map_from_entries(list(struct_pack(k := model, v := probs)))"
 
 
-def _ens_sql() -> str:
+def _ens_ctes() -> list[str]:
     methods = {
         "simple_average": "list_transform(list_zip(pa, pb), lambda t: (t[1] + t[2]) / 2)",
         "weighted_average": "list_transform(list_zip(pa, pb), lambda t: 0.25 * t[1] + 0.75 * t[2])",
@@ -226,19 +227,23 @@ def _ens_sql() -> str:
     rows = " UNION ALL ".join(
         f"SELECT '{k}' AS method, y_true, classes[list_position({e}, list_max({e}))] AS y_pred FROM g"
         for k, e in methods.items())
-    return (S.with_(*PRED_CTES,
-                    "g AS (SELECT idx, any_value(y_true) AS y_true, any_value(classes) AS classes, "
-                    "max(CASE WHEN model = 'model_a' THEN probs END) AS pa, max(CASE WHEN model = 'model_b' THEN probs END) AS pb, "
-                    "max(CASE WHEN model = 'model_c' THEN probs END) AS pc FROM predictions WHERE split = 'val' GROUP BY idx)",
-                    f"f AS ({rows})", *metrics_sql("f", ["method"]),
+    return [*PRED_CTES,
+            "g AS (SELECT idx, any_value(y_true) AS y_true, any_value(classes) AS classes, "
+            "max(CASE WHEN model = 'model_a' THEN probs END) AS pa, max(CASE WHEN model = 'model_b' THEN probs END) AS pb, "
+            "max(CASE WHEN model = 'model_c' THEN probs END) AS pc FROM predictions WHERE split = 'val' GROUP BY idx)",
+            f"f AS ({rows})", *metrics_sql("f", ["method"])]
+
+
+def _ens_sql() -> str:
+    return (S.with_(*_ens_ctes(),
                     "best AS (SELECT max(f1_weighted) AS best_single FROM m_metrics WHERE method LIKE 'single_%')")
             + f"SELECT method, round(accuracy, {R}) AS accuracy, round(f1_weighted, {R}) AS f1_weighted, "
               f"round(f1_weighted - best_single, {R}) AS gain_abs, round((f1_weighted - best_single) / best_single * 100, {R}) "
               f"AS gain_pct, round(f1_weighted, 12) = max(round(f1_weighted, 12)) OVER () AS is_best FROM m_metrics, best")
 
 
-@query("ensemble_methods", ops=("ENS01", "ENS02", "ENS03", "ENS05", "ENS06", "ENS07", "ENS08", "JON05"), sql=_ens_sql())
-def ensemble_methods(spark, sf_dir):
+def _ensemble_metrics(spark, sf_dir):
+    """Metrics of every fusion method and of the single models (val)."""
     g = _gathered(spark, sf_dir, MODELS)
     bym = F.col("by_model")
     pa, pb = F.element_at(bym, F.lit(_A)), F.element_at(bym, F.lit(_B))
@@ -257,7 +262,12 @@ def ensemble_methods(spark, sf_dir):
         F.struct(F.lit(k).alias("method"), e.alias("p")) for k, e in methods.items()])).alias("m"))
     scored = fused.select(F.col("m.method").alias("method"), "y_true",
                           ev.predicted_class(F.col("m.p"), F.col("classes")).alias("y_pred"))
-    m = ev.metrics(ev.confusion(scored, ["method"]), ["method"])
+    return ev.metrics(ev.confusion(scored, ["method"]), ["method"])
+
+
+@query("ensemble_methods", ops=("ENS01", "ENS02", "ENS03", "ENS05", "ENS06", "ENS07", "ENS08", "JON05"), sql=_ens_sql())
+def ensemble_methods(spark, sf_dir):
+    m = _ensemble_metrics(spark, sf_dir)
     best_single = m.filter(F.col("method").startswith("single_")).agg(F.max("f1_weighted")).first()[0]
     w = Window.partitionBy(F.lit(0))  # over the method table (8 rows)
     return m.select("method", *_rnd(["accuracy", "f1_weighted"]),
@@ -266,6 +276,51 @@ def ensemble_methods(spark, sf_dir):
                     (F.round("f1_weighted", 12) == F.max(F.round("f1_weighted", 12)).over(w)).alias("is_best"))
 
 
+@query("ensemble_gain_by_metric", ops=("ENS08", "EVA01"),
+       sql=S.with_(*_ens_ctes(), *(f"{n} AS (SELECT * FROM m_metrics WHERE method {op} 'single_%' ORDER BY round(f1_weighted, 12) DESC, method LIMIT 1)"
+                                   for n, op in (("single", "LIKE"), ("fused", "NOT LIKE"))))
+       + " UNION ALL ".join(f"SELECT '{c}' AS metric, s.method AS single_method, e.method AS ensemble_method, round(s.{c}, {R}) AS single_value, "
+                            f"round(e.{c}, {R}) AS ensemble_value, round(e.{c} - s.{c}, {R}) AS gain FROM single s, fused e" for c in METRIC_COLS))
+def ensemble_gain_by_metric(spark, sf_dir):
+    """Best single model against the best fusion (by weighted F1, tie: name), a row
+    per metric."""
+    m = _ensemble_metrics(spark, sf_dir)
+    order = F.struct((-F.round("f1_weighted", 12)).alias("o"), F.col("method").alias("m"))
+    best = m.groupBy(F.col("method").startswith("single_").alias("is_single")).agg(F.min_by(F.struct("method", *METRIC_COLS), order).alias("b"))
+    pair = best.agg(*(F.max(F.when(F.col("is_single") == single, F.col("b"))).alias(n) for n, single in (("s", True), ("e", False))))
+    rows = F.array(*(F.struct(F.lit(c).alias("metric"), F.col("s.method").alias("single_method"), F.col("e.method").alias("ensemble_method"),
+                              F.round(f"s.{c}", R).alias("single_value"), F.round(f"e.{c}", R).alias("ensemble_value"),
+                              F.round(F.col(f"e.{c}") - F.col(f"s.{c}"), R).alias("gain")) for c in METRIC_COLS))
+    return pair.select(F.explode(rows).alias("r")).select("r.*")
+
+
+#: Model names of every family and order key, dealt to the predictions by label.
+_NAMES = ["LeNet-5", "resnet50_v2", "vit_base", "SWIN-tiny", "CamemBERT", "xlmr-large", "mdeberta_v3", "flaubert", "distilbert", "densenet"]
+
+
+@query("model_families", ops=("ORD01", "ENS09"),
+       sql=S.with_(*PRED_CTES, f"named AS (SELECT [{', '.join(S.q(n) for n in _NAMES)}][1 + y_true % {len(_NAMES)}] || '_' || model AS name FROM predictions)")
+       + "SELECT name, count(*) AS n, CASE " + " ".join(f"WHEN lower(name) LIKE '%{p}%' THEN {i}" for i, p in enumerate(fixed.MODEL_ORDER))
+       + f" ELSE {len(fixed.MODEL_ORDER)} END AS order_key, CASE WHEN " + " OR ".join(f"lower(name) LIKE '%{k}%'" for k in fixed.TEXT_MODEL_KEYWORDS)
+       + " THEN 'text' ELSE 'image' END AS family FROM named GROUP BY name")
+def model_families(spark, sf_dir):
+    """Order key and family of models whose names match the patterns, and of ones
+    that match none."""
+    p = views.predictions(spark, sf_dir)
+    name = F.concat(F.get(F.array(*map(F.lit, _NAMES)), F.col("y_true") % len(_NAMES)), F.lit("_"), F.col("model"))
+    counted = p.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("name", "n", ens.model_order_key(F.col("name")).alias("order_key"), ens.categorize(F.col("name")).alias("family"))
+
+
+@query("top_classes_by_support", ops=("ORD03", "EVA04"),
+       sql=S.with_(*PRED_CTES) + "SELECT * FROM (SELECT model, y_true, count(*) AS support, CAST(row_number() OVER (PARTITION BY model ORDER BY count(*) DESC, y_true) AS INTEGER) AS rank "
+       "FROM predictions WHERE split = 'val' GROUP BY model, y_true) WHERE rank <= 5")
+def top_classes_by_support(spark, sf_dir):
+    p = views.predictions(spark, sf_dir).where("split = 'val'")
+    support = p.groupBy("model", "y_true").agg(F.count(F.lit(1)).alias("support"))
+    return top_k_per_group(support, ["model"], [F.desc("support"), F.asc("y_true")], 5).withColumn("rank", F.col("rank").cast("int"))
+
+
 def _grid_sql() -> str:
     return (S.with_(*PRED_CTES,
                     "g AS (SELECT idx, any_value(y_true) AS y_true, any_value(classes) AS classes, "

@@ -106,7 +106,7 @@ def numeric_measures_part(spark, sf_dir):
     return x.select("row_id", "part", "pattern_no", "measure", "match_no", "bound_no", F.round("value_base", R).alias("value_base"), "label")
 
 
-@query("numeric_tokens_part", ops=("NUM05", "NUM06", "NUM07", "NUM08", "NUM09", "TXF12"), sql=_tokens_sql())
+@query("numeric_tokens_part", ops=("NUM05", "NUM06", "NUM07", "NUM08", "NUM09"), sql=_tokens_sql())
 def numeric_tokens_part(spark, sf_dir):
     """Title and description rewritten (mode 'full'), merged as [TITRE] t [DESC] d."""
     lp = views.listing_part(spark, sf_dir).select("row_id", "designation", "description")

@@ -114,6 +114,18 @@ def best_epoch_per_run(spark, sf_dir):
     return b.select("name", "epoch", F.round("val_f1", R).alias("val_f1"), F.round("val_loss", R).alias("val_loss"))
 
 
+@query("best_epoch_values", ops=("WIN01",),
+       sql=S.with_(*EPOCH_LOG_SQL, "gaps AS (SELECT name, epoch, val_f1, CASE WHEN epoch % 3 <> 0 THEN val_loss END AS val_loss, CASE WHEN epoch % 5 = 0 THEN epoch * 10 END AS seconds FROM epoch_log)")
+       + "SELECT name, " + ", ".join(f"{'round(' if c.startswith('val') else ''}first({c} ORDER BY val_f1 DESC, epoch) FILTER ({c} IS NOT NULL){f', {R})' if c.startswith('val') else ''} AS {c}"
+                                     for c in ("epoch", "val_f1", "val_loss", "seconds")) + " FROM gaps GROUP BY name")
+def best_epoch_values(spark, sf_dir):
+    """Best epoch of a log with gaps: each column's first value that is there."""
+    log = views.epoch_log(spark, sf_dir)
+    gaps = log.select("name", "epoch", "val_f1", F.when(F.col("epoch") % 3 != 0, F.col("val_loss")).alias("val_loss"), F.when(F.col("epoch") % 5 == 0, F.col("epoch") * 10).alias("seconds"))
+    b = hist.best_epoch_values(gaps)
+    return b.select("name", "epoch", F.round("val_f1", R).alias("val_f1"), F.round("val_loss", R).alias("val_loss"), "seconds")
+
+
 PATIENCE = 3
 
 
@@ -328,7 +340,7 @@ STEPS = [("v0", "single_model_a", "single_model_a"), ("v1", "single_model_b", "s
          ("v4", "geometric_mean", "weighted_average"), ("v5", "harmonic_mean", "weighted_average")]
 
 
-@query("experiment_steps", ops=("WIN04", "EXP14"),
+@query("experiment_steps", ops=("WIN04",),
        sql=S.with_(*_fusion_sql_ctes(), "st AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in STEPS)
                    + ") t(step, experiment, reference))")
        + f"SELECT st.step, st.experiment, st.reference, round(c.f1_weighted, {R}) AS score, round(r.f1_weighted, {R}) AS ref_score, "

@@ -241,3 +241,33 @@ def structural_features_part(spark, sf_dir):
     feats = c.select("row_id", *tf.structural_columns(F.col("designation_cleaned"), "designation_cleaned"),
                      *tf.structural_columns(F.col("description_cleaned"), "description_cleaned"))
     return feats.select("row_id", *tf.meta_feature_columns(feats.columns))
+
+
+def _granular_sql(keep_tags: bool, keep_punctuation: bool) -> str:
+    e = S.coalesce_text("description")
+    e = e if keep_tags else S.html_tags(e)
+    return S.collapse_ws(e if keep_punctuation else S.punctuation(e))
+
+
+_SWITCHES = {f"{'tags' if t else 'notags'}_{'punct' if p else 'nopunct'}": (t, p) for t in (False, True) for p in (False, True)}
+
+
+@query("clean_granular_pages", ops=("CLN22", "CLN04", "CLN05", "CLN17"),
+       sql=S.with_(S.LISTING_PAGE) + "SELECT row_id, " + ", ".join(f"{_granular_sql(*v)} AS {n}" for n, v in _SWITCHES.items()) + " FROM listing_page")
+def clean_granular_pages(spark, sf_dir):
+    """The ablation cleaner on raw pages under its tag and punctuation switches
+    (entities left as they are, which SQL can state)."""
+    lp = views.listing_page(spark, sf_dir)
+    return lp.select("row_id", *(tx.granular_cleaner(F.col("description"), keep_html_tags=t, keep_punctuation=p, skip_unescape=True).alias(n) for n, (t, p) in _SWITCHES.items()))
+
+
+_ACUTE = "\u0301"
+
+
+@query("clean_unicode_doc", ops=("CLN03", "UDF03"),
+       sql=S.with_(S.LISTING_DOC) + f"SELECT row_id, nfc_normalize(replace(replace(coalesce(description, ''), 'é', 'e{_ACUTE}'), 'a', 'a{_ACUTE}')) AS nfc FROM listing_doc")
+def clean_unicode_doc(spark, sf_dir):
+    """NFC over descriptions whose accents have been taken apart."""
+    lst = views.listing_doc(spark, sf_dir)
+    apart = F.replace(F.replace(F.coalesce("description", F.lit("")), F.lit("é"), F.lit("e" + _ACUTE)), F.lit("a"), F.lit("a" + _ACUTE))
+    return lst.select("row_id", tx.normalize_unicode(apart).alias("nfc"))

@@ -146,7 +146,7 @@ def _split_sql() -> str:
               f"SELECT * FROM ({scaled}) WHERE weight <> 0)")
 
 
-@query("split_weighted_blocks", ops=("VEC09", "VEC11", "TXF09", "TXF10", "TXF11"), sql=_split_sql())
+@query("split_weighted_blocks", ops=("VEC09", "VEC11", "TXF09", "TXF10"), sql=_split_sql())
 def split_weighted_blocks(spark, sf_dir):
     lst = views.listing_doc(spark, sf_dir)
     _, ti = V.fit_transform(lst, "row_id", F.col("designation"), SPLIT_TITLE)
