@@ -20,6 +20,9 @@ from vitrine.functions import fixed
 from vitrine.operators import linear
 from vitrine.operators.images import COLOR_LABELS
 
+#: Most products of the discriminants' conjugate gradients.
+MAX_STEPS = 200
+
 Kernel = Callable[[np.ndarray], np.ndarray]
 
 
@@ -269,20 +272,20 @@ def fit_pca(df: DataFrame, column: str, k: int, extra: int = 10, powers: int = 6
     return *x.projection(_signed(q @ turn[:, top])), values[top] / max(x.n - 1, 1.0)
 
 
-def fit_discriminants(df: DataFrame, column: str, label: str, k: int, shrink: float = 1e-4, tol: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
+def fit_discriminants(df: DataFrame, column: str, label: str, k: int, shrink: float = 1e-4, tol: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """IMG16: (weights, offset) of up to ``k`` linear discriminant axes of the
     standardised column (classes less one at most), scaled to a within-class
     variance of 1.  The within-class scatter, shrunk by ``shrink`` of its mean
     diagonal, is never formed: conjugate gradients solve it for the class means,
-    which leaves a classes x classes eigenproblem."""
+    which leaves a classes x classes eigenproblem.  Ends at a relative residual of
+    ``tol``, or after ``MAX_STEPS`` products."""
     x = Scaled(df, column, label)
     n_classes = len(x.counts)
     means = (x.class_sums / x.counts - x.mean[:, None]) / x.std[:, None]
-    d = len(x.mean)
     diagonal = np.maximum((x.std != 1.0) * x.n - (means ** 2) @ x.counts, 0.0)
     floor = shrink * max(diagonal.mean(), 1e-12)
     within = lambda p: x.scatter(p) - means @ (x.counts[:, None] * (means.T @ p)) + floor * p
-    solved, _, _ = linear.conjugate_gradients(within, means, (diagonal + floor)[:, None], tol, 10 * d)
+    solved, _, _ = linear.conjugate_gradients(within, means, (diagonal + floor)[:, None], tol, MAX_STEPS)
     values, turn = np.linalg.eig(x.counts[:, None] * (means.T @ solved))
     top = np.argsort(-values.real)[:min(k, n_classes - 1)]
     axes = solved @ turn[:, top].real
@@ -358,6 +361,6 @@ def feature_union(images: DataFrame, descriptors: DataFrame, size: int, side: in
     parts.write.parquet(path)  # read by both fits and the projections
     parts = spark.read.schema(parts.schema).parquet(path)
     parts = project(parts, "hog", fit_pca(parts, "hog", n_pca), "hog_axes")
-    parts = project(parts, "flat", fit_discriminants(parts, "flat", "label", n_axes), "axes")
+    parts = project(parts, "flat", fit_discriminants(parts, "flat", "label", n_axes, tol=1e-3), "axes")
     parts = parts.join(word_histograms(descriptors, images, n_words), "image_id")
     return standardized(parts.select("image_id", F.concat("corners", "hog_axes", "words", "hist", "hist_diff", "colors", "axes").alias("raw")), "raw").select("image_id", "features")

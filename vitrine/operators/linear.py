@@ -44,6 +44,12 @@ class Block:
     labels: np.ndarray
 
     def __post_init__(self) -> None:
+        width = int(self.counts[0]) if len(self.counts) else 0
+        # rows that all have every column are a plain matrix
+        self.matrix = None
+        if width and (self.counts == width).all() and np.array_equal(self.columns.reshape(-1, width), np.broadcast_to(np.arange(width), (len(self.counts), width))):
+            self.matrix, self.used = self.values.reshape(-1, width), np.arange(width)
+            return
         self.row = np.repeat(np.arange(len(self.counts)), self.counts)
         self.by_column = np.argsort(self.columns, kind="stable")
         sorted_columns = self.columns[self.by_column]
@@ -52,6 +58,8 @@ class Block:
 
     def times(self, m: np.ndarray) -> np.ndarray:
         """X m, rows x classes."""
+        if self.matrix is not None:
+            return self.matrix @ m[:self.matrix.shape[1]]
         out = np.zeros((len(self.counts), m.shape[1]))
         full = self.counts > 0
         if full.any():
@@ -60,12 +68,16 @@ class Block:
 
     def back(self, r: np.ndarray) -> np.ndarray:
         """X' r for the used columns."""
+        if self.matrix is not None:
+            return self.matrix.T @ r
         if not len(self.used):
             return np.zeros((0, r.shape[1]))
         return np.add.reduceat(r[self.row[self.by_column]] * self.values[self.by_column][:, None], self.first, axis=0)
 
     def back_squared(self) -> np.ndarray:
         """Sum of squares of the used columns."""
+        if self.matrix is not None:
+            return (self.matrix ** 2).sum(axis=0)
         return np.add.reduceat(self.values[self.by_column] ** 2, self.first) if len(self.used) else np.zeros(0)
 
 

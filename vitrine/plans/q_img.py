@@ -216,7 +216,7 @@ def image_lda(spark, sf_dir):
     images at 16 x 16, flattened and standardised."""
     flat = (ia.map_images(views.rgb_arrays(spark, sf_dir), SIZE, 3, {"flat": lambda x: ia.resize(x, 16)})
             .join(views.rgb_arrays(spark, sf_dir).select("image_id", "label"), "image_id"))
-    return ia.project(flat, "flat", ia.fit_discriminants(flat, "flat", "label", 26), "components").select("image_id", "label", "components")
+    return ia.project(flat, "flat", ia.fit_discriminants(flat, "flat", "label", 26, tol=1e-3), "components").select("image_id", "label", "components")
 
 
 @query("image_feature_union", ops=("IMG17", "IMG02", "IMG05", "IMG06", "IMG07", "IMG08", "IMG09", "IMG10", "IMG11", "IMG12", "IMG15", "IMG16"))
