@@ -74,8 +74,10 @@ LENGTHS = ["designation_len_char", "designation_len_words", "description_len_cha
 def feature_columns(data: DataFrame, names: list[str]) -> DataFrame:
     """(row_id, split, names): text features of a column (TXF03), or keyword
     families and unit flags of the merged lower-cased text (TXF05-06)."""
-    merged = data.select("*", F.lower(F.concat_ws(" ", "designation", "description")).alias("__merged"))
-    by_name = dict(zip([*KEYWORDS, *UNITS], [*tf.keyword_columns(F.col("__merged")), *tf.unit_columns(F.col("__merged"))], strict=True))
+    merged = data.withColumn("__merged", F.lower(F.concat_ws(" ", "designation", "description")))
+    by_name = {}
+    if set(names) & {*KEYWORDS, *UNITS}:
+        by_name = dict(zip([*KEYWORDS, *UNITS], [*tf.keyword_columns(F.col("__merged")), *tf.unit_columns(F.col("__merged"))], strict=True))
     return merged.select("row_id", "split", *(by_name[n] if n in by_name else tf.feature_column(n) for n in names))
 
 
@@ -213,7 +215,7 @@ def feature_table(data: DataFrame, cfg: ExperimentConfig, cache: BlockCache | No
         fcols = list(cfg.feature_cols or FEATURE_COLS)
 
         def scaled_features() -> DataFrame:
-            feats = feature_columns(data, fcols)
+            feats = feature_columns(data, fcols).cache()  # its expressions are long: computed once
             stats = tf.fit_standard_scaler(feats.filter(F.col("split").isin(*cfg.fit_on)), fcols)
             return feats.select("row_id", *tf.apply_standard_scaler(stats)).cache()
         scaled = cache.once(("features", tuple(fcols), cfg.fit_on), scaled_features)
