@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from vitrine.operators import ensemble as ens
 from vitrine.operators import experiments as X
+from vitrine.operators import linear
 from vitrine.operators import models as mdl
 from vitrine.operators import vectorize as V
 
@@ -27,10 +28,10 @@ def test_ridge_equals_the_closed_form(spark):
     dense = {0.0: 0, 3.0: 1, 5.0: 2}
     y = np.array([[1.0 if dense[r[1]] == k else -1.0 for k in range(3)] for r in rows])
     df = spark.createDataFrame([(i, float(dense[c]), v) for i, c, v in rows], ["row_id", "label", "features"]).repartition(5)
-    w, b = mdl.fit_ridge(df, 3, alpha=2.0)
+    model = linear.fit_ridge(linear.row_blocks(df, 3), alpha=2.0)
     xc, yc = x - x.mean(0), y - y.mean(0)
     want = np.linalg.solve(xc.T @ xc + 2.0 * np.eye(4), xc.T @ yc)
-    assert np.allclose(w, want) and np.allclose(b, y.mean(0) - x.mean(0) @ want)
+    assert np.allclose(model.weights, want, atol=1e-6) and np.allclose(model.intercepts, y.mean(0) - x.mean(0) @ want, atol=1e-6)
 
 
 @pytest.mark.parametrize("name", ["ridge", "logreg", "svm"])

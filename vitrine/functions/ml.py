@@ -3,8 +3,9 @@
 * ``TextCleaner``   — stateless Transformer: the configurable cleaner on a column.
 * ``TextFeatures``  — stateless Transformer: the 12 length/composition features.
 * ``TfidfBlock``    — Estimator fitting the scikit-style vocabulary and idf on
-  the long table; its Model keeps the (max_features-bounded) vocabulary and
-  assembles the weighted block as a SparseVector per row.
+  the long table; its Model keeps the vocabulary (at most ``maxTerms``, else the
+  fit raises) and builds the weighted block as a SparseVector inside each row,
+  so a fitted pipeline also transforms a stream.
 
 All are ``DefaultParamsWritable`` so a fitted ``PipelineModel`` saves and loads,
 and each exposes ``get_feature_names_out``.
@@ -65,22 +66,24 @@ class _TfidfParams(HasInputCol, HasOutputCol):
 
 
 class TfidfBlock(Estimator, _TfidfParams, DefaultParamsReadable, DefaultParamsWritable):
+    maxTerms = Param(Params._dummy(), "maxTerms", "most terms the model may hold", typeConverter=TypeConverters.toInt)
+
     @keyword_only
-    def __init__(self, inputCol=None, outputCol=None, idCol="row_id", config="{}", weight=1.0):
+    def __init__(self, inputCol=None, outputCol=None, idCol="row_id", config="{}", weight=1.0, maxTerms=1 << 20):
         super().__init__()
-        self._setDefault(idCol="row_id", config="{}", weight=1.0)
+        self._setDefault(idCol="row_id", config="{}", weight=1.0, maxTerms=1 << 20)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "TfidfBlockModel":
+        from vitrine.operators import rowvec
         from vitrine.operators import vectorize as V
         cfg = V.VectorizerConfig(**json.loads(self.getOrDefault(self.config)))
-        fitted = V.fit(df, self.getOrDefault(self.idCol), F.col(self.getInputCol()), cfg)
-        rows = fitted.vocab.select("term", "idx", "idf").orderBy("idx").collect()  # <= max_features rows
-        m = TfidfBlockModel(inputCol=self.getInputCol(), outputCol=self.getOutputCol(),
-                            idCol=self.getOrDefault(self.idCol), config=self.getOrDefault(self.config),
-                            weight=self.getOrDefault(self.weight),
-                            vocabulary=json.dumps([[r["term"], r["idf"]] for r in rows]))
-        return m
+        block = rowvec.fit_block(df, self.getOutputCol(), F.col(self.getInputCol()), cfg, id_col=self.getOrDefault(self.idCol),
+                                 max_terms=self.getOrDefault(self.maxTerms))
+        return TfidfBlockModel(inputCol=self.getInputCol(), outputCol=self.getOutputCol(),
+                               idCol=self.getOrDefault(self.idCol), config=self.getOrDefault(self.config),
+                               weight=self.getOrDefault(self.weight),
+                               vocabulary=json.dumps(list(zip(block.terms, block.idf, strict=True))))
 
 
 class TfidfBlockModel(Model, _TfidfParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -96,14 +99,10 @@ class TfidfBlockModel(Model, _TfidfParams, DefaultParamsReadable, DefaultParamsW
         return [t for t, _ in json.loads(self.getOrDefault(self.vocabulary))]
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        from vitrine.operators import rowvec
         from vitrine.operators import vectorize as V
         cfg = V.VectorizerConfig(**json.loads(self.getOrDefault(self.config)))
         vocab = json.loads(self.getOrDefault(self.vocabulary))
-        vdf = df.sparkSession.createDataFrame([(t, i, float(idf)) for i, (t, idf) in enumerate(vocab)],
-                                              "term STRING, idx INT, idf DOUBLE")
-        id_col = self.getOrDefault(self.idCol)
-        counts = V.term_counts(V.analyze(df, id_col, F.col(self.getInputCol()), cfg), id_col)
-        long = V.weigh(V.join_vocabulary(counts, vdf, cfg), id_col, cfg)
-        long = long.withColumn("weight", F.col("weight") * F.lit(self.getOrDefault(self.weight)))
-        vecs = V.to_vectors(long, id_col, max(len(vocab), 1), self.getOutputCol())
-        return df.join(vecs, id_col, "left")
+        block = rowvec.FittedBlock(self.getOutputCol(), F.col(self.getInputCol()), cfg, [t for t, _ in vocab], [float(i) for _, i in vocab],
+                                   self.getOrDefault(self.weight))
+        return rowvec.row_vectors(df, [block], out_col=self.getOutputCol())

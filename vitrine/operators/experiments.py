@@ -12,7 +12,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import features as tf
@@ -20,6 +20,7 @@ from vitrine.functions import text as tx
 from vitrine.functions.numeric import rewrite_numeric
 from vitrine.operators import evaluate as ev
 from vitrine.operators import models as mdl
+from vitrine.operators import rowvec
 from vitrine.operators import split as sp
 from vitrine.operators import vectorize as V
 from vitrine.functions import fixed
@@ -71,14 +72,14 @@ UNITS = ["nb_digits_text", "contains_numerotation", "has_any_unit"]
 LENGTHS = ["designation_len_char", "designation_len_words", "description_len_char", "description_len_words"]
 
 
-def feature_columns(data: DataFrame, names: list[str]) -> DataFrame:
-    """(row_id, split, names): text features of a column (TXF03), or keyword
+def feature_columns(data: DataFrame, names: list[str], keep: tuple = ("row_id", "split")) -> DataFrame:
+    """(keep, names): text features of a column (TXF03), or keyword
     families and unit flags of the merged lower-cased text (TXF05-06)."""
     merged = data.withColumn("__merged", F.lower(F.concat_ws(" ", "designation", "description")))
     by_name = {}
     if set(names) & {*KEYWORDS, *UNITS}:
         by_name = dict(zip([*KEYWORDS, *UNITS], [*tf.keyword_columns(F.col("__merged")), *tf.unit_columns(F.col("__merged"))], strict=True))
-    return merged.select("row_id", "split", *(by_name[n] if n in by_name else tf.feature_column(n) for n in names))
+    return merged.select(*keep, *(by_name[n] if n in by_name else tf.feature_column(n) for n in names))
 
 
 def three_way(lst: DataFrame, seed: int = 42, test_size: float = 0.15, val_size: float = 0.15) -> DataFrame:
@@ -95,15 +96,15 @@ def with_labels(lst: DataFrame, seed: int = 42, test_size: float = 0.2) -> DataF
     return sp.stratified_split(x, "row_id", "prdtypecode", test_size, seed, test_name="val", train_name="train")
 
 
-def cleaned_texts(data: DataFrame, cfg: ExperimentConfig) -> DataFrame:
-    """(row_id, split, title_clean, desc_clean) by the configuration's rules, or
-    (row_id, split, text_clean) by a cleaner of whole listings."""
+def cleaned_texts(data: DataFrame, cfg: ExperimentConfig, keep: tuple = ("row_id", "split")) -> DataFrame:
+    """(keep, title_clean, desc_clean) by the configuration's rules, or
+    (keep, text_clean) by a cleaner of whole listings."""
     if cfg.cleaner != "rules":
         from vitrine.functions.text import archive_global_cleaner, granular_cleaner
         merged = F.concat_ws(" ", F.coalesce("designation", F.lit("")), F.coalesce("description", F.lit("")))
         apply = {"archive": archive_global_cleaner, "granular": granular_cleaner}[cfg.cleaner]
-        return data.select("row_id", "split", apply(F.trim(merged), **cfg.clean).alias("text_clean"))
-    out = data.select("row_id", "split", tx.clean_text(F.col("designation"), **cfg.clean).alias("title_clean"),
+        return data.select(*keep, apply(F.trim(merged), **cfg.clean).alias("text_clean"))
+    out = data.select(*keep, tx.clean_text(F.col("designation"), **cfg.clean).alias("title_clean"),
                       tx.clean_text(F.col("description"), **cfg.clean).alias("desc_clean"))
     if cfg.numeric_tokens:
         for c in ("title_clean", "desc_clean"):
@@ -111,6 +112,12 @@ def cleaned_texts(data: DataFrame, cfg: ExperimentConfig) -> DataFrame:
     return out
 
 
+def text_column(cfg: ExperimentConfig, part: str) -> Column:
+    """A block's text in ``cleaned_texts``."""
+    merged = F.concat_ws(" ", F.col("title_clean"), F.col("desc_clean")) if cfg.cleaner == "rules" else F.col("text_clean")
+    return merged if part == "text" else F.col({"title": "title_clean", "description": "desc_clean"}[part])
+
+
 @dataclass
 class FeatureTable:
     """Fitted blocks of a configuration: (row_id, idx, weight, block) rows, the
@@ -166,8 +173,7 @@ class BlockCache:
     def block(self, cfg: ExperimentConfig, part: str, vec: V.VectorizerConfig) -> tuple[DataFrame, DataFrame, int]:
         """(weighed rows, vocabulary, its size) of one text under one vectoriser."""
         text_key, texts = self.texts(cfg)
-        merged = F.concat_ws(" ", F.col("title_clean"), F.col("desc_clean")) if cfg.cleaner == "rules" else F.col("text_clean")
-        text = merged if part == "text" else F.col({"title": "title_clean", "description": "desc_clean"}[part])
+        text = text_column(cfg, part)
         counts_key = ("counts", text_key, part, vec.analyzer, tuple(vec.ngram_range), vec.lowercase)
         counts = self.once(counts_key, lambda: V.term_counts(V.analyze(texts, "row_id", text, vec), "row_id").cache())
 
@@ -232,29 +238,65 @@ def feature_table(data: DataFrame, cfg: ExperimentConfig, cache: BlockCache | No
     return FeatureTable(long, max(offset, 1), offsets, terms)
 
 
+@dataclass
+class RowVectors:
+    """One configuration's vectors: (row_id, label, split, features), cached, the
+    vector size and (block, idx, term) names."""
+    rows: DataFrame
+    size: int
+    names: list[tuple[str, int, str]]
+
+
+def row_vectors(data: DataFrame, cfg: ExperimentConfig) -> RowVectors:
+    """The configured blocks, fitted on the rows of ``fit_on`` only, as vectors
+    built inside each row: the texts are cleaned once, and nothing is joined or
+    regrouped by row.  A sweep uses ``BlockCache`` instead, which shares blocks."""
+    spark = data.sparkSession
+    keep = ("row_id", "label", "split")
+    fcols = list(cfg.feature_cols or FEATURE_COLS) if cfg.use_features or cfg.strategy == "features" else []
+    parts = text_blocks(cfg)
+    table = feature_columns(data, fcols, (*keep, "designation", "description")) if fcols else data
+    table = cleaned_texts(table, cfg, (*keep, *fcols)) if parts else table.select(*keep, *fcols)
+    table = table.cache()
+    train = table.filter(F.col("split").isin(*cfg.fit_on))
+    blocks = [rowvec.fit_block(train, name, text_column(cfg, part), vec, weight) for name, part, weight, vec in parts]
+    if fcols:
+        scaled = tf.apply_standard_scaler(tf.fit_standard_scaler(train, fcols))
+        source = table.select(*(c for c in table.columns if c not in fcols), *scaled)
+    else:
+        source = table
+    out = rowvec.row_vectors(source, blocks, fcols).select(*keep, "features")
+    # the fit makes one pass per iteration: spread the vectors over the cluster's cores
+    out = out.repartition(spark.sparkContext.defaultParallelism).cache()
+    out.count()
+    table.unpersist()
+    first = rowvec.offsets(blocks)
+    names = [(b.name, first[b.name] + i, t) for b in blocks for i, t in enumerate(b.terms)]
+    names += [("features", first[""] + i, c) for i, c in enumerate(fcols)]
+    return RowVectors(out, max(len(names), 1), names)
+
+
 def run_experiment(data: DataFrame, cfg: ExperimentConfig, n_classes: int, cache: BlockCache | None = None) -> dict:
     """EXP04: one pipeline run -> a result row (metrics + timings + config)."""
-    own = cache is None
-    cache = cache or BlockCache(data)
     if cfg.model == "nb" and (cfg.use_features or cfg.strategy == "features"):
         raise ValueError("complement naive Bayes takes counts or TF-IDF only: scaled features have negative values")
-    table = feature_table(data, cfg, cache)
-    # the fit makes one pass per iteration: spread the vectors over the
-    # cluster's cores (not over spark.sql.shuffle.partitions tiny tasks)
-    par = data.sparkSession.sparkContext.defaultParallelism
-    full = table.vectors(data.select("row_id", "label", "split")).repartition(par).cache()
-    full.count()
+    if cache is None:
+        built = row_vectors(data, cfg)
+        full, size = built.rows, built.size
+    else:
+        table = feature_table(data, cfg, cache)
+        par = data.sparkSession.sparkContext.defaultParallelism
+        full, size = table.vectors(data.select("row_id", "label", "split")).repartition(par).cache(), table.size
+        full.count()
     train, val = full.filter(F.col("split").isin(*cfg.fit_on)), full.filter(F.col("split") == cfg.score_on)
     res = mdl.train_and_evaluate(cfg.model, train, val, n_classes, C=cfg.C, max_iter=cfg.max_iter, balanced=cfg.balanced, **cfg.params)
     m = ev.metrics(ev.confusion(res["predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()
     mt = ev.metrics(ev.confusion(res["train_predictions"].withColumn("g", F.lit(1)), ["g"]), ["g"]).first()  # EVA07
     full.unpersist()
     res["predictions"].unpersist()
-    if own:
-        cache.release()
     return {**cfg.record(), "f1_weighted": float(m["f1_weighted"]), "accuracy": float(m["accuracy"]),
             "f1_macro": float(m["f1_macro"]), "f1_train": float(mt["f1_weighted"]), "fit_s": res["fit_s"],
-            "predict_s": res["predict_s"], "n_features": table.size, "iterations": res["did"].get("iterations"),
+            "predict_s": res["predict_s"], "n_features": size, "iterations": res["did"].get("iterations"),
             "passes": res["did"].get("passes"), "residual": res["did"].get("residual")}
 
 
@@ -271,6 +313,8 @@ PARALLEL_RUNS = 4
 def run_all(spark, data: DataFrame, configs: list[ExperimentConfig], n_classes: int = 27) -> DataFrame:
     """EXP01 / EXP05-09: every configuration on the same cached split, several
     at a time; result rows in the configurations' order."""
+    if len(configs) == 1:
+        return result_rows(spark, [run_experiment(data, configs[0], n_classes)])
     data = data.cache()
     data.count()
     cache = BlockCache(data)
@@ -313,11 +357,8 @@ def svm_path_experiment(spark, data: DataFrame, cfg: ExperimentConfig, cs: list[
     """EXP08: one row per C of a linear SVM on one set of vectors; every fit
     starts at the one of the next smaller C.  ``passes`` counts the passes over
     the data of this C alone."""
-    cache = BlockCache(data)
-    table = feature_table(data, cfg, cache)
-    par = spark.sparkContext.defaultParallelism
-    full = table.vectors(data.select("row_id", "label", "split")).repartition(par).cache()
-    full.count()
+    built = row_vectors(data, cfg)
+    full = built.rows
     train, val = full.filter(F.col("split").isin(*cfg.fit_on)), full.filter(F.col("split") == cfg.score_on)
     rows, last = [], None
     for c in sorted(cs):
@@ -327,9 +368,8 @@ def svm_path_experiment(spark, data: DataFrame, cfg: ExperimentConfig, cs: list[
         res["predictions"].unpersist()
         rows.append({**cfg.record(), "experiment": f"C_{c}", "model": "svm", "C": float(c), "f1_weighted": float(m["f1_weighted"]), "accuracy": float(m["accuracy"]),
                      "f1_macro": float(m["f1_macro"]), "f1_train": float(mt["f1_weighted"]), "fit_s": res["fit_s"], "predict_s": res["predict_s"],
-                     "n_features": table.size, "iterations": last.iterations, "passes": last.passes, "residual": last.residual})
+                     "n_features": built.size, "iterations": last.iterations, "passes": last.passes, "residual": last.residual})
     full.unpersist()
-    cache.release()
     return result_rows(spark, rows)
 
 

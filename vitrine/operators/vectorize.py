@@ -104,18 +104,24 @@ def char_ngram_array(chars: Column, n: int) -> Column:
     return F.when(F.size(chars) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+def text_units(text: Column, cfg: VectorizerConfig) -> Column:
+    """A text's tokens, or its characters: what n-grams are made of."""
+    if cfg.analyzer == "char":
+        return char_prepared(text, cfg.lowercase)
+    return whitespace_tokens(text, cfg.lowercase) if cfg.analyzer == "whitespace" else word_tokens(text, cfg.lowercase)
+
+
+def unit_ngrams(units: Column, cfg: VectorizerConfig) -> Column:
+    """All n-grams of the config (``units`` must be a column reference)."""
+    lo, hi = cfg.ngram_range
+    grams = char_ngram_array if cfg.analyzer == "char" else ngram_array
+    return reduce(F.concat, [grams(units, n) for n in range(lo, hi + 1)])
+
+
 def analyze(df: DataFrame, doc_id: str, text: Column, cfg: VectorizerConfig) -> DataFrame:
     """-> (doc_id, terms ARRAY<STRING>) with all n-grams of the config."""
-    lo, hi = cfg.ngram_range
-    if cfg.analyzer == "char":
-        base = df.select(F.col(doc_id), char_prepared(text, cfg.lowercase).alias("__u"))
-        grams = [char_ngram_array(F.col("__u"), n) for n in range(lo, hi + 1)]
-    else:
-        toks = (whitespace_tokens(text, cfg.lowercase) if cfg.analyzer == "whitespace"
-                else word_tokens(text, cfg.lowercase))
-        base = df.select(F.col(doc_id), toks.alias("__u"))
-        grams = [ngram_array(F.col("__u"), n) for n in range(lo, hi + 1)]
-    return base.select(F.col(doc_id), reduce(F.concat, grams).alias("terms"))
+    base = df.select(F.col(doc_id), text_units(text, cfg).alias("__u"))
+    return base.select(F.col(doc_id), unit_ngrams(F.col("__u"), cfg).alias("terms"))
 
 
 def term_counts(analyzed: DataFrame, doc_id: str) -> DataFrame:

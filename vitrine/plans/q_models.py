@@ -169,17 +169,17 @@ def coefficient_importance(spark, sf_dir):
     first scaled to sum |w| = 1), and the 5 terms per class with the largest |w|
     (tie: idx)."""
     import pandas as pd
-    data = _data(spark, sf_dir).cache()
     cfg = X.ExperimentConfig("coef", clean={"lowercase": True}, max_features=5_000, ngram_range=(1, 1))
-    table = X.feature_table(data, cfg)
-    par = spark.sparkContext.defaultParallelism
-    train = table.vectors(data.filter(F.col("split") == "train").select("row_id", "label")).repartition(par).cache()
+    built = X.row_vectors(_data(spark, sf_dir), cfg)
+    train = built.rows.filter(F.col("split") == "train")
     n = train.count()
     model = mdl.build_model("logreg", n, C=cfg.C).fit(train)
     cm = model.coefficientMatrix.toArray()  # classes x features: bounded by the model, not by rows
     rows = pd.DataFrame({"class_idx": np.repeat(np.arange(cm.shape[0], dtype="int32"), cm.shape[1]),
                          "idx": np.tile(np.arange(cm.shape[1], dtype="int32"), cm.shape[0]), "weight": cm.reshape(-1)})
-    coef = spark.createDataFrame(rows).join(table.terms, "idx")
+    built.rows.unpersist()
+    terms = spark.createDataFrame(pd.DataFrame(built.names, columns=["block", "idx", "term"])).withColumn("idx", F.col("idx").cast("int"))
+    coef = spark.createDataFrame(rows).join(terms, "idx")
     whole = coef.groupBy("class_idx").agg(F.sum(F.abs("weight")).alias("__whole"))  # one row per class
     per_block = (coef.groupBy("class_idx", "block").agg(F.avg(F.abs("weight")).alias("mean_abs")).join(whole, "class_idx")
                  .withColumn("mean_abs_row", F.col("mean_abs") / F.nullif("__whole", F.lit(0.0))).drop("__whole"))
