@@ -68,6 +68,10 @@ def test_odd_rows(spark, docs):
     assert rowvec.row_vectors(odd.limit(0), [block]).count() == 0
     long_text = spark.createDataFrame([(1, "red chair " * 50_000)], "row_id long, a string")
     assert rowvec.row_vectors(long_text, [block]).first().features.numNonzeros() == 4
+    many = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda i: F.concat(F.lit("w"), i)))
+    wide = spark.range(1).select(F.col("id").alias("row_id"), many.alias("a"))
+    block_of_many = rowvec.fit_block(wide, "a", F.col("a"), V.build_vectorizer("tfidf", min_df=1, max_df=1.0, ngram_range=(1, 1), max_features=None))
+    assert rowvec.row_vectors(wide, [block_of_many]).first().features.numNonzeros() == 100_000
     nothing = rowvec.FittedBlock("a", F.col("a"), CONFIGS["tfidf"], [], [])
     assert all(r.features.size == 1 and r.features.numNonzeros() == 0 for r in rowvec.row_vectors(odd, [nothing]).collect())
 

@@ -76,7 +76,8 @@ def _shifted(indices: str, by: int) -> Column:
 
 
 def _scaled(values: str, norm: Column, weight: float) -> Column:
-    return F.transform(values, lambda w: w / norm * weight)
+    # the norm stands beside the values: inside the lambda Spark would inline and compute it per element
+    return F.zip_with(values, F.array_repeat(norm, F.size(values)), lambda w, n: w / n * weight)
 
 
 def row_vectors(df: DataFrame, blocks: list[FittedBlock], dense: list[str] = (), out_col: str = "features") -> DataFrame:
@@ -97,10 +98,9 @@ def row_vectors(df: DataFrame, blocks: list[FittedBlock], dense: list[str] = (),
                      *(_entry_values(b.cfg, f"{n}_c", f"{n}_p").alias(f"{n}_w") for n, b in zip(names, used, strict=True)))
     norms = {n: F.sqrt(F.aggregate(f"{n}_w", F.lit(0.0), lambda a, w: a + w * w)) if b.cfg.kind == "tfidf" and b.cfg.norm == "l2" else F.lit(1.0)
              for n, b in zip(names, used, strict=True)}
-    out = out.select("*", *(norms[n].alias(f"{n}_n") for n in names))
     first = offsets(blocks)
     indices = [_shifted(f"{n}_i", first[b.name]) for n, b in zip(names, used, strict=True)]
-    values = [_scaled(f"{n}_w", F.col(f"{n}_n"), b.weight) for n, b in zip(names, used, strict=True)]
+    values = [_scaled(f"{n}_w", norms[n], b.weight) for n, b in zip(names, used, strict=True)]
     if dense:
         entries = F.array(*(F.struct(F.lit(first[""] + i).alias("i"), F.col(c).cast("double").alias("w")) for i, c in enumerate(dense)))
         out = out.withColumn("__dense", F.filter(entries, lambda e: e.w != 0))
