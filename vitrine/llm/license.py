@@ -59,6 +59,9 @@ EQUIVALENT: tuple[tuple[str, str], ...] = (
 #: A whole line that states a copyright.
 COPYRIGHT_LINE = r"(?m)^[^\nA-Za-z]*(?:copyright\b|\(c\)|\x{a9})[^\n]*(?:[0-9]{4}|\(c\)|\x{a9}|all rights reserved)[^\n]*$"
 
+#: Known digests up to which they are broadcast (some 100 bytes each); beyond, Spark shuffles both sides.
+BROADCAST_ROWS = 1 << 17
+
 
 def canonical(text: Column) -> Column:
     """Canonical text; line breaks stay, blank lines and edges are trimmed."""
@@ -87,10 +90,11 @@ def complete_texts() -> list[tuple[str, str]]:
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
-    """(digest, license_id), one row per distinct canonical text; of ``KNOWN``
-    and the complete texts if ``known`` is None."""
+    """(digest, license_id), one row per distinct canonical text (the first
+    license_id, where two share one); of ``KNOWN`` and the complete texts if
+    ``known`` is None."""
     rows = spark.createDataFrame(list(known) if known is not None else [*KNOWN, *complete_texts()], "license_id string, body string")
-    return rows.select(digest(canonical(F.col("body"))).alias("digest"), "license_id").dropDuplicates(["digest"])
+    return rows.groupBy(digest(canonical(F.col("body"))).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,10 +107,14 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     * Repeated rows, and rows that share an id or have none, add up under it.
     * Extra columns are ignored; an empty table gives an empty result.
     """
-    known = known if known is not None else known_digests(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("__id"), canonical(F.col(text_col).cast("string")).alias("__canonical")).where("__canonical <> ''")
-    lines = F.split("__canonical", "\n")
-    units = texts.select("__id", F.explode(F.concat(F.array(F.struct(F.lit("text").alias("scope"), digest(F.col("__canonical")).alias("digest"))),
-                                                    F.transform(lines, lambda x: F.struct(F.lit("line").alias("scope"), F.sha2(F.trim(x).cast("binary"), 256).alias("digest"))))).alias("unit"))
+    if known is None or known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = F.broadcast(known_digests(docs.sparkSession) if known is None else known)
+    # no filter on the canonical text: Spark would compute it once for the filter and once more for its use
+    texts = docs.select(F.col(id_col).alias("__id"), canonical(F.col(text_col).cast("string")).alias("__canonical"))
+    whole = F.when(F.col("__canonical") != "", digest(F.col("__canonical")))
+    lines = F.filter(F.split("__canonical", "\n"), lambda x: x != "")
+    units = texts.select("__id", F.explode(F.concat(F.array(F.struct(F.lit("text").alias("scope"), whole.alias("digest"))),
+                                                    F.transform(F.coalesce(lines, F.array().cast("array<string>")),
+                                                                lambda x: F.struct(F.lit("line").alias("scope"), F.sha2(F.trim(x).cast("binary"), 256).alias("digest"))))).alias("unit"))
     found = units.select("__id", "unit.scope", "unit.digest").join(known.select("digest", "license_id"), "digest")
     return found.groupBy(F.col("__id").alias(id_col), "license_id", "scope").agg(F.count(F.lit(1)).alias("n"))
