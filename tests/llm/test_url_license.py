@@ -161,3 +161,31 @@ def test_complete_licence_files(spark):
     assert got == Counter((k, i) for k, (i, _) in enumerate(rows))
     changed = [(k, re.sub(r"(?i)without", "with", body)) for k, (i, body) in enumerate(first.items())]
     assert license.scan(spark.createDataFrame(changed, "doc_id long, text string")).where("scope = 'text'").collect() == []
+
+
+def test_sql_knows_the_complete_texts(spark):
+    import duckdb
+    import pandas as pd
+    from vitrine.llm import oracles
+    texts = license.complete_texts()
+    rows = [(i, body if i % 2 else body.replace("\n", "  \n ").upper()) for i, (_, body) in enumerate(texts)]
+    rows += [(len(rows), "Released under the MIT License.\nnothing\nLicensed under the MIT License"), (len(rows) + 1, None), (len(rows) + 2, "")]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = sorted(con.execute(oracles.OP3).fetchall())
+    got = sorted(tuple(r) for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "license_id", "scope", "n").collect())
+    assert got == want and {r[0] for r in got if r[2] == "text"} == set(range(len(texts)))
+
+
+def test_a_given_table_of_digests(spark, monkeypatch):
+    digests = spark.createDataFrame([("a", "one two"), ("b", "One, two!"), ("c", "three")], "license_id string, body string")
+    known = digests.select(license.digest(license.canonical("body")).alias("digest"), "license_id")
+    ties = known.groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    df = spark.createDataFrame([(1, "ONE TWO\nfour"), (2, "three"), (3, None)], "doc_id long, text string")
+    want = [(1, "a", "line", 1), (2, "c", "line", 1), (2, "c", "text", 1)]
+    assert license.known_digests(spark, (("b", "One, two!"), ("a", "one two"))).collect()[0].license_id == "a"
+    for rows in (license.BROADCAST_ROWS, 0):  # broadcast, and beyond the bound
+        monkeypatch.setattr(license, "BROADCAST_ROWS", rows)
+        assert sorted(tuple(r) for r in license.scan(df, ties).collect()) == want
+    assert license.scan(df, ties.limit(0)).collect() == []

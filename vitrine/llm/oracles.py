@@ -114,12 +114,17 @@ def op3() -> str:
         out = f"regexp_replace({out}, ' *\\n[ \\n]*', chr(10), 'g')"
         return f"trim(regexp_replace({out}, '^\\n|\\n$', '', 'g'), ' ')"
 
-    known = ", ".join("('{}', '{}')".format(i, body.replace("'", "''")) for i, body in license.KNOWN)
+    def whole(body: str) -> str:
+        out = f"regexp_replace({body}, '\\bcopyright\\n(?:owner|holder)(s?)\\b', 'copyright holder\\1', 'g')"
+        out = f"regexp_replace({out}, '\\b(?:version|ver|v)\\n([0-9])', 'version \\1', 'g')"
+        return f"replace({out}, chr(10), ' ')"
+
+    known = ", ".join("('{}', '{}')".format(i, body.replace("'", "''")) for i, body in [*license.KNOWN, *license.complete_texts()])
     return f"""
-WITH known AS (SELECT min(license_id) AS license_id, replace(body, chr(10), ' ') AS body
-  FROM (SELECT license_id, {canonical('body')} AS body FROM (VALUES {known}) AS v(license_id, body)) GROUP BY 2),
+WITH known AS (SELECT min(license_id) AS license_id, body
+  FROM (SELECT license_id, {whole(canonical('body'))} AS body FROM (VALUES {known}) AS v(license_id, body)) GROUP BY 2),
 c AS (SELECT doc_id, {canonical("coalesce(text, '')")} AS body FROM documents),
-units AS (SELECT doc_id, 'text' AS scope, replace(body, chr(10), ' ') AS body FROM c WHERE body <> ''
+units AS (SELECT doc_id, 'text' AS scope, {whole('body')} AS body FROM c WHERE body <> ''
   UNION ALL SELECT doc_id, 'line', trim(unnest(string_split(body, chr(10))), ' ') FROM c WHERE body <> '')
 SELECT doc_id, license_id, scope, count(*) AS n FROM units JOIN known USING (body) GROUP BY ALL"""
 
