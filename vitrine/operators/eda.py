@@ -103,15 +103,25 @@ def keyword_rate_by(df: DataFrame, text: Column, keywords: list[str], by: str) -
     return wide.selectExpr(by, f"stack({len(keywords)}, {stack}) AS (keyword, rate)")
 
 
+def row_digest(keys: list[str]) -> Column:
+    """SHA-256 of the keys' values as 32 bytes; NULL and empty, and values that
+    only together read alike, differ."""
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.unhex(F.sha2(F.concat_ws(",", *parts).cast("binary"), 256))
+
+
 def duplicate_groups(df: DataFrame, keys: list[str], id_col: str = "row_id") -> DataFrame:
-    """AGG08 / JON04: per row, the size of its duplicate group and a flag.
+    """AGG08 / JON04: per row, the size of its duplicate group and a flag; rows
+    alike in all keys (NULL equals NULL) are one group.
 
-    groupBy + join back (not a window): the count is a partial aggregate, and
-    AQE splits a hot duplicate group on the join side.
+    Groups are counted and joined by digest, so no text is a shuffle key, and
+    only groups of two and more come back to the rows: AQE broadcasts them where
+    they are few and splits a hot one.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count"))
-    return (join_on(df, sizes, keys)
-              .select(id_col, *keys, "dup_count", (F.col("dup_count") > 1).alias("is_duplicate")))
+    told = df.select(id_col, *keys, row_digest(keys).alias("__digest"))
+    groups = told.groupBy("__digest").agg(F.count(F.lit(1)).alias("dup_count")).where("dup_count > 1")
+    n = F.coalesce("dup_count", F.lit(1).cast("long"))
+    return told.join(groups, "__digest", "left").select(id_col, *keys, n.alias("dup_count"), (n > 1).alias("is_duplicate"))
 
 
 def exact_describe(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -234,6 +234,43 @@ def cleaning_config_lengths(spark, sf_dir):
         "config", F.round("avg_length", R).alias("avg_length"))
 
 
+#: Rules and combinations beside ``_CONFIGS`` that SQL can state.
+_MERGE_FLAGS = {"merge_dimensions": "dims", "merge_units": "units", "merge_durations": "durations", "merge_age_ranges": "ages", "tag_years": "years"}
+_RULE_CONFIGS = {
+    "raw": {},
+    "normalize_unicode": {"normalize_unicode": True},
+    **{flag: {flag: True} for flag in _MERGE_FLAGS},
+    "remove_single_letters": {"remove_single_letters": True},
+    "remove_single_digits": {"remove_single_digits": True},
+    "remove_pure_punct_tokens": {"remove_pure_punct_tokens": True},
+    "all_merges": {flag: True for flag in _MERGE_FLAGS if flag.startswith("merge")},
+}
+
+
+def _rule_lengths_sql() -> str:
+    from vitrine.plans.q_text import _sql_rules, _sql_token_filter
+    t = "text"
+    merged = t
+    for flag in _RULE_CONFIGS["all_merges"]:
+        merged = _sql_rules(merged, fixed.MERGE_RULES[_MERGE_FLAGS[flag]])
+    exprs = {"raw": t, "normalize_unicode": f"nfc_normalize({t})", **{flag: _sql_rules(t, fixed.MERGE_RULES[k]) for flag, k in _MERGE_FLAGS.items()},
+             "remove_single_letters": _sql_token_filter(t, letters=True), "remove_single_digits": _sql_token_filter(t, digits=True),
+             "remove_pure_punct_tokens": _sql_token_filter(t, punct=True), "all_merges": merged}
+    cols = ", ".join(f"round(avg(length({S.collapse_ws(e)})), {R}) AS \"{k}\"" for k, e in exprs.items())
+    return (S.with_(S.LISTING_PART, "d AS (SELECT coalesce(description, '') AS text FROM listing_part)")
+            + f"SELECT * FROM (SELECT {cols} FROM d) UNPIVOT (avg_length FOR config IN (" + ", ".join(f'"{k}"' for k in exprs) + "))")
+
+
+@query("cleaning_rule_lengths", ops=("AGG13", "CLN25"), sql=_rule_lengths_sql())
+def cleaning_rule_lengths(spark, sf_dir):
+    """Average length per rule on the number-rich listings, where the merges fire."""
+    text = F.coalesce("description", F.lit(""))
+    lengths = views.listing_part(spark, sf_dir).select(*[F.length(tx.clean_text(text, **flags)).alias(k) for k, flags in _RULE_CONFIGS.items()])
+    wide = lengths.agg(*[F.avg(k).alias(k) for k in _RULE_CONFIGS])
+    stack = ", ".join(f"'{k}', `{k}`" for k in _RULE_CONFIGS)
+    return wide.selectExpr(f"stack({len(_RULE_CONFIGS)}, {stack}) AS (config, avg_length)").select("config", F.round("avg_length", R).alias("avg_length"))
+
+
 def _summary_sql() -> str:
     feats = {n: e for col in ("designation", "description") for n, e in S.text_features(col)}
     cols = []

@@ -390,3 +390,13 @@ def experiment_report(spark, sf_dir):
     rep = hist.improvement_report(res, FINDINGS)
     return rep.select("finding", "from_exp", "to_exp", *[F.round(c, R).alias(c) for c in ("from_score", "to_score", "improvement_pct")],
                       F.lit(ok).alias("weighted_is_best"))
+
+
+@query("run_score_histogram", ops=("AGG15", "EXP12"),
+       sql=S.with_(*EPOCH_LOG_SQL, "b AS (SELECT min(val_f1) AS lo, max(val_f1) AS hi FROM epoch_log)")
+       + "SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((val_f1 - b.lo) / ((b.hi - b.lo) / 20)), 19) END AS INTEGER) AS bin, "
+         "count(*) AS count FROM epoch_log, b GROUP BY ALL")
+def run_score_histogram(spark, sf_dir):
+    """Scores of all runs in 20 equal bins."""
+    from vitrine.operators.eda import histogram
+    return histogram(views.epoch_log(spark, sf_dir), "val_f1", 20).select("bin", "count")
