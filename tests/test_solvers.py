@@ -189,3 +189,18 @@ def test_version_configs_add_up():
     assert on("v0_no_cleaning") == set() and on("v1_basic") < on("v2_structural") < on("v3_boilerplate")
     assert on("v4_no_digits") - on("v3_boilerplate") == {"remove_single_digit"} and on("v5_no_letters") - on("v3_boilerplate") == {"remove_single_letter"}
     assert mdl.build_model("svm", 10) is None
+
+
+def test_classes_solved_in_groups_equal_all_together(sparse, monkeypatch):
+    """No matrix that the driver sends or gets exceeds the group's numbers."""
+    _, _, df = sparse
+    blocks = linear.row_blocks(df, K)
+    fits = lambda: [linear.fit_ridge(blocks, max_iter=2), linear.fit_svm(blocks, 0.3, max_newton=1, max_inner=2)]
+    whole = fits()
+    monkeypatch.setattr(linear, "GROUP_NUMBERS", D + 1)
+    sent_widths = []
+    totals = blocks.totals
+    blocks.totals = lambda work, n, width, **sent: (sent_widths.extend(m.shape[1] for m in sent.values()), totals(work, n, width, **sent))[1]
+    for want, got in zip(whole, fits(), strict=True):
+        assert got.iterations == want.iterations and np.allclose(got.weights, want.weights, atol=1e-9) and np.allclose(got.intercepts, want.intercepts, atol=1e-9)
+    assert set(sent_widths) == {1}
