@@ -18,12 +18,15 @@ from vitrine.sources import views
 from vitrine.sources.store import new_folder
 
 
+#: Files of a micro-batch: enough for the cluster's cores.
+FILES_PER_TRIGGER = 64
+
+
 def listing_features_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/documents.parquet"
     schema = spark.read.parquet(path).schema
-    # a file stream reads a directory; the glob filter keeps the one table
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                   .option("pathGlobFilter", "documents.parquet").parquet(sf_dir.rstrip("/")))
+    # the table is a file or a folder of files; a stream takes either by pattern
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(f"{path[:-1]}[{path[-1]}]")
     lst = views.listing_doc_from(stream.select("doc_id", "text", "source", "lang"))
     cleaned = lst.select("row_id", "category",
                          tx.native_final_cleaner(F.col("designation")).alias("designation"),
