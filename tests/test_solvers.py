@@ -204,3 +204,32 @@ def test_classes_solved_in_groups_equal_all_together(sparse, monkeypatch):
     for want, got in zip(whole, fits(), strict=True):
         assert got.iterations == want.iterations and np.allclose(got.weights, want.weights, atol=1e-9) and np.allclose(got.intercepts, want.intercepts, atol=1e-9)
     assert set(sent_widths) == {1}
+
+
+def test_products_hold_no_entries_times_classes():
+    """A block of 200,000 entries and 400 classes: entries x classes doubles would be 640 MB."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    n, width, k = 500, 400, 400
+    columns = np.concatenate([np.sort(rng.choice(3000, width, replace=False)) for _ in range(n - 1)])
+    counts, values = np.append(np.full(n - 1, width), 0), rng.normal(size=len(columns))
+    used, own = np.unique(columns, return_inverse=True)
+    block = linear.Block(counts, own, values, used, np.argsort(own, kind="stable"), np.zeros(n))
+    x = np.zeros((n, 3000))
+    x[np.repeat(np.arange(n), counts), columns] = values
+    m, r = rng.normal(size=(3000, k)), rng.normal(size=(n, k))
+    tracemalloc.start()
+    through, back = block.times(m), block.back(r)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(through, x @ m) and np.allclose(back, (x.T @ r)[used]) and np.allclose(block.back_squared(), (x ** 2).sum(0)[used])
+    assert peak < 100e6
+
+
+def test_predictions_are_scored_in_parts(sparse, monkeypatch):
+    x, _, df = sparse
+    monkeypatch.setattr(linear, "SCORE_ENTRIES", 40)
+    rng = np.random.default_rng(5)
+    model = linear.LinearModel(rng.normal(size=(D, K)), rng.normal(size=K))
+    got = linear.predict(model, df).select("features", "prediction").collect()
+    assert len(got) == N and all(r.prediction == (r.features.toArray() @ model.weights + model.intercepts).argmax() for r in got)
