@@ -1,5 +1,6 @@
 """What the configurations of a sweep share."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -29,3 +30,27 @@ def test_fewer_terms_are_the_first_of_more(spark):
     for n in (1, 2, 3, 4, 5):
         got, want = rowvec.most_frequent(fit(6), n), fit(n)
         assert (got.terms, got.idf, got.totals) == (want.terms, want.idf, want.totals)
+
+
+def test_texts_are_counted_once_for_weights_and_sizes(spark, monkeypatch):
+    """Vectors from shared counts are those of each configuration alone."""
+    from vitrine.operators import rowvec
+    rows = [(i, float(i % 2), "val" if i % 5 == 0 else "train", t, d) for i, (t, d) in enumerate([("red car car", "fast red car"), ("blue car", None), ("red bus red", "slow bus bus"), (None, "blue bus fast"), ("", ""), ("blue red", "car red red bus")] * 3)]
+    data = spark.createDataFrame(rows, "row_id long, label double, split string, designation string, description string").cache()
+    counted = []
+    count_columns = rowvec.count_columns
+    monkeypatch.setattr(rowvec, "count_columns", lambda *a, **kw: (counted.append(1), count_columns(*a, **kw))[1])
+    cfgs = [X.ExperimentConfig(f"{v}_{n}_{w}_{f}", vectorizer=v, max_features=n, title_weight=w, use_features=f) for v, n, w, f in (("tfidf", 3, 1.0, False), ("tfidf", 9, 2.0, True), ("count", 5, 1.0, False))]
+    terms = X.TermCache(cfgs)
+    counts = X.CountCache(data, cfgs, terms)
+    for cfg in cfgs:
+        shared, n = X.row_vectors(data, cfg, terms, counts), len(counted)
+        assert n == 1  # that of the first configuration
+        alone = X.row_vectors(data, cfg)
+        counted.clear()
+        counted.append(1)
+        found, want = ({r.row_id: r.features for r in v.rows.collect()} for v in (shared, alone))
+        assert len(found) == 18 and found.keys() == want.keys() and shared.names == alone.names
+        for k, v in found.items():  # the scaler's sums are added in another order
+            assert list(v.indices) == list(want[k].indices) and np.allclose(v.values, want[k].values, rtol=1e-12)
+    assert not counts._kept
