@@ -54,3 +54,21 @@ def test_texts_are_counted_once_for_weights_and_sizes(spark, monkeypatch):
         for k, v in found.items():  # the scaler's sums are added in another order
             assert list(v.indices) == list(want[k].indices) and np.allclose(v.values, want[k].values, rtol=1e-12)
     assert not counts._kept
+
+
+def test_feature_columns_are_computed_once_for_a_sweep(spark, monkeypatch):
+    """Sets of feature columns without texts share one computation, and have the vectors of each alone."""
+    rows = [(i, float(i % 2), "val" if i % 5 == 0 else "train", t, d) for i, (t, d) in enumerate([("red car 12", "fast red car 3 cm"), ("blue car", None), (None, "n° 5"), ("", "")] * 4)]
+    data = spark.createDataFrame(rows, "row_id long, label double, split string, designation string, description string").cache()
+    made = []
+    feature_columns = X.feature_columns
+    monkeypatch.setattr(X, "feature_columns", lambda *a, **kw: (made.append(1), feature_columns(*a, **kw))[1])
+    cfgs = [X.ExperimentConfig(f"f{k}", strategy="features", feature_cols=cols) for k, cols in enumerate((X.UNITS, X.UNITS + X.LENGTHS, X.LENGTHS))]
+    terms = X.TermCache(cfgs)
+    counts = X.CountCache(data, cfgs, terms)
+    shared = [X.row_vectors(data, cfg, terms, counts) for cfg in cfgs]
+    assert len(made) == 1 and not counts._kept
+    for cfg, got in zip(cfgs, shared, strict=True):
+        want = {r.row_id: r.features.toArray() for r in X.row_vectors(data, cfg).rows.collect()}
+        found = {r.row_id: r.features.toArray() for r in got.rows.collect()}
+        assert found.keys() == want.keys() and all(np.allclose(v, want[k], rtol=1e-12, atol=1e-12) for k, v in found.items())
