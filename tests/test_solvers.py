@@ -132,6 +132,41 @@ def test_trees_equal_a_plain_booster(spark, monkeypatch):
     assert (seen.label == seen.prediction).mean() > 0.9
 
 
+def test_trees_of_many_tasks_and_class_groups(spark, monkeypatch):
+    """Small blocks, more tasks than cores and a job for each class give the same trees."""
+    monkeypatch.setattr(boosting, "BLOCK_ENTRIES", 40)
+    monkeypatch.setattr(boosting, "RANGE", 1)
+    monkeypatch.setattr(boosting, "TASK_ENTRIES", 30)
+    monkeypatch.setattr(boosting, "HELD_NUMBERS", 130)
+    rng = np.random.default_rng(6)
+    n, d = 120, 12
+    x = np.where(rng.random((n, d)) < 0.3, np.round(rng.normal(size=(n, d)), 1), 0)
+    x[:, 7] = x[:, 2]  # ties go to the smaller feature
+    x[:5] = 0
+    y = (x[:, 2] > 0.1).astype(int) + (x[:, 1] > 0.3)
+    rows = [(float(y[i]), Vectors.sparse(d, np.flatnonzero(x[i]).tolist(), x[i][np.flatnonzero(x[i])].tolist())) for i in range(n)]
+    model = boosting.fit(spark.createDataFrame(rows, ["label", "features"]).repartition(3), 3, n_rounds=2, max_depth=3, n_bins=8)
+    assert model.jobs > 2 * 3  # levels
+    assert not any(f == 7 for trees in model.rounds for t in trees for f, left in zip(t.feature, t.left) if left)
+    binned = np.stack([model.bins.of(np.full(n, f), x[:, f]) for f in range(d)], axis=1)
+    at = [np.flatnonzero(r) for r in x]
+    got = model.scores(np.array([len(a) for a in at]), np.concatenate(at).astype(np.int32), np.concatenate([x[i][a] for i, a in enumerate(at)]))
+    assert np.allclose(got, brute_trees(binned, y, 3, 2, 3), atol=1e-9)
+
+
+def test_a_level_moves_rows_times_classes(spark):
+    """What goes to the tasks of features does not grow with the rows' entries."""
+    class Sent:
+        value = (np.zeros(4000, np.int32), [], [boosting.Tree.root() for _ in range(3)], [[0]] * 3, [0, 1, 2], {0: 0})
+
+    def moved(width):
+        counts = np.full(10, width)
+        rows = boosting.Rows.of(counts, np.tile(np.arange(width), 10), np.ones(10 * width, int), Sent.value[0])
+        block = boosting._block(0, 10, [x.astype("<i4").tobytes() for x in (rows.row, rows.column, rows.bin, np.zeros(10))] + [np.zeros((10, 3)).tobytes()])
+        return sum(len(x.as_buffer()) for b in boosting._state_batches(Sent, 3)(iter([block])) for c in b.columns[1:] for x in c)
+    assert moved(4) == moved(4000) == 10 * (3 * (8 + 2) + 4)
+
+
 def test_trees_without_rows(spark):
     empty = spark.createDataFrame([(0.0, Vectors.sparse(3, [], []))], ["label", "features"]).where("label > 0")
     assert boosting.fit(empty, 2, n_features=3).rounds == []
