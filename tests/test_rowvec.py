@@ -113,3 +113,12 @@ def test_a_single_run_equals_the_one_of_a_sweep(spark):
         np.testing.assert_allclose(got[i], want[i], rtol=1e-9, atol=1e-9)
     cache.release()
     data.unpersist()
+
+
+def test_a_vocabulary_goes_to_the_jvm_at_once(spark, monkeypatch):
+    """No call for each term, whatever characters the terms hold."""
+    monkeypatch.setattr(rowvec.CountVectorizerModel, "from_vocabulary", None)
+    for terms in (["a", "b c", "é"], ["\n", "a\n", "b"], ["a\n\x00", "", "b"]):
+        table = spark.createDataFrame([([terms[0], terms[2], terms[2], "other"],), ([],)], "t array<string>")
+        rows = rowvec._counter(terms, "t", "n").transform(table).collect()
+        assert [list(r.n.toArray()) for r in rows] == [[1.0, 0.0, 2.0], [0.0, 0.0, 0.0]]
