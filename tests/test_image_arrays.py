@@ -192,3 +192,29 @@ def test_union_is_standardised(spark, tables, pictures):
     assert x.shape == (12, 1 + 5 + 6 + 48 + 1 + 9 + 2) and np.isfinite(x).all()
     spread = x.std(0)
     assert np.allclose(x.mean(0), 0, atol=1e-6) and ((np.abs(spread - 1) < 1e-6) | (spread < 1e-6)).all()
+
+
+def test_pca_of_images_needs_no_table_of_their_numbers(spark, monkeypatch):
+    """The axes of the kernel's products are those of the written numbers; kernels see few images at a time."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 256, (300, 8, 8))
+    images = spark.createDataFrame([(i, p.reshape(-1).tolist()) for i, p in enumerate(x)], "image_id long, pixels array<int>").repartition(5)
+    kernel = lambda p: np.stack([p.mean(axis=(1, 2)), p[:, 0].sum(axis=1) * 2.0, p.max(axis=(1, 2)) * 1.0, np.full(len(p), 7.0)], axis=1)
+    monkeypatch.setattr(ia, "GRAM_ROWS", 3)
+    rows = kernel(x)
+    scaled = (rows - rows.mean(0)) / np.where(rows.std(0) > 0, rows.std(0), 1.0)
+    weights, offset, variances = ia.fit_image_pca(images, 8, 1, kernel, 2)
+    want = np.sort(np.linalg.eigvalsh(scaled.T @ scaled))[::-1][:2] / 299
+    np.testing.assert_allclose(variances, want, rtol=1e-9)
+    old = ia.fit_pca(ia.map_images(images, 8, 1, {"n": kernel}), "n", 2)
+    np.testing.assert_allclose(rows @ weights + offset, rows @ old[0] + old[1], atol=1e-6)
+    monkeypatch.setattr(ia, "BATCH_PIXELS", 640)
+
+    def small(p):
+        assert len(p) <= 10
+        return kernel(p)
+    assert ia.image_products(images, 8, 1, small)[0] == 300 and ia.map_images(images, 8, 1, {"n": small}).count() == 300
+    assert ia.image_products(images.limit(0), 8, 1, kernel)[0] == 0
+    monkeypatch.setattr(ia, "GRAM_FEATURES", 3)
+    with pytest.raises(Exception, match="exceed"):
+        ia.image_products(images, 8, 1, kernel)

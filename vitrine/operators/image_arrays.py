@@ -23,6 +23,13 @@ from vitrine.operators.images import COLOR_LABELS
 #: Most products of the discriminants' conjugate gradients.
 MAX_STEPS = 200
 
+#: Pixels whose images go through the kernels together.
+BATCH_PIXELS = 1 << 16
+#: Features up to which all their products are summed in one pass.
+GRAM_FEATURES = 1 << 11
+#: Rows of that matrix which a task sends, or adds up, together.
+GRAM_ROWS = 1 << 7
+
 Kernel = Callable[[np.ndarray], np.ndarray]
 
 
@@ -193,21 +200,32 @@ def lists(x: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1), kind))
 
 
+def _step(size: int, channels: int) -> int:
+    return max(1, BATCH_PIXELS // (size * size * channels))
+
+
+def _images(batches: Iterator[pa.RecordBatch], size: int, channels: int, step: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(ids, images) of (image_id, pixels) batches, ``step`` images at a time: a
+    kernel's numbers are many times its images'."""
+    pixels = size * size * channels
+    for whole in batches:
+        for at in range(0, whole.num_rows, step):
+            batch = whole.slice(at, step)
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            if len(flat) != batch.num_rows * pixels:
+                raise ValueError(f"an image has not {size} x {size} x {channels} values")
+            yield batch.column(0), flat.reshape(batch.num_rows, size, size, *([channels] if channels > 1 else []))
+
+
 def map_images(df: DataFrame, size: int, channels: int, kernels: dict[str, Kernel], kind: str = "double") -> DataFrame:
     """(image_id, one array per kernel) of (image_id, pixels), all kernels on
-    each Arrow batch.  Every image must have ``size * size * channels`` values;
+    part of an Arrow batch.  Every image must have ``size * size * channels`` values;
     NULL pixels raise."""
-    value = {"double": pa.float64(), "int": pa.int32()}[kind]
+    value, step = {"double": pa.float64(), "int": pa.int32()}[kind], _step(size, channels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            if len(flat) != batch.num_rows * size * size * channels:
-                raise ValueError(f"an image has not {size} x {size} x {channels} values")
-            x = flat.reshape(batch.num_rows, size, size, *([channels] if channels > 1 else []))
-            yield pa.record_batch([batch.column(0), *(lists(k(x), value) for k in kernels.values())], names=["image_id", *kernels])
+        for ids, x in _images(batches, size, channels, step):
+            yield pa.record_batch([ids, *(lists(k(x), value) for k in kernels.values())], names=["image_id", *kernels])
 
     given = df.select("image_id", F.col("pixels").cast("array<int>"))
     return given.mapInArrow(run, ", ".join([f"image_id {given.schema['image_id'].dataType.simpleString()}", *(f"{name} array<{kind}>" for name in kernels)]))
@@ -272,6 +290,59 @@ def fit_pca(df: DataFrame, column: str, k: int, extra: int = 10, powers: int = 6
     return *x.projection(_signed(q @ turn[:, top])), values[top] / max(x.n - 1, 1.0)
 
 
+def image_products(images: DataFrame, size: int, channels: int, kernel: Kernel) -> tuple[int, np.ndarray, np.ndarray]:
+    """(images, sum, X'X) of a kernel's numbers, in one pass over the images and
+    without a table of the numbers; refused beyond ``GRAM_FEATURES``."""
+    step = _step(size, channels)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, gram = 0, None, None
+        for _, x in _images(batches, size, channels, step):
+            rows = kernel(x).reshape(len(x), -1).astype(float)
+            if rows.shape[1] > GRAM_FEATURES:
+                raise ValueError(f"{rows.shape[1]} features exceed {GRAM_FEATURES}")
+            if gram is None:
+                total, gram = np.zeros(rows.shape[1]), np.zeros((rows.shape[1], rows.shape[1]))
+            n += len(rows)
+            total += rows.sum(axis=0)
+            gram += rows.T @ rows
+        if gram is not None:
+            yield pa.record_batch([pa.array([-1], pa.int64()), pa.array([np.append(total, n).tobytes()], pa.binary())], names=["part", "numbers"])
+            for k in range(0, len(gram), GRAM_ROWS):
+                yield pa.record_batch([pa.array([k // GRAM_ROWS], pa.int64()), pa.array([gram[k:k + GRAM_ROWS].tobytes()], pa.binary())], names=["part", "numbers"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, numbers in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found[part] = found.get(part, 0) + np.frombuffer(numbers.as_buffer())
+        for part, numbers in found.items():
+            yield pa.record_batch([pa.array([part], pa.int64()), pa.array([numbers.tobytes()], pa.binary())], names=["part", "numbers"])
+
+    cores = images.sparkSession.sparkContext.defaultParallelism
+    given = images.select("image_id", F.col("pixels").cast("array<int>")).coalesce(cores)  # a matrix a core, however many files there are
+    parts = given.mapInArrow(products, "part long, numbers binary").repartition(cores, "part").mapInArrow(add, "part long, numbers binary").collect()
+    got = {r["part"]: np.frombuffer(r["numbers"]) for r in parts}  # features x features numbers
+    if not got:
+        return 0, np.zeros(0), np.zeros((0, 0))
+    d = len(got[-1]) - 1
+    return int(got[-1][-1]), got[-1][:-1], np.concatenate([got[k] for k in range(-(-d // GRAM_ROWS))]).reshape(d, d)
+
+
+def fit_image_pca(images: DataFrame, size: int, channels: int, kernel: Kernel, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`fit_pca` of a kernel's numbers: the same axes from their products, of
+    which nothing is written."""
+    n, total, gram = image_products(images, size, channels, kernel)
+    n = max(n, 1)
+    mean = total / n
+    spread = np.sqrt(np.maximum(np.diag(gram) / n - mean ** 2, 0.0))
+    std = np.where(spread > 1e-9 * np.maximum(np.abs(mean), 1.0), spread, 1.0)
+    values, axes = np.linalg.eigh((gram - n * np.outer(mean, mean)) / np.outer(std, std))
+    top = np.argsort(-values)[:k]
+    weights = _signed(axes[:, top]) / std[:, None]
+    return weights, -mean @ weights, values[top] / max(n - 1, 1.0)
+
+
 def fit_discriminants(df: DataFrame, column: str, label: str, k: int, shrink: float = 1e-4, tol: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """IMG16: (weights, offset) of up to ``k`` linear discriminant axes of the
     standardised column (classes less one at most), scaled to a within-class

@@ -193,8 +193,10 @@ def image_bovw(spark, sf_dir):
 @query("image_pca", ops=("IMG11", "IMG15"))
 def image_pca(spark, sf_dir):
     """150 principal axes of the HOG descriptors (1,764 numbers) of the images at 16 x 16."""
-    hogs = ia.map_images(views.gray_arrays(spark, sf_dir), SIZE, 1, {"hog": lambda x: ia.hog(ia.resize(x, 16))})
-    return ia.project(hogs, "hog", ia.fit_pca(hogs, "hog", 150), "components").select("image_id", "components")
+    images = views.gray_arrays(spark, sf_dir)
+    kernel = lambda x: ia.hog(ia.resize(x, 16))
+    weights, offset, _ = ia.fit_image_pca(images, SIZE, 1, kernel, 150)
+    return ia.map_images(images, SIZE, 1, {"components": lambda x: kernel(x) @ weights + offset})
 
 
 @query("image_hog", ops=("IMG11",))
