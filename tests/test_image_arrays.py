@@ -207,7 +207,7 @@ def test_pca_of_images_needs_no_table_of_their_numbers(spark, monkeypatch):
     want = np.sort(np.linalg.eigvalsh(scaled.T @ scaled))[::-1][:2] / 299
     np.testing.assert_allclose(variances, want, rtol=1e-9)
     old = ia.fit_pca(ia.map_images(images, 8, 1, {"n": kernel}), "n", 2)
-    np.testing.assert_allclose(rows @ weights + offset, rows @ old[0] + old[1], atol=1e-6)
+    np.testing.assert_allclose(rows @ weights + offset, rows @ old[0] + old[1], atol=1e-8)
     monkeypatch.setattr(ia, "BATCH_PIXELS", 640)
 
     def small(p):

@@ -280,14 +280,19 @@ def fit_pca(df: DataFrame, column: str, k: int, extra: int = 10, powers: int = 6
     the standardised column, by a randomised range finder with ``powers`` passes.
     Fewer axes come back if the column has fewer dimensions."""
     x = Scaled(df, column)
-    d = x.blocks.n_features
+    axes, values = _range_finder(x.scatter, x.blocks.n_features, k, extra, powers, seed)
+    x.blocks.release()
+    return *x.projection(axes), values / max(x.n - 1, 1.0)
+
+
+def _range_finder(scatter: Kernel, d: int, k: int, extra: int = 10, powers: int = 6, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(axes, values) of the ``k`` largest eigenvalues of ``scatter``."""
     q = np.random.default_rng(seed).normal(size=(d, min(k + extra, d)))
     for _ in range(powers):
-        q, _ = np.linalg.qr(x.scatter(q))
-    values, turn = np.linalg.eigh(q.T @ x.scatter(q))
+        q, _ = np.linalg.qr(scatter(q))
+    values, turn = np.linalg.eigh(q.T @ scatter(q))
     top = np.argsort(-values)[:k]
-    x.blocks.release()
-    return *x.projection(_signed(q @ turn[:, top])), values[top] / max(x.n - 1, 1.0)
+    return _signed(q @ turn[:, top]), values[top]
 
 
 def image_products(images: DataFrame, size: int, channels: int, kernel: Kernel) -> tuple[int, np.ndarray, np.ndarray]:
@@ -337,10 +342,10 @@ def fit_image_pca(images: DataFrame, size: int, channels: int, kernel: Kernel, k
     mean = total / n
     spread = np.sqrt(np.maximum(np.diag(gram) / n - mean ** 2, 0.0))
     std = np.where(spread > 1e-9 * np.maximum(np.abs(mean), 1.0), spread, 1.0)
-    values, axes = np.linalg.eigh((gram - n * np.outer(mean, mean)) / np.outer(std, std))
-    top = np.argsort(-values)[:k]
-    weights = _signed(axes[:, top]) / std[:, None]
-    return weights, -mean @ weights, values[top] / max(n - 1, 1.0)
+    scatter = (gram - n * np.outer(mean, mean)) / np.outer(std, std)
+    axes, values = _range_finder(lambda q: scatter @ q, len(scatter), k)
+    weights = axes / std[:, None]
+    return weights, -mean @ weights, values / max(n - 1, 1.0)
 
 
 def fit_discriminants(df: DataFrame, column: str, label: str, k: int, shrink: float = 1e-4, tol: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
